@@ -130,8 +130,21 @@ def scd1_dim(df: DataFrame, cols: Sequence[str], key: str) -> DataFrame:
 
 def date_dim(spark: SparkSession, start: str | dt.date, end: str | dt.date) -> DataFrame:
     """One row per day from ``start`` up to but not including ``end``."""
-    first, last = F.lit(start).cast("date"), F.date_sub(F.lit(end).cast("date"), 1)
-    days = spark.range(1).select(F.explode(F.sequence(first, last)).alias("full_date"))
+    bounds = spark.range(1).select(
+        F.lit(start).cast("date").alias("first"),
+        F.date_sub(F.lit(end).cast("date"), 1).alias("last"),
+    )
+    return _calendar(bounds)
+
+
+def date_dim_covering(df: DataFrame, column: str) -> DataFrame:
+    """One row per day from the first to the last date of a column."""
+    day = F.to_date(column)
+    return _calendar(df.agg(F.min(day).alias("first"), F.max(day).alias("last")))
+
+
+def _calendar(bounds: DataFrame) -> DataFrame:
+    days = bounds.select(F.explode(F.sequence("first", "last")).alias("full_date"))
     return days.select(
         k.date_key("full_date").alias("date_sk"),
         "full_date",

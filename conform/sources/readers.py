@@ -15,6 +15,7 @@ def read_csv(
     path: str | list[str],
     schema: T.StructType | str,
     date_format: str | None = None,
+    timestamp_format: str | None = None,
     free_text: bool = False,
 ) -> DataFrame:
     """CSV with a header.
@@ -31,6 +32,8 @@ def read_csv(
     )
     if date_format:
         reader = reader.option("dateFormat", date_format)
+    if timestamp_format:
+        reader = reader.option("timestampFormat", timestamp_format)
     if free_text:
         reader = reader.option("quote", '"').option("escape", '"').option("multiLine", True)
     return reader.csv(path)
