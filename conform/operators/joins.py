@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from conform.functions import text
@@ -20,12 +20,11 @@ HOT_SHARE = 0.01  # a key is hot when it holds more than this share of the rows
 SALTS = 32  # ways a hot key is split
 
 
-def _key_hash(keys: Sequence[str]) -> Column:
-    """Hash of the join key; NULL when any part is NULL, as such a key matches nothing."""
-    none_null = F.lit(True)
-    for k in keys:
-        none_null = none_null & F.col(k).isNotNull()
-    return F.when(none_null, F.xxhash64(*[F.col(k) for k in keys]))
+def _key_hash(keys: Sequence[str]) -> str:
+    """SQL of the join key's hash; NULL when any part is NULL, as such a key matches nothing."""
+    quoted = [f"`{k}`" for k in keys]
+    known = " and ".join(f"{k} is not null" for k in quoted)
+    return f"if({known}, xxhash64({', '.join(quoted)}), null)"
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
@@ -35,14 +34,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> Da
     items, so no key is shuffled. A miss or a hash collision costs speed only,
     never a row: the list only decides which keys are spread.
     """
-    sketch = F.expr(f"approx_top_k(_h, {HOT_KEYS}, 4096)")
-    found = df.select(_key_hash(keys).alias("_h")).agg(
-        sketch.alias("_top"), F.count(F.lit(1)).alias("_rows")
+    found = df.select(F.expr(_key_hash(keys)).alias("_h")).agg(
+        F.expr(f"approx_top_k(_h, {HOT_KEYS}, 4096)").alias("_top"), F.expr("count(1)").alias("_rows")
     )
     return (
-        found.select(F.inline("_top"), "_rows")
-        .where((F.col("count") > F.col("_rows") * share) & F.col("item").isNotNull())
-        .select(F.col("item").alias("_hot"))
+        found.selectExpr("inline(_top)", "_rows")
+        .where(f"count > _rows * {share}D and item is not null")
+        .selectExpr("item as _hot")
     )
 
 
@@ -53,6 +51,7 @@ def salted_join(
     how: str = "left",
     salts: int = SALTS,
     salt_by: Sequence[str] | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """``left`` joined to ``right`` on equal keys, with the hot keys of ``left`` split.
 
@@ -60,6 +59,9 @@ def salted_join(
     the matching right rows are copied to all of those places; other keys are not
     touched. NULL keys match nothing and are spread too. The salt depends on row
     content alone, so a task that runs again sends its rows to the same place.
+
+    ``hot`` is the result of :func:`hot_keys` on any table with the same keys; give it
+    where ``left`` is costly to compute and its keys come from a stored table.
     ``how`` is ``inner`` or ``left``.
     """
     if how not in ("inner", "left"):
@@ -67,29 +69,20 @@ def salted_join(
     clash = (set(left.columns) & set(right.columns)) - set(keys)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
-    hot = hot_keys(left, keys)
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in (salt_by or left.columns)]), F.lit(salts))
+    hot = hot_keys(left, keys) if hot is None else hot
+    by = ", ".join(f"`{c}`" for c in (salt_by or left.columns))
+    spread = f"pmod(xxhash64({by}), {salts})"
 
     def marked(df: DataFrame) -> DataFrame:
-        hashed = df.withColumn("_h", _key_hash(keys))
-        return hashed.join(F.broadcast(hot), F.col("_h") == F.col("_hot"), "left")
-
-    one_place = F.lit(0).cast("bigint")
-    lhs = (
-        marked(left)
-        .withColumn(
-            "_salt", F.when(F.col("_hot").isNotNull() | F.col("_h").isNull(), spread).otherwise(one_place)
-        )
-        .drop("_h", "_hot")
+        hashed = df.withColumn("_h", F.expr(_key_hash(keys)))
+        return hashed.join(F.broadcast(hot), F.expr("_h = _hot"), "left")
+
+    lhs = marked(left).selectExpr(
+        *[f"`{c}`" for c in left.columns], f"if(_hot is not null or _h is null, {spread}, 0L) as _salt"
     )
-    every_place = F.sequence(one_place, F.lit(salts - 1).cast("bigint"))
-    rhs = (
-        marked(right.where(_key_hash(keys).isNotNull()))
-        .withColumn(
-            "_salt",
-            F.explode(F.when(F.col("_hot").isNotNull(), every_place).otherwise(F.array(one_place))),
-        )
-        .drop("_h", "_hot")
+    rhs = marked(right).where("_h is not null").selectExpr(
+        *[f"`{c}`" for c in right.columns],
+        f"explode(if(_hot is not null, sequence(0L, {salts - 1}L), array(0L))) as _salt",
     )
     return lhs.join(rhs, [*keys, "_salt"], how).drop("_salt")
 
@@ -101,6 +94,8 @@ def lookup(
     take: dict[str, str],
     how: str = "left",
     size: str = "measured",
+    keys_from: DataFrame | None = None,
+    salt_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add columns of a dimension to a fact.
 
@@ -110,7 +105,10 @@ def lookup(
     ``size`` says what is known about the dimension:
       * ``fixed``: bounded by construction (calendar, seed): broadcast.
       * ``measured``: Spark decides from the size it measures.
-      * ``large``: grows with the data and the fact may have hot keys: salted.
+      * ``large``: grows with the data and the fact may have hot keys: salted. The hot
+        keys are looked for in ``keys_from``, a table with the same ``on`` columns that
+        is cheaper to read than the fact (default: the fact), and rows are spread by
+        ``salt_by``, columns that tell rows apart (default: all, which reads all).
     """
     side = dim.select(
         *[F.col(d).alias(f"_k{i}") for i, d in enumerate(on.values())],
@@ -119,7 +117,8 @@ def lookup(
     keyed = fact.withColumns({f"_k{i}": F.col(f) for i, f in enumerate(on)})
     names = [f"_k{i}" for i in range(len(on))]
     if size == "large":
-        joined = salted_join(keyed, side, names, how)
+        hot = hot_keys(fact if keys_from is None else keys_from, list(on))
+        joined = salted_join(keyed, side, names, how, salt_by=salt_by, hot=hot)
     elif size in ("fixed", "measured"):
         joined = keyed.join(F.broadcast(side) if size == "fixed" else side, names, how)
     else:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from conform.functions import text
-from conform.operators.joins import salted_join
+from conform.operators.joins import hot_keys, salted_join
 
 TIERS = ("exact", "normalized", "fuzzy", "combination_unverified")
 UNMATCHED = "unmatched"
@@ -69,7 +69,7 @@ def tiered_match(
     elif strategy == "inline":
         raise ValueError(f"seed has more than {MAX_INLINE} rows; use strategy='index'")
     else:
-        matched = _index_best(flagged, seed, name, klass, min_len)
+        matched = _index_best(flagged, seed, key, name, klass, min_len)
     tier = F.get(F.array(*[F.lit(t) for t in TIERS]), F.col("_best.tier") - 1)
     return matched.select(
         *key,
@@ -148,8 +148,14 @@ def _inline_best(rows: list[Row], name: str, klass: str, min_len: int) -> Column
 # --- large seed: equi-joins on text pieces --------------------------------------------------
 
 
-def _index_best(flagged: DataFrame, seed: Seed, name: str, klass: str, min_len: int) -> DataFrame:
-    """Match the distinct names and the distinct classes, then join the answers back."""
+def _index_best(
+    flagged: DataFrame, seed: Seed, key: Sequence[str], name: str, klass: str, min_len: int
+) -> DataFrame:
+    """Match the distinct names and the distinct classes, then join the answers back.
+
+    A piece of text that very many names share is split over tasks by the adaptive
+    skew join; the products themselves, where one name may be hot, are salted.
+    """
     names = flagged.select(F.col(name).alias("_n")).where("_n is not null").distinct()
     classes = flagged.select(F.col(klass).alias("_c")).where("_c is not null").distinct()
     example = F.col(seed.example)
@@ -159,11 +165,9 @@ def _index_best(flagged: DataFrame, seed: Seed, name: str, klass: str, min_len:
 
     exact = names.join(folded, text.folded("_n") == F.col("term"))
     by_name = (
-        exact.select("_n", F.col("code").alias("_exact"), F.lit(None).cast("string").alias("_word"))
+        exact.selectExpr("_n", "code as _exact", "cast(null as string) as _word")
         .unionByName(
-            _word_hits(names, examples).select(
-                "_n", F.lit(None).cast("string").alias("_exact"), F.col("code").alias("_word")
-            )
+            _word_hits(names, examples).selectExpr("_n", "cast(null as string) as _exact", "code as _word")
         )
         .groupBy("_n")
         .agg(F.min("_exact").alias("_exact"), F.min("_word").alias("_word"))
@@ -174,7 +178,8 @@ def _index_best(flagged: DataFrame, seed: Seed, name: str, klass: str, min_len:
         .agg(F.min("code").alias("_hint"))
     )
     keyed = flagged.withColumns({"_n": F.col(name), "_c": F.col(klass)})
-    joined = salted_join(salted_join(keyed, by_name, ["_n"]), by_class, ["_c"])
+    named = salted_join(keyed, by_name, ["_n"], salt_by=key)
+    joined = salted_join(named, by_class, ["_c"], salt_by=key, hot=hot_keys(keyed, ["_c"]))
     return joined.withColumn("_best", _best(F.col("_exact"), F.col("_hint"), F.col("_word")))
 
 
@@ -188,15 +193,15 @@ def _smallest_code(rows: DataFrame, seed: Seed, term: Column) -> DataFrame:
     )
 
 
-def _with_rarest(index: DataFrame, pieces: Column) -> DataFrame:
+def _with_rarest(index: DataFrame, pieces: str) -> DataFrame:
     """``(term, code, piece)``: the piece of each term that the fewest other terms have."""
-    exploded = index.select("term", "code", F.explode(F.array_distinct(pieces)).alias("piece"))
-    common = exploded.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    exploded = index.selectExpr("term", "code", f"explode(array_distinct({pieces})) as piece")
+    common = exploded.groupBy("piece").agg(F.expr("count(1) as n"))
     return (
         exploded.join(common, "piece")
         .groupBy("term", "code")
-        .agg(F.min(F.struct("n", "piece")).alias("pick"))
-        .select("term", "code", F.col("pick.piece").alias("piece"))
+        .agg(F.expr("min(struct(n, piece)) as pick"))
+        .selectExpr("term", "code", "pick.piece as piece")
     )
 
 
@@ -210,17 +215,11 @@ def _word_hits(names: DataFrame, index: DataFrame) -> DataFrame:
     """
     plain = ~F.col("term").rlike(REGEX_SIGN)
     latin = F.col("term").rlike("[a-z0-9]")
+    runs = "filter(split({}, '[^a-z0-9]+'), w -> w != '')"
 
-    def runs(c: Column) -> Column:
-        return F.filter(F.split(c, "[^a-z0-9]+"), lambda w: w != "")
-
-    keyed = _with_rarest(index.where(plain & latin), runs(F.col("term")))
-    tokens = names.select(
-        "_n", F.explode(F.array_distinct(runs(F.lower("_n")))).alias("piece")
-    )
-    found = salted_join(tokens, keyed, ["piece"], "inner").where(
-        text.whole_word(F.lower("_n"), F.col("term"))
-    )
+    keyed = _with_rarest(index.where(plain & latin), runs.format("term"))
+    tokens = names.selectExpr("_n", f"explode(array_distinct({runs.format('lower(_n)')})) as piece")
+    found = tokens.join(keyed, "piece").where(text.whole_word(F.lower("_n"), F.col("term")))
     return (
         found.select("_n", "code")
         .unionByName(_gram_hits(names, "_n", index.where(plain & ~latin), text.whole_word))
@@ -228,9 +227,12 @@ def _word_hits(names: DataFrame, index: DataFrame) -> DataFrame:
     )
 
 
-def _grams(c: Column, size: int) -> Column:
-    starts = F.when(F.length(c) >= size, F.sequence(F.lit(1), F.length(c) - (size - 1)))
-    return F.coalesce(F.transform(starts, lambda i: F.substring(c, i, size)), F.array().cast("array<string>"))
+def _grams(string: str, size: int) -> str:
+    """SQL of all substrings of a size; none when the string is shorter."""
+    return (
+        f"transform(sequence(0, greatest(length({string}) - {size}, -1) + 1, 1), "
+        f"i -> if(i + {size} <= length({string}), substring({string}, i + 1, {size}), null))"
+    )
 
 
 def _gram_hits(
@@ -242,41 +244,35 @@ def _gram_hits(
     between wildcards). Runs of three characters or more give 3-grams, shorter ones
     a 2- or 1-gram, and a term of wildcards only the empty piece, which every text has.
     """
-    run_list = F.filter(F.split("term", "[%_]"), lambda r: r != "")
-    longest = F.array_max(F.transform(run_list, F.length))
+    runs = "filter(split(term, '[%_]'), r -> r != '')"
+    longest = f"coalesce(array_max(transform({runs}, r -> length(r))), 0)"
 
-    def of_size(n: int) -> Column:
-        return F.flatten(F.transform(run_list, lambda r: _grams(r, n)))
+    def of_size(n: int) -> str:
+        return f"array_compact(flatten(transform({runs}, r -> {_grams('r', n)})))"
 
-    pieces = (
-        F.when(longest >= GRAM, of_size(GRAM))
-        .when(longest == 2, of_size(2))
-        .when(longest == 1, of_size(1))
-        .otherwise(F.array(F.lit("")))
+    by_length = f"case {longest} when 0 then array('') when 1 then {of_size(1)} when 2 then {of_size(2)}"
+    keyed = _with_rarest(index, f"{by_length} else {of_size(GRAM)} end")
+    owned = ", ".join(_grams("_t", n) for n in range(1, GRAM + 1))
+    exploded = texts.selectExpr(column, f"lower({column}) as _t").selectExpr(
+        column, "_t", f"explode(array_distinct(array_compact(concat(array(''), {owned})))) as piece"
     )
-    keyed = _with_rarest(index, pieces)
-    lowered = F.lower(column)
-    owned = F.concat(F.array(F.lit("")), *[_grams(lowered, n) for n in range(1, GRAM + 1)])
-    exploded = texts.select(column, F.explode(F.array_distinct(owned)).alias("piece"))
-    found = salted_join(exploded, keyed, ["piece"], "inner")
-    return found.where(test(lowered, F.col("term"))).select(column, "code")
+    found = exploded.join(keyed, "piece")
+    return found.where(test(F.col("_t"), F.col("term"))).select(column, "code")
 
 
 def _regex_hits(names: DataFrame, index: DataFrame) -> DataFrame:
     """Smallest code among the seed examples that are regexes; more than ``MAX_REGEX`` are refused."""
     few = index.limit(MAX_REGEX + 1).agg(
-        F.array_sort(F.collect_list(F.struct("code", "term"))).alias("terms")
+        F.expr("array_sort(collect_list(struct(code, term))) as terms")
     )
-    checked = few.select(
-        F.when(F.size("terms") <= MAX_REGEX, F.col("terms")).otherwise(
-            F.raise_error(F.lit(f"more than {MAX_REGEX} seed examples are regexes"))
-        )
+    checked = few.selectExpr(
+        f"if(size(terms) <= {MAX_REGEX}, terms,"
+        f" raise_error('more than {MAX_REGEX} seed examples are regexes')) as terms"
     )
-    lowered = F.lower("_n")
-    hits = F.filter("_terms", lambda t: text.whole_word(lowered, t["term"]))
+    word = r"concat(r'\b', t.term, r'\b')"
     return (
         names.withColumn("_terms", checked.scalar())
-        .select("_n", F.get(hits, F.lit(0))["code"].alias("code"))
+        .selectExpr("_n", f"get(filter(_terms, t -> rlike(lower(_n), {word})), 0).code as code")
         .where("code is not null")
     )
 

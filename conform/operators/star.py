@@ -62,6 +62,7 @@ def conformed_dim(
             "is_combination_product": "is_combination_product",
         },
         size="large",
+        salt_by=[m.natural_key, FROM],
     )
     shape = [m.key, m.member_type, m.natural_key, m.code, *m.attributes]
     tail = ["match_confidence", "is_combination_product", FROM, TO, "is_current"]
@@ -95,6 +96,21 @@ def conformed_dim(
     return detail.select(*shape, *tail).unionByName(category)
 
 
+def _resolve(df: DataFrame, lookups: Sequence[Lookup], row_id: Sequence[str]) -> DataFrame:
+    """Apply the lookups in turn; ``row_id`` are columns that tell rows apart.
+
+    Lookups to unique keys leave the keys of the input as they are, so hot keys are
+    read from the input itself rather than from the joins built on it so far.
+    """
+    out = df
+    for item in lookups:
+        base = df if set(item.on) <= set(df.columns) else None
+        out = joins.lookup(
+            out, item.dim, dict(item.on), dict(item.take), item.how, item.size, base, row_id
+        )
+    return out
+
+
 def build_fact(
     df: DataFrame,
     key: str,
@@ -107,17 +123,11 @@ def build_fact(
     Lookups are left joins to tables unique by the joined column, so rows are neither
     dropped nor multiplied. The fact is rebuilt in full: same input, same rows.
     """
-    out = df
-    for item in lookups:
-        out = joins.lookup(out, item.dim, dict(item.on), dict(item.take), item.how, item.size)
-    resolved = [name for item in lookups for name in item.take.values()]
-    return out.select(surrogate_key(*grain).alias(key), *resolved, *measures)
+    taken = [name for item in lookups for name in item.take.values()]
+    return _resolve(df, lookups, grain).select(surrogate_key(*grain).alias(key), *taken, *measures)
 
 
 def serve(fact: DataFrame, keep: Sequence[str], lookups: Sequence[Lookup]) -> DataFrame:
     """Flatten a fact with its dimensions: inner where the key must resolve, left where it may not."""
-    out = fact
-    for item in lookups:
-        out = joins.lookup(out, item.dim, dict(item.on), dict(item.take), item.how, item.size)
     taken = [name for item in lookups for name in item.take.values()]
-    return out.select(*keep, *taken)
+    return _resolve(fact, lookups, keep).select(*keep, *taken)

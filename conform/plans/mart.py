@@ -7,7 +7,6 @@ drug reviews (CSV, free text). Stages meet at stored Parquet, so each can be rer
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -421,17 +420,13 @@ def build(run: Run) -> dict[str, DataFrame]:
     return t
 
 
-def validate(run: Run, t: dict[str, DataFrame], only: Sequence[str] | None = None) -> DataFrame:
+def validate(run: Run, t: dict[str, DataFrame]) -> DataFrame:
     """Run and store every check of the built models; gives back all results."""
-    results = []
     for model, checks in model_checks(t).items():
-        if only is None or model in only:
-            run.lake.append_quality(q.run_checks(t[model], checks), run.run_id, model)
+        run.lake.append_quality(q.run_checks(t[model], checks), run.run_id, model)
     extra = category_members_match(t["dim_drug"], t["atc_pharmclass_crosswalk"])
     run.lake.append_quality(extra, run.run_id, "singular")
-    stored = run.lake.spark.read.parquet(run.lake.quality())
-    results = stored.where(F.col("run_id") == run.run_id)
-    return results
+    return run.lake.read_quality(run.run_id)
 
 
 def release(run: Run, t: dict[str, DataFrame]) -> dict[str, int]:

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from conform.functions import text
 from conform.functions.keys import surrogate_key
 from conform.operators import history, joins, match, reconcile, star
 from conform.operators.match import Seed
+from conform.operators.reshape import dedupe_latest
 from conform.operators.star import Lookup, Members
 from conform.plans.cleaning import LINE_DEDUPED, LINE_KEYS, LINE_ORDER
-from conform.operators.reshape import dedupe_latest
 from conform.plans.matching import match_sql
 from conform.plans.registry import key_sql, norm_sql, query, table
+from conform.session import scratch_dir, stored
+from conform.sources.lake import Lake
 
 SNAPSHOT_TS = "2024-01-01 00:00:00"
 PART_MEMBERS = Members(
@@ -127,13 +130,15 @@ GRAIN = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 def line_fact(spark, sf_dir):
     """Order lines that know their part only by name: resolved to one member per name."""
     lines, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
-    named = joins.lookup(lines, part, {"l_partkey": "p_partkey"}, {"p_name": "p_name"}, size="large")
+    named = joins.lookup(
+        lines, part, {"l_partkey": "p_partkey"}, {"p_name": "p_name"}, size="large", salt_by=LINE_KEYS
+    )
     dim = part_dim(spark, sf_dir).where("member_type = 'part' and is_current")
-    by_name = joins.name_map(dim, "part_sk", ["p_name"])
+    by_name = stored(joins.name_map(dim, "part_sk", ["p_name"]), "names")
     days = history.date_dim_covering(lines, "l_shipdate")
     flags = history.scd1_dim(lines, ["l_returnflag"], "flag_sk")
     facts = named.withColumns(
-        {"name_norm": joins.text.normalise("p_name"), "ship_date": F.to_date("l_shipdate")}
+        {"name_norm": text.normalise("p_name"), "ship_date": F.to_date("l_shipdate")}
     )
     return star.build_fact(
         facts,
@@ -141,7 +146,7 @@ def line_fact(spark, sf_dir):
         GRAIN,
         [
             Lookup(days, {"ship_date": "full_date"}, {"date_sk": "date_sk"}, size="fixed"),
-            Lookup(by_name, {"name_norm": "name_norm"}, {"part_sk": "part_sk"}, size="large"),
+            Lookup(by_name, {"name_norm": "name_norm"}, {"part_sk": "part_sk"}),
             Lookup(flags, {"l_returnflag": "l_returnflag"}, {"flag_sk": "flag_sk"}),
         ],
         ["l_quantity", "l_extendedprice"],
@@ -313,7 +318,8 @@ def fk_anti_join(spark, sf_dir):
 )
 def trace_back(spark, sf_dir):
     """The largest order lines of the fact, followed back to the raw line and its order."""
-    fact = line_fact(spark, sf_dir)
+    lake = Lake(spark, scratch_dir(spark, "trace"))
+    fact = lake.write_model(line_fact(spark, sf_dir), lake.gold("r1", "lines"))
     start = fact.where("l_quantity = 50 and l_extendedprice > 100000").select("line_sk", "l_quantity")
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on for right results or for skewed inputs.
 # Nothing here is sized to a machine; cluster sizing belongs to spark-submit.
@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Plans are built by code; without call sites per expression they build faster.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -42,3 +44,15 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="conform-")
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a derived table to the shared scratch folder and read it back.
+
+    The plan is cut and the size becomes known: Spark then broadcasts the table where
+    it is small, instead of first shuffling the large side to find that out. Use it
+    for tables that are small next to what they are joined to.
+    """
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -123,7 +123,7 @@ class Lake:
     def write_model(self, df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
         """Write one model in full and give back the stored copy, so later stages start from it."""
         df.write.mode("overwrite").format(fmt).save(path)
-        return self.spark.read.format(fmt).load(path)
+        return self.spark.read.format(fmt).schema(df.schema).load(path)
 
     def write_clustered(
         self,
@@ -146,7 +146,7 @@ class Lake:
         ranged = df.repartitionByRange(files, *by) if files else df.repartitionByRange(*by)
         ordered = ranged.sortWithinPartitions(*partitions, *cluster)
         ordered.write.mode("overwrite").format(fmt).partitionBy(*partitions).save(path)
-        return self.spark.read.format(fmt).load(path)
+        return self.spark.read.format(fmt).schema(df.schema).load(path)
 
     def written_rows(self, path: str, fmt: str = "parquet") -> int:
         """Rows that can be read back; no column is read."""
@@ -162,6 +162,9 @@ class Lake:
             .parquet(self.quality())
         )
 
+    def read_quality(self, run_id: str) -> DataFrame:
+        return self.spark.read.parquet(posixpath.join(self.quality(), f"run_id={run_id}"))
+
     # --- commit log ---------------------------------------------------------------------
 
     def _commit(self, log: str, ref: str, models: Sequence[str] = ()) -> int:
