@@ -228,9 +228,9 @@ def _word_hits(names: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def _grams(string: str, size: int) -> str:
-    """SQL of all substrings of a size; none when the string is shorter."""
+    """SQL of all substrings of a size; a single NULL when the string is shorter."""
     return (
-        f"transform(sequence(0, greatest(length({string}) - {size}, -1) + 1, 1), "
+        f"transform(sequence(0, greatest(length({string}) - {size}, 0)), "
         f"i -> if(i + {size} <= length({string}), substring({string}, i + 1, {size}), null))"
     )
 

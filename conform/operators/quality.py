@@ -197,11 +197,15 @@ def same_count(left: DataFrame, right: DataFrame) -> DataFrame:
     return counts.where("left_rows != right_rows")
 
 
-def contract_check(df: DataFrame, contract: T.StructType, name: str = "schema") -> DataFrame:
+def contract_check(
+    df: DataFrame, contract: T.StructType | str, name: str = "schema"
+) -> DataFrame:
     """One row per column that is missing, extra or of another type; no row means agreement.
 
     Reads the schema only.
     """
+    if isinstance(contract, str):
+        contract = T.StructType.fromDDL(contract)
     have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     want = {f.name: f.dataType.simpleString() for f in contract.fields}
     problems = [(name, c, "missing", want[c], None) for c in want if c not in have]

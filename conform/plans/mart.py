@@ -11,7 +11,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from conform.functions import dates, text
 from conform.operators import history, joins, match, quality as q, reconcile, reshape, star
@@ -21,18 +20,18 @@ from conform.plans import fixed
 from conform.sources import readers
 from conform.sources.lake import Lake
 
-SALES_SCHEMA = T.StructType.fromDDL(
-    "datum date, "
-    + ", ".join(f"{code} double" for code in fixed.ATC_CODES)
+_SALES_VALUES = (
+    ", ".join(f"{code} double" for code in fixed.ATC_CODES)
     + ", Year bigint, Month bigint, Hour bigint, `Weekday Name` string"
 )
-HOURLY_SCHEMA = T.StructType([T.StructField("datum", T.TimestampType()), *SALES_SCHEMA.fields[1:]])
-NDC_SCHEMA = T.StructType.fromDDL(
+SALES_SCHEMA = f"datum date, {_SALES_VALUES}"
+HOURLY_SCHEMA = f"datum timestamp, {_SALES_VALUES}"
+NDC_SCHEMA = (
     "product_ndc string, generic_name string, brand_name string, pharm_class array<string>, "
     "route array<string>, dosage_form string, labeler_name string, "
     "marketing_start_date string, marketing_end_date string"
 )
-REVIEW_SCHEMA = T.StructType.fromDDL(
+REVIEW_SCHEMA = (
     "uniqueID bigint, drugName string, condition string, review string, rating bigint, "
     "date string, usefulCount bigint"
 )
