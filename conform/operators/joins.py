@@ -1,9 +1,9 @@
 """Joins that survive hot keys.
 
 Broadcasts happen in two cases only: the size of a side is fixed by construction
-(a calendar, at most ``HOT_KEYS`` hashes), or Spark itself measured it below
-``autoBroadcastJoinThreshold``. Everything else is a shuffle join, and
-:func:`salted_join` spreads its hot keys.
+(a calendar, at most ``HOT_KEYS`` hashes), or Spark itself finds it below
+``autoBroadcastJoinThreshold``. Everything else is a shuffle join whose hot keys
+:func:`salted_join` spreads.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from conform.functions import text
+from conform.session import broadcastable
 
 HOT_KEYS = 64  # bound on the hot-key list, hence on its broadcast
 HOT_SHARE = 0.01  # a key is hot when it holds more than this share of the rows
@@ -57,7 +58,8 @@ def salted_join(
 
     Rows of a hot key go to one of ``salts`` places by a hash of their content, and
     the matching right rows are copied to all of those places; other keys are not
-    touched. NULL keys match nothing and are spread too. The salt depends on row
+    touched, and ``right`` holds few rows per key. NULL keys match nothing and are
+    spread too. The salt depends on row
     content alone, so a task that runs again sends its rows to the same place.
 
     ``hot`` is the result of :func:`hot_keys` on any table with the same keys; give it
@@ -93,7 +95,7 @@ def lookup(
     on: dict[str, str],
     take: dict[str, str],
     how: str = "left",
-    size: str = "measured",
+    size: str = "auto",
     keys_from: DataFrame | None = None,
     salt_by: Sequence[str] | None = None,
 ) -> DataFrame:
@@ -102,13 +104,13 @@ def lookup(
     ``on`` maps fact columns to dimension columns; ``take`` maps dimension columns to
     the names they get. A miss leaves NULL and keeps the row (``how="left"``).
 
-    ``size`` says what is known about the dimension:
-      * ``fixed``: bounded by construction (calendar, seed): broadcast.
-      * ``measured``: Spark decides from the size it measures.
-      * ``large``: grows with the data and the fact may have hot keys: salted. The hot
-        keys are looked for in ``keys_from``, a table with the same ``on`` columns that
-        is cheaper to read than the fact (default: the fact), and rows are spread by
-        ``salt_by``, columns that tell rows apart (default: all, which reads all).
+    ``size`` says how the dimension is brought to the fact:
+      * ``fixed``: bounded by construction (a calendar): broadcast.
+      * ``auto``: broadcast when Spark's size estimate allows it, else ``salted``.
+      * ``salted``: shuffled, with the hot keys of the fact spread. They are looked for
+        in ``keys_from``, a table with the same ``on`` columns that is cheaper to read
+        than the fact (default: the fact), and rows are spread by ``salt_by``, columns
+        that tell rows apart (default: all, which reads all).
     """
     side = dim.select(
         *[F.col(d).alias(f"_k{i}") for i, d in enumerate(on.values())],
@@ -116,13 +118,15 @@ def lookup(
     )
     keyed = fact.withColumns({f"_k{i}": F.col(f) for i, f in enumerate(on)})
     names = [f"_k{i}" for i in range(len(on))]
-    if size == "large":
+    if size not in ("fixed", "auto", "salted"):
+        raise ValueError(f"size must be fixed, auto or salted, not {size!r}")
+    if size == "fixed":
+        joined = keyed.join(F.broadcast(side), names, how)
+    elif size == "auto" and broadcastable(side):
+        joined = keyed.join(side, names, how)
+    else:
         hot = hot_keys(fact if keys_from is None else keys_from, list(on))
         joined = salted_join(keyed, side, names, how, salt_by=salt_by, hot=hot)
-    elif size in ("fixed", "measured"):
-        joined = keyed.join(F.broadcast(side) if size == "fixed" else side, names, how)
-    else:
-        raise ValueError(f"size must be fixed, measured or large, not {size!r}")
     return joined.select(*fact.columns, *take.values())
 
 

@@ -24,7 +24,7 @@ class Lookup:
     on: Mapping[str, str]
     take: Mapping[str, str]
     how: str = "left"
-    size: str = "measured"
+    size: str = "auto"
 
 
 @dataclass(frozen=True)
@@ -61,7 +61,6 @@ def conformed_dim(
             "match_confidence": "match_confidence",
             "is_combination_product": "is_combination_product",
         },
-        size="large",
         salt_by=[m.natural_key, FROM],
     )
     shape = [m.key, m.member_type, m.natural_key, m.code, *m.attributes]

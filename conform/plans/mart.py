@@ -17,6 +17,7 @@ from conform.operators import history, joins, match, quality as q, reconcile, re
 from conform.operators.match import Seed
 from conform.operators.star import Lookup, Members
 from conform.plans import fixed
+from conform.session import sized
 from conform.sources import readers
 from conform.sources.lake import Lake
 
@@ -195,16 +196,21 @@ def dim_drug(snapshot: DataFrame, crosswalk: DataFrame, seed: DataFrame) -> Data
     return star.conformed_dim(snapshot, crosswalk, seed, DRUG_MEMBERS)
 
 
+def category_members(drugs: DataFrame) -> DataFrame:
+    """The few category rows of a large dimension, with their real size."""
+    rows = drugs.where(F.col("drug_member_type") == "atc_category")
+    return sized(rows.select("drug_sk", "atc_code", "generic_name", "pharm_class"), "categories")
+
+
 def fact_sales(sales: DataFrame, days: DataFrame, drugs: DataFrame) -> DataFrame:
     """One row per day and category, keyed to the category member."""
-    categories = drugs.where(F.col("drug_member_type") == "atc_category")
     return star.build_fact(
         sales,
         "sales_sk",
         ["sale_date", "atc_code"],
         [
             Lookup(days, {"sale_date": "full_date"}, {"date_sk": "date_sk"}, size="fixed"),
-            Lookup(categories, {"atc_code": "atc_code"}, {"drug_sk": "drug_sk"}),
+            Lookup(category_members(drugs), {"atc_code": "atc_code"}, {"drug_sk": "drug_sk"}),
         ],
         ["units_sold", "load_ts", "source_file"],
     )
@@ -216,23 +222,21 @@ def fact_review(
     """One row per review; drug and condition stay NULL where nothing matches."""
     current = drugs.where((F.col("drug_member_type") == "ndc_product") & F.col("is_current"))
     by_name = joins.name_map(current, "drug_sk", ["generic_name", "proprietary_name"])
+    by_name = sized(by_name, "names")
     return star.build_fact(
         reviews,
         "review_sk",
         ["review_id"],
         [
             Lookup(days, {"review_date": "full_date"}, {"date_sk": "date_sk"}, size="fixed"),
-            Lookup(by_name, {"drug_name_norm": "name_norm"}, {"drug_sk": "drug_sk"}, size="large"),
-            Lookup(
-                conditions, {"condition_name": "condition_name"}, {"condition_sk": "condition_sk"}
-            ),
+            Lookup(by_name, {"drug_name_norm": "name_norm"}, {"drug_sk": "drug_sk"}),
+            Lookup(conditions, {"condition_name": "condition_name"}, {"condition_sk": "condition_sk"}),
         ],
         ["rating", "useful_count", "dq_flag", "dq_reason", "load_ts", "source_file"],
     )
 
 
 def obt_sales_wide(facts: DataFrame, days: DataFrame, drugs: DataFrame) -> DataFrame:
-    categories = drugs.where(F.col("drug_member_type") == "atc_category")
     day = {"full_date": "sale_date", "year": "year", "month": "month", "weekday_name": "weekday_name"}
     drug = {c: c for c in ("atc_code", "generic_name", "pharm_class")}
     return star.serve(
@@ -240,7 +244,7 @@ def obt_sales_wide(facts: DataFrame, days: DataFrame, drugs: DataFrame) -> DataF
         ["sales_sk", "units_sold"],
         [
             Lookup(days, {"date_sk": "date_sk"}, day, "inner", "fixed"),
-            Lookup(categories, {"drug_sk": "drug_sk"}, drug, "inner"),
+            Lookup(category_members(drugs), {"drug_sk": "drug_sk"}, drug, "inner"),
         ],
     )
 
@@ -257,7 +261,7 @@ def obt_review_wide(
         [
             Lookup(days, {"date_sk": "date_sk"}, day, "inner", "fixed"),
             Lookup(conditions, {"condition_sk": "condition_sk"}, {"condition_name": "condition_name"}),
-            Lookup(drugs, {"drug_sk": "drug_sk"}, drug, size="large"),
+            Lookup(drugs, {"drug_sk": "drug_sk"}, drug),
         ],
     )
 

@@ -13,7 +13,7 @@ from conform.operators.star import Lookup, Members
 from conform.plans.cleaning import LINE_DEDUPED, LINE_KEYS, LINE_ORDER
 from conform.plans.matching import match_sql
 from conform.plans.registry import key_sql, norm_sql, query, table
-from conform.session import scratch_dir, stored
+from conform.session import scratch_dir, sized
 from conform.sources.lake import Lake
 
 SNAPSHOT_TS = "2024-01-01 00:00:00"
@@ -131,10 +131,10 @@ def line_fact(spark, sf_dir):
     """Order lines that know their part only by name: resolved to one member per name."""
     lines, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
     named = joins.lookup(
-        lines, part, {"l_partkey": "p_partkey"}, {"p_name": "p_name"}, size="large", salt_by=LINE_KEYS
+        lines, part, {"l_partkey": "p_partkey"}, {"p_name": "p_name"}, salt_by=LINE_KEYS
     )
     dim = part_dim(spark, sf_dir).where("member_type = 'part' and is_current")
-    by_name = stored(joins.name_map(dim, "part_sk", ["p_name"]), "names")
+    by_name = sized(joins.name_map(dim, "part_sk", ["p_name"]), "names")
     days = history.date_dim_covering(lines, "l_shipdate")
     flags = history.scd1_dim(lines, ["l_returnflag"], "flag_sk")
     facts = named.withColumns(
@@ -189,10 +189,34 @@ def partial_left_join(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang")
     labelled = labels.withColumn("hit", F.lit(True))
     take = {"quality": "quality", "toxic": "toxic", "hit": "is_labelled"}
-    out = joins.lookup(documents, labelled, {"doc_id": "doc_id"}, take, size="large")
+    out = joins.lookup(documents, labelled, {"doc_id": "doc_id"}, take)
     return out.withColumn("is_labelled", F.coalesce("is_labelled", F.lit(False)))
 
 
+@query(
+    "salted_lookup",
+    """
+    select l.l_orderkey, l.l_linenumber, l.l_partkey, s.s_name, o.o_orderstatus
+    from lineitem l left join supplier s on s.s_suppkey = l.l_suppkey
+    join orders o on o.o_orderkey = l.l_orderkey
+    """,
+)
+def salted_lookup(spark, sf_dir):
+    """The plan for dimensions too large to broadcast: hot keys of the fact are spread."""
+    lines = table(spark, sf_dir, "lineitem")
+    supplier, orders = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "orders")
+    return star.serve(
+        lines,
+        ["l_orderkey", "l_linenumber", "l_partkey"],
+        [
+            Lookup(supplier, {"l_suppkey": "s_suppkey"}, {"s_name": "s_name"}, size="salted"),
+            Lookup(
+                orders, {"l_orderkey": "o_orderkey"}, {"o_orderstatus": "o_orderstatus"}, "inner", "salted"
+            ),
+        ],
+    )
+
+
 @query(
     "key_coverage",
     """
@@ -228,7 +252,6 @@ def serving_inner(spark, sf_dir):
                 {"o_custkey": "c_custkey"},
                 {"c_name": "c_name", "c_mktsegment": "c_mktsegment", "c_nationkey": "c_nationkey"},
                 "inner",
-                "large",
             ),
             Lookup(nation, {"c_nationkey": "n_nationkey"}, {"n_name": "n_name"}, "inner"),
         ],
@@ -263,7 +286,7 @@ def serving_mixed(spark, sf_dir):
         ["o_orderkey"],
         [
             Lookup(
-                customer, {"o_custkey": "c_custkey"}, {"c_mktsegment": "c_mktsegment"}, "inner", "large"
+                customer, {"o_custkey": "c_custkey"}, {"c_mktsegment": "c_mktsegment"}, "inner"
             ),
             Lookup(
                 lines,

@@ -46,13 +46,27 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a derived table to the shared scratch folder and read it back.
+def broadcastable(df: DataFrame) -> bool:
+    """Whether Spark's own size estimate lets it broadcast the frame.
 
-    The plan is cut and the size becomes known: Spark then broadcasts the table where
-    it is small, instead of first shuffling the large side to find that out. Use it
+    For a stored table the estimate is its file size; for a derived one it is an upper
+    bound made from the inputs, so a small result of large inputs says no.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return size <= limit
+
+
+def sized(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame with a size Spark can trust.
+
+    Where the estimate alone rules a broadcast out, the frame is written to the shared
+    scratch folder and read back, so its real size decides. Without that, Spark would
+    shuffle the large side first and find out afterwards that it need not have. Meant
     for tables that are small next to what they are joined to.
     """
+    if broadcastable(df):
+        return df
     path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -167,12 +167,9 @@ class Lake:
 
     # --- commit log ---------------------------------------------------------------------
 
-    def _commit(self, log: str, ref: str, models: Sequence[str] = ()) -> int:
-        last = self._last(log)
-        seq = (last["seq"] if last else 0) + 1
+    def _commit(self, log: str, seq: int, ref: str, models: Sequence[str]) -> None:
         row = self.spark.createDataFrame([(seq, ref, list(models))], COMMIT)
         row.coalesce(1).write.mode("append").json(log)
-        return seq
 
     def _last(self, log: str):
         """Newest commit; the log holds one small row per run."""
@@ -226,8 +223,9 @@ class Lake:
             .partitionBy("is_open")
             .parquet(posixpath.join(self.snapshot(name), "data", f"version={v + 1}"))
         )
-        self._commit(posixpath.join(self.snapshot(name), "commits"), str(snapshot_ts), [name])
-        return self.read_snapshot(name)
+        log = posixpath.join(self.snapshot(name), "commits")
+        self._commit(log, v + 1, str(snapshot_ts), [name])
+        return self.read_snapshot(name, v + 1)
 
     # --- publish ------------------------------------------------------------------------
 
@@ -246,7 +244,9 @@ class Lake:
     def publish(self, run_id: str, models: Sequence[str]) -> dict[str, int]:
         """Make a run current, all models at once. Publishing an older run rolls back."""
         counts = self.verify(run_id, models)
-        self._commit(self._path("gold_commits"), run_id, models)
+        log = self._path("gold_commits")
+        last = self._last(log)
+        self._commit(log, last["seq"] + 1 if last else 1, run_id, models)
         return counts
 
     def current_run(self) -> str | None:

@@ -72,7 +72,7 @@ def test_salted_join_refuses_what_it_cannot_do(spark, skewed):
         joins.salted_join(fact, dim.withColumnRenamed("v", "row"), ["k"])
 
 
-@pytest.mark.parametrize("size", ["fixed", "measured", "large"])
+@pytest.mark.parametrize("size", ["fixed", "auto", "salted"])
 def test_lookup_keeps_every_row(spark, rows, size):
     fact = spark.createDataFrame([(1, "a"), (2, "zz"), (3, None)], "id int, code string")
     dim = spark.createDataFrame([("a", "A!"), (None, "never")], "c string, name string")
@@ -94,3 +94,17 @@ def test_orphan_keys(spark, rows):
     child = spark.createDataFrame([(1,), (2,), (2,), (None,)], "fk int")
     parent = spark.createDataFrame([(1,), (None,)], "pk int")
     assert rows(joins.orphan_keys(child, "fk", parent, "pk")) == [(2, 2)]
+
+
+def test_auto_lookup_salts_what_is_too_large_to_broadcast(spark, skewed):
+    fact, dim = skewed
+    plain = joins.lookup(fact, dim, {"k": "k"}, {"v": "v"})
+    assert "_salt" not in plain._jdf.queryExecution().analyzed().toString()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+        salted = joins.lookup(fact, dim, {"k": "k"}, {"v": "v"}, salt_by=["row"])
+        assert "_salt" in salted._jdf.queryExecution().analyzed().toString()
+        assert salted.exceptAll(plain).count() == 0 and salted.count() == plain.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
