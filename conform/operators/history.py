@@ -153,3 +153,12 @@ def _calendar(bounds: DataFrame) -> DataFrame:
         F.dayofmonth("full_date").alias("day"),
         dates.weekday_name("full_date").alias("weekday_name"),
     )
+
+
+def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows replaced by changes with the same key, plus the new ones.
+
+    For tables without history. Both sides are unique per key.
+    """
+    kept = target.join(changes.select(*keys), list(keys), "left_anti")
+    return kept.select(*target.columns).unionByName(changes)
