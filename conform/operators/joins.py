@@ -1,14 +1,16 @@
 """Joins that survive hot keys.
 
-Broadcasts happen in two cases only: the size of a side is fixed by construction
-(a calendar, at most ``HOT_KEYS`` hashes), or Spark itself finds it below
-``autoBroadcastJoinThreshold``. Everything else is a shuffle join whose hot keys
-:func:`salted_join` spreads.
+A side is broadcast in two cases only: its size is fixed by construction (a calendar),
+or Spark itself finds it below ``autoBroadcastJoinThreshold``. Everything else is a
+shuffle join whose hot keys :func:`salted_join` spreads. Keys that are merely warm are
+left to Spark's adaptive skew join.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,9 +18,19 @@ from pyspark.sql import functions as F
 from conform.functions import text
 from conform.session import broadcastable
 
-HOT_KEYS = 64  # bound on the hot-key list, hence on its broadcast
-HOT_SHARE = 0.01  # a key is hot when it holds more than this share of the rows
-SALTS = 32  # ways a hot key is split
+HOT_KEYS = 64  # most keys a join spreads
+HOT_FACTOR = 2  # a key is hot when it holds more than this many average partitions
+FINENESS = 4  # pieces per average partition a hot key is cut into
+SKETCH = 8192  # items a sketch of frequent keys tracks
+SKETCH_GROUPS = 64  # sketches that reach the last merge
+
+
+@dataclass(frozen=True)
+class HotKeys:
+    """Hashes of hot keys with the number of places each is spread to, and that of NULL keys."""
+
+    ways: Mapping[int, int] = field(default_factory=dict)
+    null_ways: int = 1
 
 
 def _key_hash(keys: Sequence[str]) -> str:
@@ -28,21 +40,32 @@ def _key_hash(keys: Sequence[str]) -> str:
     return f"if({known}, xxhash64({', '.join(quoted)}), null)"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Hashes of the keys that hold more than ``share`` of the rows; at most ``HOT_KEYS`` rows.
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys:
+    """The keys that hold more than ``HOT_FACTOR`` average shuffle partitions; at most ``HOT_KEYS``.
 
-    One pass over the key columns. Each task keeps a fixed-size sketch of frequent
-    items, so no key is shuffled. A miss or a hash collision costs speed only,
-    never a row: the list only decides which keys are spread.
+    An action: one pass over the key columns. Each task keeps a sketch of fixed size, so
+    no key is shuffled; sketches merge in two steps, and at most ``HOT_KEYS`` hashes come
+    to the driver. A miss or a hash collision costs speed only, never a row.
     """
-    found = df.select(F.expr(_key_hash(keys)).alias("_h")).agg(
-        F.expr(f"approx_top_k(_h, {HOT_KEYS}, 4096)").alias("_top"), F.expr("count(1)").alias("_rows")
-    )
-    return (
-        found.selectExpr("inline(_top)", "_rows")
-        .where(f"count > _rows * {share}D and item is not null")
-        .selectExpr("item as _hot")
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    top = (
+        df.select(F.expr(_key_hash(keys)).alias("h"), F.expr(f"spark_partition_id() % {SKETCH_GROUPS} as g"))
+        .groupBy("g")
+        .agg(F.expr(f"approx_top_k_accumulate(h, {SKETCH}) as s"), F.expr("count(1) as n"))
+        .groupBy(F.lit("all"))  # no row, rather than an empty sketch, where there is no input
+        .agg(F.expr(f"approx_top_k_combine(s, {SKETCH}) as s"), F.expr("sum(n) as n"))
+        .selectExpr(f"approx_top_k_estimate(s, {HOT_KEYS}) as items", "n")
+        .first()
     )
+    if top is None:
+        return HotKeys()
+    rows = top["n"]
+    hot = {
+        i["item"]: math.ceil(i["count"] / rows * partitions * FINENESS)
+        for i in top["items"]
+        if i["count"] * partitions > rows * HOT_FACTOR
+    }
+    return HotKeys({h: n for h, n in hot.items() if h is not None}, hot.get(None, 1))
 
 
 def salted_join(
@@ -50,43 +73,55 @@ def salted_join(
     right: DataFrame,
     keys: Sequence[str],
     how: str = "left",
-    salts: int = SALTS,
     salt_by: Sequence[str] | None = None,
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """``left`` joined to ``right`` on equal keys, with the hot keys of ``left`` split.
 
-    Rows of a hot key go to one of ``salts`` places by a hash of their content, and
-    the matching right rows are copied to all of those places; other keys are not
-    touched, and ``right`` holds few rows per key. NULL keys match nothing and are
-    spread too. The salt depends on row
-    content alone, so a task that runs again sends its rows to the same place.
+    Rows of a hot key are spread by a hash of their content over as many places as its
+    share asks for, and the matching right rows, which must be few per key, are copied to
+    all of them. Other keys are not touched; NULL keys match nothing and are spread too.
+    The salt depends on row content and on literals in the plan alone, so a task that runs
+    again sends its rows to the same place. Without hot keys this is a plain join.
 
     ``hot`` is the result of :func:`hot_keys` on any table with the same keys; give it
     where ``left`` is costly to compute and its keys come from a stored table.
-    ``how`` is ``inner`` or ``left``.
+    ``salt_by`` are columns that tell rows apart (default: all). ``how`` is ``inner`` or
+    ``left``.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join supports 'inner' and 'left', not {how!r}")
     clash = (set(left.columns) & set(right.columns)) - set(keys)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
+    _same_types(left, right, {k: k for k in keys})
     hot = hot_keys(left, keys) if hot is None else hot
-    by = ", ".join(f"`{c}`" for c in (salt_by or left.columns))
-    spread = f"pmod(xxhash64({by}), {salts})"
+    if not hot.ways and hot.null_ways == 1:
+        return left.join(right, list(keys), how)
+
+    content = f"xxhash64({', '.join(f'`{c}`' for c in (salt_by or left.columns))})"
+    salt, places = "0L", "array(0L)"
+    if hot.ways:
+        listed = f"_h in ({', '.join(f'{h}L' for h in hot.ways)})"
+        ways = "case _h " + " ".join(f"when {h}L then {n}L" for h, n in hot.ways.items()) + " end"
+        salt = f"if({listed}, pmod({content}, {ways}), 0L)"
+        places = f"if({listed}, sequence(0L, {ways} - 1), array(0L))"
+    salt = f"if(_h is null, pmod({content}, {hot.null_ways}L), {salt})"
+
+    def hashed(df: DataFrame) -> DataFrame:
+        return df.withColumn("_h", F.expr(_key_hash(keys)))
+
+    lhs = hashed(left).withColumn("_salt", F.expr(salt)).drop("_h")
+    rhs = hashed(right).where("_h is not null").withColumn("_salt", F.explode(F.expr(places))).drop("_h")
+    return lhs.join(rhs, [*keys, "_salt"], how).drop("_salt")
 
-    def marked(df: DataFrame) -> DataFrame:
-        hashed = df.withColumn("_h", F.expr(_key_hash(keys)))
-        return hashed.join(F.broadcast(hot), F.expr("_h = _hot"), "left")
 
-    lhs = marked(left).selectExpr(
-        *[f"`{c}`" for c in left.columns], f"if(_hot is not null or _h is null, {spread}, 0L) as _salt"
-    )
-    rhs = marked(right).where("_h is not null").selectExpr(
-        *[f"`{c}`" for c in right.columns],
-        f"explode(if(_hot is not null, sequence(0L, {salts - 1}L), array(0L))) as _salt",
-    )
-    return lhs.join(rhs, [*keys, "_salt"], how).drop("_salt")
+def _same_types(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> None:
+    """Keys of different types hash differently; let the caller say which cast is meant."""
+    for a, b in on.items():
+        x, y = left.schema[a].dataType, right.schema[b].dataType
+        if x != y:
+            raise ValueError(f"join key {a!r} is {x.simpleString()} but {b!r} is {y.simpleString()}")
 
 
 def lookup(
@@ -112,14 +147,15 @@ def lookup(
         than the fact (default: the fact), and rows are spread by ``salt_by``, columns
         that tell rows apart (default: all, which reads all).
     """
+    if size not in ("fixed", "auto", "salted"):
+        raise ValueError(f"size must be fixed, auto or salted, not {size!r}")
+    _same_types(fact, dim, on)
     side = dim.select(
         *[F.col(d).alias(f"_k{i}") for i, d in enumerate(on.values())],
         *[F.col(src).alias(dst) for src, dst in take.items()],
     )
     keyed = fact.withColumns({f"_k{i}": F.col(f) for i, f in enumerate(on)})
     names = [f"_k{i}" for i in range(len(on))]
-    if size not in ("fixed", "auto", "salted"):
-        raise ValueError(f"size must be fixed, auto or salted, not {size!r}")
     if size == "fixed":
         joined = keyed.join(F.broadcast(side), names, how)
     elif size == "auto" and broadcastable(side):

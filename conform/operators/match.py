@@ -65,13 +65,13 @@ def tiered_match(
     flagged = df.withColumn("is_combination_product", text.is_combination(name))
     rows = None if strategy == "index" else _seed_rows(seed)
     if rows is not None and len(rows) <= MAX_INLINE:
-        matched = flagged.withColumn("_best", _inline_best(rows, name, klass, min_len))
+        found = _inline_best(flagged, rows, name, klass, min_len)
     elif strategy == "inline":
         raise ValueError(f"seed has more than {MAX_INLINE} rows; use strategy='index'")
     else:
-        matched = _index_best(flagged, seed, key, name, klass, min_len)
+        found = _index_best(flagged, seed, key, name, klass, min_len)
     tier = F.get(F.array(*[F.lit(t) for t in TIERS]), F.col("_best.tier") - 1)
-    return matched.select(
+    return found.withColumn("_best", _best()).select(
         *key,
         F.col("_best.code").alias(seed.code),
         name,
@@ -81,22 +81,19 @@ def tiered_match(
     )
 
 
-def _best(exact: Column, hint: Column, word: Column) -> Column:
-    """``(tier, code)`` from the smallest code each rule found; NULL when none did.
+def _best() -> Column:
+    """``(tier, code)`` from ``_exact``, ``_hint`` and ``_word``, the smallest code of each rule.
 
     The word rule needs a known combination flag: with a NULL name it is NULL and
     neither of its two tiers can hold.
     """
-    flag = F.col("is_combination_product")
-
-    def hit(tier: int, code: Column) -> Column:
-        return F.struct(F.lit(tier).alias("tier"), code.alias("code"))
-
-    return (
-        F.when(exact.isNotNull(), hit(1, exact))
-        .when(hint.isNotNull(), hit(2, hint))
-        .when(~flag & word.isNotNull(), hit(3, word))
-        .when(flag & word.isNotNull(), hit(4, word))
+    return F.expr(
+        """case when _exact is not null then struct(1 as tier, _exact as code)
+                when _hint is not null then struct(2 as tier, _hint as code)
+                when _word is not null and not is_combination_product
+                    then struct(3 as tier, _word as code)
+                when _word is not null and is_combination_product
+                    then struct(4 as tier, _word as code) end"""
     )
 
 
@@ -118,7 +115,9 @@ def _seed_rows(seed: Seed) -> list[Row]:
     )
 
 
-def _inline_best(rows: list[Row], name: str, klass: str, min_len: int) -> Column:
+def _inline_best(
+    flagged: DataFrame, rows: list[Row], name: str, klass: str, min_len: int
+) -> DataFrame:
     # In code order, so the first hit of a coalesce is the smallest code.
     ordered = sorted(rows, key=lambda r: r.code)
     folded, lowered, lowered_class = text.folded(name), F.lower(name), F.lower(klass)
@@ -126,22 +125,24 @@ def _inline_best(rows: list[Row], name: str, klass: str, min_len: int) -> Column
     def first(hits: list[Column]) -> Column:
         return F.coalesce(F.lit(None).cast("string"), *hits)
 
-    return _best(
-        exact=first([F.when(folded == r.folded, r.code) for r in ordered if r.folded is not None]),
-        hint=first(
-            [
-                F.when(text.like_containing(lowered_class, F.lit(r.hint)), F.lit(r.code))
-                for r in ordered
-                if r.hint is not None
-            ]
-        ),
-        word=first(
-            [
-                F.when(text.whole_word(lowered, F.lit(r.word)), F.lit(r.code))
-                for r in ordered
-                if r.word is not None and r.size >= min_len
-            ]
-        ),
+    exact = [F.when(folded == r.folded, r.code) for r in ordered if r.folded is not None]
+    hint = [
+        F.when(text.like_containing(lowered_class, F.lit(r.hint)), F.lit(r.code))
+        for r in ordered
+        if r.hint is not None
+    ]
+    word = [
+        F.when(text.whole_word(lowered, F.lit(r.word)), F.lit(r.code))
+        for r in ordered
+        if r.word is not None and r.size >= min_len
+    ]
+    # One projection per rule: each runs once per row, and only where no better one held.
+    return (
+        flagged.withColumn("_exact", first(exact))
+        .withColumn("_hint", F.when(F.col("_exact").isNull(), first(hint)))
+        .withColumn(
+            "_word", F.when(F.col("_exact").isNull() & F.col("_hint").isNull(), first(word))
+        )
     )
 
 
@@ -179,8 +180,7 @@ def _index_best(
     )
     keyed = flagged.withColumns({"_n": F.col(name), "_c": F.col(klass)})
     named = salted_join(keyed, by_name, ["_n"], salt_by=key)
-    joined = salted_join(named, by_class, ["_c"], salt_by=key, hot=hot_keys(keyed, ["_c"]))
-    return joined.withColumn("_best", _best(F.col("_exact"), F.col("_hint"), F.col("_word")))
+    return salted_join(named, by_class, ["_c"], salt_by=key, hot=hot_keys(keyed, ["_c"]))
 
 
 def _smallest_code(rows: DataFrame, seed: Seed, term: Column) -> DataFrame:
