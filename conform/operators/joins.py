@@ -16,13 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from conform.functions import text
-from conform.session import broadcastable
+from conform.session import broadcastable, estimated_bytes
 
 HOT_KEYS = 64  # most keys a join spreads
 HOT_FACTOR = 2  # a key is hot when it holds more than this many average partitions
 FINENESS = 4  # pieces per average partition a hot key is cut into
 SKETCH = 8192  # items a sketch of frequent keys tracks
 SKETCH_GROUPS = 64  # sketches that reach the last merge
+ONE_TASK = 64 << 20  # bytes of a left side that one task can take whole, hot key and all
 
 
 @dataclass(frozen=True)
@@ -116,6 +117,20 @@ def salted_join(
     return lhs.join(rhs, [*keys, "_salt"], how).drop("_salt")
 
 
+def needs_salt(left: DataFrame, right: DataFrame) -> bool:
+    """Whether a join may need its hot keys split: not if either side is small."""
+    return estimated_bytes(left) > ONE_TASK and not broadcastable(right)
+
+
+def join_back(
+    df: DataFrame, answers: DataFrame, keys: Sequence[str], salt_by: Sequence[str], keys_from: DataFrame
+) -> DataFrame:
+    """Left join of a table to answers found for its distinct keys."""
+    if not needs_salt(df, answers):
+        return df.join(answers, list(keys), "left")
+    return salted_join(df, answers, keys, salt_by=salt_by, hot=hot_keys(keys_from, keys))
+
+
 def _same_types(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> None:
     """Keys of different types hash differently; let the caller say which cast is meant."""
     for a, b in on.items():
@@ -141,7 +156,8 @@ def lookup(
 
     ``size`` says how the dimension is brought to the fact:
       * ``fixed``: bounded by construction (a calendar): broadcast.
-      * ``auto``: broadcast when Spark's size estimate allows it, else ``salted``.
+      * ``auto``: left to Spark where the dimension can be broadcast or the fact is small
+        enough for one task, by Spark's size estimates; else ``salted``.
       * ``salted``: shuffled, with the hot keys of the fact spread. They are looked for
         in ``keys_from``, a table with the same ``on`` columns that is cheaper to read
         than the fact (default: the fact), and rows are spread by ``salt_by``, columns
@@ -158,7 +174,7 @@ def lookup(
     names = [f"_k{i}" for i in range(len(on))]
     if size == "fixed":
         joined = keyed.join(F.broadcast(side), names, how)
-    elif size == "auto" and broadcastable(side):
+    elif size == "auto" and not needs_salt(keyed, side):
         joined = keyed.join(side, names, how)
     else:
         hot = hot_keys(fact if keys_from is None else keys_from, list(on))

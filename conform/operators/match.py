@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from conform.functions import text
-from conform.operators.joins import hot_keys, salted_join
+from conform.operators.joins import join_back
 
 TIERS = ("exact", "normalized", "fuzzy", "combination_unverified")
 UNMATCHED = "unmatched"
@@ -179,8 +179,8 @@ def _index_best(
         .agg(F.min("code").alias("_hint"))
     )
     keyed = flagged.withColumns({"_n": F.col(name), "_c": F.col(klass)})
-    named = salted_join(keyed, by_name, ["_n"], salt_by=key)
-    return salted_join(named, by_class, ["_c"], salt_by=key, hot=hot_keys(keyed, ["_c"]))
+    named = join_back(keyed, by_name, ["_n"], key, keyed)
+    return join_back(named, by_class, ["_c"], key, keyed)
 
 
 def _smallest_code(rows: DataFrame, seed: Seed, term: Column) -> DataFrame:

@@ -46,15 +46,18 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate: file size for a stored table, mostly an upper bound otherwise."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def broadcastable(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate lets it broadcast the frame.
+    """Whether the size estimate lets Spark broadcast the frame.
 
-    For a stored table the estimate is its file size; for a derived one it is an upper
-    bound made from the inputs, so a small result of large inputs says no.
+    A small result derived from large inputs says no; see :func:`sized`.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return size <= limit
+    return estimated_bytes(df) <= limit
 
 
 def sized(df: DataFrame, purpose: str) -> DataFrame:

@@ -118,13 +118,16 @@ def test_orphan_keys(spark, rows):
     assert rows(joins.orphan_keys(child, "fk", parent, "pk")) == [(2, 2)]
 
 
-def test_auto_lookup_salts_what_is_too_large_to_broadcast(spark, skewed):
+def test_auto_lookup_salts_what_is_too_large_to_broadcast(spark, skewed, monkeypatch):
     fact, dim = skewed
     plain = joins.lookup(fact, dim, {"k": "k"}, {"v": "v"})
     assert "_salt" not in plain._jdf.queryExecution().analyzed().toString()
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+        small = joins.lookup(fact, dim, {"k": "k"}, {"v": "v"}, salt_by=["row"])
+        assert "_salt" not in small._jdf.queryExecution().analyzed().toString()
+        monkeypatch.setattr(joins, "ONE_TASK", 10)
         salted = joins.lookup(fact, dim, {"k": "k"}, {"v": "v"}, salt_by=["row"])
         assert "_salt" in salted._jdf.queryExecution().analyzed().toString()
         assert salted.exceptAll(plain).count() == 0 and salted.count() == plain.count()
