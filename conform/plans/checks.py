@@ -88,7 +88,7 @@ def dq_generic(spark, sf_dir):
            count(*) filter (where lang not in ('en', 'fr', 'de')) = 0
     from (select distinct lang from documents)
     union all
-    select 'unique_doc_id', 'error', count(*) filter (where n > 1), sum(n),
+    select 'unique_doc_id', 'error', count(*) filter (where n > 1), cast(sum(n) as bigint),
            count(*) filter (where n > 1), count(*) filter (where n > 1) = 0
     from (select doc_id, count(*) as n from documents group by 1)
     """,
