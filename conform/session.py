@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import os
+import posixpath
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,11 +40,13 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     a lost executor loses nothing. Only a session without that setting (a test on
     one machine) gets a local folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="conform-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()
+    return posixpath.join(base, f"{purpose}-{uuid.uuid4().hex}")
+
+
+@lru_cache(maxsize=1)
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="conform-")
 
 
 def estimated_bytes(df: DataFrame) -> int:

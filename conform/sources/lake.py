@@ -23,6 +23,7 @@ from conform.operators.history import FROM, TO
 from conform.sources.readers import read_or_empty
 
 DATE = "load_date"
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder for a NULL
 COMMIT = T.StructType(
     [
         T.StructField("seq", T.LongType()),
@@ -101,10 +102,9 @@ class Lake:
         return self.read_date(path, dates[-1])
 
     def dates(self, path: str) -> list[str]:
-        """Dates of a table from its folder names; no file is opened."""
-        return sorted(
-            name.split("=", 1)[1] for name in self._children(path) if name.startswith(f"{DATE}=")
-        )
+        """Dates of a table from its folder names; no file is opened. Rows without a date have none."""
+        values = [n.split("=", 1)[1] for n in self._children(path) if n.startswith(f"{DATE}=")]
+        return sorted(v for v in values if v != NO_DATE)
 
     def _children(self, path: str) -> list[str]:
         jvm = self.spark._jvm

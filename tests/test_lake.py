@@ -63,6 +63,26 @@ def test_a_date_is_replaced_and_others_stay(spark, lake, rows):
         lake.read_date(path, "2024-01-03")
 
 
+def test_each_row_goes_to_its_date_and_none_is_lost(spark, lake, rows):
+    path = lake.bronze("s", "days")
+    df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02"), (3, None)], "v int, d string")
+    lake.write_dates(df, path, F.col("d").cast("date"))
+    assert lake.dates(path) == ["2024-01-01", "2024-01-02"]
+    assert rows(lake.read_latest(path), "v") == [(2,)]
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_scratch_folder(spark):
+    from types import SimpleNamespace
+
+    from conform.session import scratch_dir
+
+    named = scratch_dir(spark, "x")
+    assert named.startswith(spark.conf.get("spark.checkpoint.dir")) and named != scratch_dir(spark, "x")
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default))
+    assert "conform-" in scratch_dir(unset, "x")
+
+
 def test_reading_a_date_prunes_the_others(spark, lake):
     path = lake.bronze("s", "t")
     for day in ("2024-01-01", "2024-01-02"):
