@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from conform.llm import secrets, top_k, warc
+from conform.llm import near_dup, quality, quotes, secrets, top_k, toxicity, warc
 from conform.llm.common import Plan
 
 QUERIES: dict[str, Plan] = {
+    "op2_near_duplicates": near_dup.op2_near_duplicates,
     "op3_top_k": top_k.op3_top_k,
+    "op4_quality": quality.op4_quality,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_secret_scan": secrets.op7_secret_scan,
     "op8_warc": warc.op8_warc,
+    "op9_chat": quotes.op9_chat,
 }
 ORACLES: dict[str, str] = {
+    "op2_near_duplicates": near_dup.SQL,
     "op3_top_k": top_k.SQL,
     "op7_secret_scan": secrets.SQL,
     "op8_warc": warc.SQL,
