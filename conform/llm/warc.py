@@ -6,11 +6,12 @@ import base64
 import hashlib
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conform.llm.common import read, stored
+from conform.llm.common import bitmap, maybe_in, read, stored
 from conform.session import scratch_dir
 
 CRLF = b"\r\n"
@@ -164,13 +165,22 @@ def write_warc(
                     }, part))
             yield pa.RecordBatch.from_arrays([pa.array([x.decode() for x in out], pa.string())], ["value"])
 
-    responses = rows.join(verdict.where(~F.col("revisit")).select("row"), "row").select(
+    # Most rows are surely no revisit: a bitmap of fixed size says so, and their bodies are not shuffled.
+    seen = bitmap(verdict.where("revisit"), "row")
+
+    @F.pandas_udf("boolean")
+    def maybe_revisit(row: pd.Series) -> pd.Series:
+        return pd.Series(maybe_in(seen, row.to_numpy().astype("int64")))
+
+    sure = rows.where(~maybe_revisit("row"))
+    unsure = rows.where(maybe_revisit("row"))
+    told = ["revisit", "sha", "first_id", "first_row"]
+    responses = sure.unionByName(unsure.join(verdict.where("not revisit").select("row"), "row")).select(
         "id", "row", "url", "body", F.lit(False).alias("revisit"), F.lit("").alias("sha"),
         F.lit(None).cast("long").alias("first_id"), F.lit(None).cast("long").alias("first_row"),
     )
-    urls = rows.select("row", "url")
-    revisits = verdict.where("revisit").join(urls, "row").select(
-        "id", "row", "url", F.lit(None).cast("binary").alias("body"), "revisit", "sha", "first_id", "first_row"
+    revisits = unsure.select("row", "url").join(verdict.where("revisit"), "row").select(
+        "id", "row", "url", F.lit(None).cast("binary").alias("body"), *told
     )
     for frame in (responses, revisits):
         frame.mapInArrow(encode, "value string").write.mode("append").option("lineSep", "\r\n\r\n").option(
