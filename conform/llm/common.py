@@ -131,3 +131,53 @@ def maybe_in(bitmap_bytes: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which keys a bitmap may hold."""
     at = slot(keys, len(bitmap_bytes) * 8)
     return (bitmap_bytes[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+
+
+# -- compact columns for blocks of documents -----------------------------------------------
+
+
+def squeeze(values: np.ndarray) -> bytes:
+    """Non-negative 32-bit numbers by byte planes, compressed."""
+    data = np.ascontiguousarray(values, dtype="<u4")
+    planes = data.view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(data).to_bytes(4, "little") + pa.Codec("zstd", 3).compress(planes, asbytes=True) if len(data) else b"\0\0\0\0"
+
+
+def unsqueeze(packed: bytes) -> np.ndarray:
+    n = int.from_bytes(packed[:4], "little")
+    if not n:
+        return np.empty(0, dtype=np.uint32)
+    planes = pa.Codec("zstd").decompress(packed[4:], 4 * n, asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(4, n).T).view("<u4").ravel()
+
+
+def pack_words(words: list[str]) -> bytes:
+    parts = [w.encode("utf-8", "surrogatepass") for w in words]
+    joined = b"".join(parts)
+    sizes = squeeze(np.array([len(p) for p in parts], dtype=np.uint32))
+    body = pa.Codec("zstd", 3).compress(joined, asbytes=True) if joined else b""
+    return len(sizes).to_bytes(4, "little") + len(joined).to_bytes(4, "little") + sizes + body
+
+
+def unpack_words(packed: bytes) -> list[str]:
+    n, size = int.from_bytes(packed[:4], "little"), int.from_bytes(packed[4:8], "little")
+    ends = np.cumsum(unsqueeze(packed[8 : 8 + n])).tolist()
+    joined = pa.Codec("zstd").decompress(packed[8 + n :], size, asbytes=True) if size else b""
+    return [joined[a:b].decode("utf-8", "surrogatepass") for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def by_bucket(words: list[str], buckets: int) -> tuple[np.ndarray, list[tuple[int, list[str]]]]:
+    """New places of the words when they are put in order of their hash bucket, and each bucket's words in that order."""
+    import xxhash
+
+    if not words:
+        return np.empty(0, dtype=np.int64), []
+    digest = xxhash.xxh3_64_intdigest
+    bucket = np.array([digest(w.encode("utf-8", "surrogatepass")) % buckets for w in words], dtype=np.int64)
+    order = np.argsort(bucket, kind="stable")
+    place = np.empty(len(words), dtype=np.int64)
+    place[order] = np.arange(len(words))
+    there, starts = np.unique(bucket[order], return_index=True)
+    ends = [*starts[1:].tolist(), len(words)]
+    parts = [(int(b), [words[i] for i in order[s:e]]) for b, s, e in zip(there, starts.tolist(), ends, strict=True)]
+    return place, parts
