@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from conform.llm import near_dup, quality, quotes, secrets, top_k, toxicity, warc
+from conform.llm import near_dup, pieces, quality, quotes, secrets, tiling, token_counts, top_k, toxicity, warc
 from conform.llm.common import Plan
 
 QUERIES: dict[str, Plan] = {
+    "op1_token_counts": token_counts.op1_token_counts,
     "op2_near_duplicates": near_dup.op2_near_duplicates,
     "op3_top_k": top_k.op3_top_k,
     "op4_quality": quality.op4_quality,
+    "op5_pieces": pieces.op5_pieces,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_secret_scan": secrets.op7_secret_scan,
     "op8_warc": warc.op8_warc,
     "op9_chat": quotes.op9_chat,
+    "op10_decontamination": tiling.op10_decontamination,
 }
 ORACLES: dict[str, str] = {
     "op2_near_duplicates": near_dup.SQL,

@@ -1,11 +1,87 @@
-"""The training-data pipeline."""
+"""The training-data pipeline: five stages from ``documents`` to token ids.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and works on all documents that the one before it kept. All but the last return the
+columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from conform.llm import near_dup, pieces, quality, secrets, tiling
+from conform.llm.common import read, stored
+
+#: A document goes if its quality score is below this.
+KEEP_FROM = 0.5
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    scored = quality.score_quality(docs, quality.fitted(spark, sf_dir), out_col="_score")
+    return scored.where(F.col("_score") >= KEEP_FROM).select(docs.columns)
+
+
+def keep_one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id; documents without words stay, as they link with nothing."""
+    classes = near_dup.near_duplicates(docs)
+    others = classes.where("doc_id <> component_id").select("doc_id").distinct()
+    return without(docs, others).dropDuplicates(["doc_id", "text"])
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without tiled benchmark items."""
+    return without(docs, tiling.contaminated(docs, read(spark, sf_dir, "benchmark")).select("doc_id").distinct())
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, live-looking secrets masked; ``n_chars`` follows the text."""
+    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_pieces, ids and whether the ids decode to the text."""
+    import public_tokenizers
+
+    return pieces.encoded_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents whose id is not in ``gone``. A bitmap of fixed size tells which surely stay; only the others
+    are shuffled to the exact anti join."""
+    import pandas as pd
+
+    from conform.llm.common import bitmap, maybe_in
+
+    gone = stored(gone, "pipeline-gone")
+    seen = bitmap(gone, "doc_id")
+
+    @F.pandas_udf("boolean")
+    def maybe(ids: pd.Series) -> pd.Series:
+        return pd.Series(maybe_in(seen, ids.fillna(-1).to_numpy().astype("int64")))
+
+    flagged = maybe(F.col("doc_id"))
+    return docs.where(~flagged).unionByName(docs.where(flagged).join(gone, "doc_id", "left_anti"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", keep_good),
+    ("n-gram Jaccard join", keep_one_per_group),
+    ("benchmark decontamination", drop_benchmark),
+    ("secret scans", mask_secrets),
+    ("SentencePiece encoding and decoding", encode),
+]
+#: SQL cannot say what the classifier and the encoder do; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what a stage returns is stored and read again."""
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-").lower())
     return docs
