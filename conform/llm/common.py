@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conform.session import scratch_dir
@@ -133,6 +134,27 @@ def maybe_in(bitmap_bytes: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap_bytes[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
 
 
+def flagged(seen: np.ndarray, key: str) -> Column:
+    """Whether a bitmap may hold the row's key; false for null."""
+
+    @F.pandas_udf("boolean")
+    def test(keys: pd.Series) -> pd.Series:
+        there = keys.notna().to_numpy()
+        return pd.Series(maybe_in(seen, keys.fillna(0).to_numpy().astype(np.int64)) & there)
+
+    return test(F.col(key).cast("long"))
+
+
+def without(df: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is not in ``gone``; rows with a null key stay.
+
+    A bitmap tells which rows surely stay, and only the others are shuffled to the exact anti join.
+    """
+    gone = stored(gone.select(key).distinct(), "gone")
+    maybe = flagged(bitmap(gone, key), key)
+    return df.where(~maybe).unionByName(df.where(maybe).join(gone, key, "left_anti"))
+
+
 # -- compact columns for blocks of documents -----------------------------------------------
 
 

@@ -6,12 +6,11 @@ import base64
 import hashlib
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conform.llm.common import bitmap, maybe_in, read, stored
+from conform.llm.common import bitmap, flagged, read, stored
 from conform.session import scratch_dir
 
 CRLF = b"\r\n"
@@ -168,12 +167,9 @@ def write_warc(
     # Most rows are surely no revisit: a bitmap of fixed size says so, and their bodies are not shuffled.
     seen = bitmap(verdict.where("revisit"), "row")
 
-    @F.pandas_udf("boolean")
-    def maybe_revisit(row: pd.Series) -> pd.Series:
-        return pd.Series(maybe_in(seen, row.to_numpy().astype("int64")))
-
-    sure = rows.where(~maybe_revisit("row"))
-    unsure = rows.where(maybe_revisit("row"))
+    maybe_revisit = flagged(seen, "row")
+    sure = rows.where(~maybe_revisit)
+    unsure = rows.where(maybe_revisit)
     told = ["revisit", "sha", "first_id", "first_row"]
     responses = sure.unionByName(unsure.join(verdict.where("not revisit").select("row"), "row")).select(
         "id", "row", "url", "body", F.lit(False).alias("revisit"), F.lit("").alias("sha"),

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from conform.llm import near_dup, pieces, quality, secrets, tiling
-from conform.llm.common import read, stored
+from conform.llm.common import bitmap, flagged, read, stored, without
 
 #: A document goes if its quality score is below this.
 KEEP_FROM = 0.5
@@ -27,15 +27,22 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id; documents without words stay, as they link with nothing."""
+    """Of each group of near duplicates the document with the smallest id; documents without words link with nothing and stay.
+
+    Rows that repeat an id are one document: the one with the smallest text stays.
+    """
     classes = near_dup.near_duplicates(docs)
-    others = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    return without(docs, others).dropDuplicates(["doc_id", "text"])
+    kept = without(docs, classes.where("doc_id <> component_id"), "doc_id")
+    repeated = stored(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "pipeline-repeated")
+    again = flagged(bitmap(repeated, "doc_id"), "doc_id")
+    first = Window.partitionBy("doc_id").orderBy("text")
+    once = kept.where(again).withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    return kept.where(~again).unionByName(once)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without tiled benchmark items."""
-    return without(docs, tiling.contaminated(docs, read(spark, sf_dir, "benchmark")).select("doc_id").distinct())
+    return without(docs, tiling.contaminated(docs, read(spark, sf_dir, "benchmark")), "doc_id")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,24 +57,6 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pieces.encoded_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The documents whose id is not in ``gone``. A bitmap of fixed size tells which surely stay; only the others
-    are shuffled to the exact anti join."""
-    import pandas as pd
-
-    from conform.llm.common import bitmap, maybe_in
-
-    gone = stored(gone, "pipeline-gone")
-    seen = bitmap(gone, "doc_id")
-
-    @F.pandas_udf("boolean")
-    def maybe(ids: pd.Series) -> pd.Series:
-        return pd.Series(maybe_in(seen, ids.fillna(-1).to_numpy().astype("int64")))
-
-    flagged = maybe(F.col("doc_id"))
-    return docs.where(~flagged).unionByName(docs.where(flagged).join(gone, "doc_id", "left_anti"))
-
-
 STAGES: list[tuple[str, Stage]] = [
     ("quality classifier", keep_good),
     ("n-gram Jaccard join", keep_one_per_group),
