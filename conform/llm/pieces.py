@@ -160,11 +160,11 @@ def _blocks(docs: DataFrame, pieces: Pieces, buckets: int, block_bytes: int, wha
     """Blocks of documents, cut alike at every call: their vocabularies, or their documents as word numbers."""
     cut, prefix = pieces.cut, pieces.prefix
     schema = (
-        pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()), ("check", pa.int64())])
+        pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary())])
         if what == "vocabulary"
         else pa.schema([
             ("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("lengths", pa.binary()), ("hashes", pa.list_(pa.int64())),
-            ("numbers", pa.binary()), ("check", pa.int64()),
+            ("numbers", pa.binary()),
         ])
     )
 
@@ -174,13 +174,17 @@ def _blocks(docs: DataFrame, pieces: Pieces, buckets: int, block_bytes: int, wha
         base, n, pattern = TaskContext.get().partitionId() << 32, 0, re.compile(cut)
 
         def rows(block: Block) -> pa.RecordBatch:
+            import xxhash
+
+            # The key says what the vocabulary is: a block that is cut differently finds no words.
             place, packed, check = block.vocabulary()
+            key = xxhash.xxh3_64_intdigest(f"{base + n}:{check}") >> 1
             if what == "vocabulary":
-                return pa.RecordBatch.from_pylist([{"block": base + n, "bucket": b, "words": w, "check": check} for b, w in packed], schema)
+                return pa.RecordBatch.from_pylist([{"block": key, "bucket": b, "words": w} for b, w in packed], schema)
             flat = np.concatenate([*block.words, np.empty(0, dtype=np.uint32)])
             return pa.RecordBatch.from_pylist([{
-                "block": base + n, "ids": block.ids, "lengths": squeeze(np.array(block.lengths, dtype=np.uint32)), "hashes": block.hashes,
-                "numbers": squeeze(place[flat] if len(place) else flat), "check": check,
+                "block": key, "ids": block.ids, "lengths": squeeze(np.array(block.lengths, dtype=np.uint32)), "hashes": block.hashes,
+                "numbers": squeeze(place[flat] if len(place) else flat),
             }], schema)
 
         block = Block(pattern, prefix, buckets)
@@ -194,9 +198,9 @@ def _blocks(docs: DataFrame, pieces: Pieces, buckets: int, block_bytes: int, wha
             yield rows(block)
 
     types = (
-        "block long, bucket int, words binary, check long"
+        "block long, bucket int, words binary"
         if what == "vocabulary"
-        else "block long, ids array<long>, lengths binary, hashes array<long>, numbers binary, check long"
+        else "block long, ids array<long>, lengths binary, hashes array<long>, numbers binary"
     )
     return docs.mapInArrow(pack, types)
 
@@ -268,7 +272,7 @@ def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
 
     grouped = edges.mapInArrow(group, "word string, refs binary, edges array<struct<ends:long,inner:long,start:int,score:double>>")
     full = F.lit(1).cast("long")
-    all_bits = (F.call_function("shiftleft", full, F.length("word") + 1)) - 1
+    all_bits = F.call_function("shiftleft", full, F.length("word")) - 1 + F.call_function("shiftleft", full, F.length("word"))
 
     if bpe:
         def step(state: Column, _: Column) -> Column:
@@ -315,7 +319,7 @@ def encode(
     Characters that no piece holds become their byte pieces (the unknown piece, if the model has none). Returns id, ``ids`` (array) and ``text_hash``
     (CRC-32 of the text as it can be decoded) for every row; a null text is an empty one and has no ids; null and repeated ids stay as they are. ``docs``
     is read twice and must give the same rows in the same order both times, as a stored table does; otherwise
-    the blocks' checksums differ and the job fails. Other columns are ignored; no rows give no rows.
+    the blocks do not find their words and the job fails. Other columns are ignored; no rows give no rows.
     """
     spark = docs.sparkSession
     buckets = max(256, 4 * partitions(spark))
@@ -407,7 +411,7 @@ def encode(
         tables = []
         for row in left.to_pylist():
             numbers, lengths = unsqueeze(row["numbers"]).astype(np.int64), unsqueeze(row["lengths"]).astype(np.int64)
-            if len(numbers) and numbers.max() >= len(width):
+            if len(numbers) and not len(width):
                 raise ValueError(f"block {row['block']} was cut differently when read again")
             w = width[numbers]
             ends = np.cumsum(w)

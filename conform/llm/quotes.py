@@ -143,7 +143,7 @@ def reply_order(linked: DataFrame, id_col: str, scope: tuple[str, ...] = ()) ->
     """``linked`` with ``root`` (first message of the conversation), ``depth`` (replies below it) and ``position``.
 
     Pointers to the answered message are doubled until each ends at a root, so the number of rounds is the logarithm of the
-    deepest conversation. ``position`` counts from 0 by depth, then id, within a root. A message that answers
+    deepest conversation; a message that has reached its root takes no part in later rounds. ``position`` counts from 0 by depth, then id, within a root. A message that answers
     nothing is its own root.
     """
     names = {c: f"s{i}" for i, c in enumerate(scope)}
@@ -151,21 +151,23 @@ def reply_order(linked: DataFrame, id_col: str, scope: tuple[str, ...] = ()) ->
         *[F.col(c).alias(s) for c, s in names.items()], F.col(id_col).alias("id"), F.col("reply_to").alias("up"),
         F.when(F.col("reply_to").isNull(), 0).otherwise(1).alias("steps"),
     ).dropDuplicates([*names.values(), "id"])
-    nodes = stored(nodes, "quotes-pointers")
-    while True:
+    moving = stored(nodes, "quotes-pointers")
+    ended = moving.where("up is null")
+    moving = moving.where("up is not null")
+    while not moving.isEmpty():
         on = [F.col("a.up") == F.col("b.id"), *[F.col(f"a.{s}").eqNullSafe(F.col(f"b.{s}")) for s in names.values()]]
-        nodes = stored(
-            nodes.alias("a").join(nodes.alias("b"), on, "left").select(
+        hopped = stored(
+            moving.alias("a").join(moving.unionByName(ended).alias("b"), on, "left").select(
                 *[f"a.{s}" for s in names.values()], "a.id",
                 F.coalesce("b.up", "a.up").alias("up"),
                 (F.col("a.steps") + F.when(F.col("b.up").isNotNull(), F.col("b.steps")).otherwise(0)).alias("steps"),
-                (F.col("b.up").isNotNull()).alias("moved"),
+                F.col("b.up").isNotNull().alias("moved"),
             ),
             "quotes-pointers",
         )
-        if nodes.where("moved").isEmpty():
-            break
-        nodes = nodes.drop("moved")
+        ended = ended.unionByName(hopped.where("not moved").drop("moved"))
+        moving = hopped.where("moved").drop("moved")
+    nodes = ended
     ends = nodes.select(
         *[F.col(s).alias(f"_{s}") for s in names.values()], F.col("id").alias("_id"), F.coalesce("up", "id").alias("root"), F.col("steps").alias("depth")
     )

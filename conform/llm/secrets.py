@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conform.llm.common import read, stored
+from conform.llm.common import bit_set, bits_of, read, stored
 
 # Kind -> (pattern, group that holds the value, least length of that group). A run
 # with a least length inside the pattern finds what the open run, filtered, would find.
@@ -85,7 +85,7 @@ def scan_secrets(
     ``live`` around the value, on top of the pattern's own span.
 
     Returns one row per input row: the id, ``base`` and ``live`` (arrays of start, kind, end; code
-    points, end exclusive) and ``values`` (start, end, value, owners, repos, live). A null text is an empty
+    points, end exclusive), ``values`` (start, end, value, owners, repos, live) and ``text_sha``. A null text is an empty
     one. A null owner or repository counts as one of its own. Rows that repeat an id are scanned
     each; the ownership counts see their pair of owner and repository once. Empty input gives no rows, other columns
     are ignored. A value with a third of all occurrences is counted map-side first and
@@ -97,6 +97,7 @@ def scan_secrets(
         F.col(id_col).alias("id"),
         F.coalesce(F.col(owner_col).cast("string"), F.lit("")).alias("owner"),
         F.coalesce(repo.cast("string"), F.lit("")).alias("repo"),
+        F.sha2(text, 256).alias("text_sha"),
         *[_matches(text, kind).alias(kind) for kind in KINDS],
     ).withColumn("row", F.monotonically_increasing_id())
     scanned = stored(scanned, "secrets-scan")
@@ -137,7 +138,7 @@ def scan_secrets(
             F.concat(*[_placed(F.col(kind), kind) for kind in KINDS]).alias("base"),
             _placed(F.filter("values", lambda x: x["live"]), LIVE).alias("live"),
             "values",
-            "row",
+            "text_sha",
         )
     )
 
@@ -145,11 +146,13 @@ def scan_secrets(
 def redact(docs: DataFrame, text_col: str = "text", mask: str = "[secret]", **options) -> DataFrame:
     """The documents with every live-looking value replaced by ``mask``; all columns and rows stay.
 
-    A null text stays null. ``docs`` must give the same rows in the same order when read again
-    (a stored table does): rows are matched by place.
+    A null text stays null. Equal texts are masked alike where any of them has a live value: their spans are joined
+    on the text's hash, and a bitmap of fixed size spares all other texts the shuffle.
     """
-    placed = docs.withColumn("row", F.monotonically_increasing_id())
-    hits = scan_secrets(docs, text_col=text_col, **options).where(F.size("live") > 0).select("row", "live")
+    found = scan_secrets(docs, text_col=text_col, **options).where(F.size("live") > 0)
+    hits = stored(found.select("text_sha", "live").groupBy("text_sha").agg(F.max("live").alias("live")), "secrets-live")
+    sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
+    seen = bits_of(hits, "text_sha")
 
     def step(state: Column, x: Column) -> Column:
         fresh = x["start"] >= state["at"]
@@ -160,16 +163,17 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = "[secret]", **op
         )
 
     masked = F.aggregate(
-        F.array_sort("live"),
+        F.array_sort("__live"),
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         step,
         lambda s: F.concat(s["out"], F.substring(F.col(text_col), s["at"] + 1, F.length(text_col))),
     )
-    return (
-        placed.join(hits, "row", "left")
-        .withColumn(text_col, F.when(F.col("live").isNull(), F.col(text_col)).otherwise(masked))
-        .select(docs.columns)
+    maybe = bit_set(seen, sha)
+    masked_rows = (
+        docs.where(maybe).withColumn("__sha", sha).join(hits.select(F.col("text_sha").alias("__sha"), F.col("live").alias("__live")), "__sha", "left")
+        .withColumn(text_col, F.when(F.col("__live").isNull(), F.col(text_col)).otherwise(masked))
     )
+    return docs.where(~maybe).unionByName(masked_rows.select(docs.columns))
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -108,27 +108,22 @@ def write_warc(
     framing. Of pages with equal payloads of at least ``least`` bytes, the one with the smallest id is the
     response and the others are revisits that refer to it and carry no payload; which rows share a
     payload is decided on digests only. A response over ``segment_size`` bytes is cut into a first
-    segment and continuation records, which are dealt to files on their own. Rows that repeat an id get record ids of their own; among equal ids the
-    first by row order is the response. A null id sorts last. Other columns are ignored; no rows give no records.
+    segment and continuation records. Rows that repeat an id and a payload give one response and revisits of it;
+    a null id sorts last. Other columns are ignored; no rows give no records.
     """
     body = F.coalesce(F.col(body_col), F.lit("")).cast("binary")
     rows = pages.select(
         F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), body.alias("body")
-    ).withColumn("row", F.monotonically_increasing_id())
-    keyed = rows.select("id", "row", F.sha1("body").alias("sha"), F.octet_length("body").alias("size"))
-    rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
-    firsts = stored(
-        keyed.where(F.col("size") >= least).groupBy("sha").agg(F.min(rank).alias("first")), "warc-firsts"
-    ).select("sha", F.col("first.id").alias("first_id"), F.col("first.row").alias("first_row"))
-    verdict = (
-        keyed.join(firsts, "sha", "left")
-        .withColumn("revisit", F.col("first_row").isNotNull() & (F.col("first_row") != F.col("row")))
-        .select("row", "id", "sha", "first_id", "first_row", "revisit")
+    ).withColumn("sha", F.sha1("body"))
+    keyed = rows.where(F.octet_length("body") >= least).select("sha", "id")
+    shared = stored(
+        keyed.groupBy("sha").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id"))["id"].alias("first_id"), F.count("*").alias("n"))
+        .where("n > 1").select("sha", "first_id", F.xxhash64("sha").alias("key")),
+        "warc-shared",
     )
-    verdict = stored(verdict, "warc-verdict")
 
-    def name(page: object, row: int) -> str:
-        return f"<urn:page:{'' if page is None else page}:{row}>"
+    def name(page: object, ordinal: int, sha: str) -> str:
+        return f"<urn:page:{'' if page is None else page}:{ordinal}:{sha}>"
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,14 +131,14 @@ def write_warc(
             for r in batch.to_pylist():
                 fields = {
                     "WARC-Type": "response",
-                    "WARC-Record-ID": name(r["id"], r["row"]),
+                    "WARC-Record-ID": name(r["id"], r["ordinal"], r["sha"]),
                     "WARC-Target-URI": None if r["url"] is None else "".join(r["url"].split()),
                 }
-                if r["revisit"]:
+                if r["ordinal"]:
                     out.append(_record(fields | {
                         "WARC-Type": "revisit",
                         "WARC-Payload-Digest": "sha1:" + base64.b32encode(bytes.fromhex(r["sha"])).decode(),
-                        "WARC-Refers-To": name(r["first_id"], r["first_row"]),
+                        "WARC-Refers-To": name(r["first_id"], 0, r["sha"]),
                     }, b""))
                     continue
                 body = r["body"] or b""
@@ -164,20 +159,22 @@ def write_warc(
                     }, part))
             yield pa.RecordBatch.from_arrays([pa.array([x.decode() for x in out], pa.string())], ["value"])
 
-    # Most rows are surely no revisit: a bitmap of fixed size says so, and their bodies are not shuffled.
-    seen = bitmap(verdict.where("revisit"), "row")
-
-    maybe_revisit = flagged(seen, "row")
-    sure = rows.where(~maybe_revisit)
-    unsure = rows.where(maybe_revisit)
-    told = ["revisit", "sha", "first_id", "first_row"]
-    responses = sure.unionByName(unsure.join(verdict.where("not revisit").select("row"), "row")).select(
-        "id", "row", "url", "body", F.lit(False).alias("revisit"), F.lit("").alias("sha"),
-        F.lit(None).cast("long").alias("first_id"), F.lit(None).cast("long").alias("first_row"),
-    )
-    revisits = unsure.select("row", "url").join(verdict.where("revisit"), "row").select(
-        "id", "row", "url", F.lit(None).cast("binary").alias("body"), *told
+    # Most payloads are surely not shared: a bitmap of fixed size says so, and their bodies are not shuffled.
+    maybe = flagged(bitmap(shared, "key"), "key")
+    hashed = rows.withColumn("key", F.xxhash64("sha"))
+    own, unsure = hashed.where(~maybe), hashed.where(maybe)
+    judged = unsure.join(shared.select("sha", "first_id", F.lit(True).alias("shared")), "sha", "left")
+    heads = judged.where("shared and id <=> first_id and body is not null").dropDuplicates(["id", "sha"])
+    responses = own.select("id", "url", "body", "sha").unionByName(
+        judged.where("shared is null").select("id", "url", "body", "sha")
+    ).unionByName(heads.select("id", "url", "body", "sha")).select("*", F.lit(0).alias("ordinal"), F.lit(None).cast("long").alias("first_id"))
+    repeats = (
+        rows.select("id", "url", "sha").join(shared, "sha")
+        .groupBy("id", "sha").agg(F.first("first_id").alias("first_id"), F.sort_array(F.collect_list(F.struct("url"))).alias("urls"))
+        .select("id", "sha", "first_id", F.posexplode("urls").alias("ordinal", "u"))
+        .select("id", F.col("u.url").alias("url"), F.lit(None).cast("binary").alias("body"), "sha", (F.col("ordinal") + F.when(F.expr("id <=> first_id"), 0).otherwise(1)).alias("ordinal"), "first_id")
     )
+    revisits = repeats.where("ordinal > 0")
     for frame in (responses, revisits):
         frame.mapInArrow(encode, "value string").write.mode("append").option("lineSep", "\r\n\r\n").option(
             "compression", "gzip"
