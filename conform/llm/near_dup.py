@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from conform.llm.common import WordHasher, bitmap, maybe_in, mix, read, shingles, stored
@@ -94,26 +94,28 @@ def _sketch(survey: DataFrame) -> np.ndarray:
     return out
 
 
-def _entries(docs: DataFrame, nodes: np.ndarray, sketch: np.ndarray, k: int, num: int, den: int) -> DataFrame:
-    """Prefix tokens of the documents in ``nodes``: (token, salt, id, level, n).
+def _entries(
+    docs: DataFrame, nodes: np.ndarray, repeated: np.ndarray, sketch: np.ndarray, k: int, num: int, den: int
+) -> DataFrame:
+    """Prefix tokens of the documents in ``nodes``: (token, salt, id, variant, pos, n).
 
-    Tokens are in one order for all documents: estimated frequency, then hash. Two linked documents share
-    at least l tokens among those of level l or less, for every l.
+    Tokens are in one order for all documents: estimated frequency, then hash; ``pos`` is the place in the document's own
+    order. ``variant`` tells rows apart that repeat an id, and is 0 for others.
     """
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
 
         def out(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-            token, salt, ids, level, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+            token, salt, ids, variant, pos, n = (np.concatenate(x) for x in zip(*parts, strict=True))
             return pa.RecordBatch.from_arrays(
-                [pa.array(token.view(np.int64)), pa.array(salt), pa.array(ids), pa.array(level), pa.array(n)],
-                ["token", "salt", "id", "level", "n"],
+                [pa.array(token.view(np.int64)), *[pa.array(x) for x in (salt, ids, variant, pos, n)]],
+                ["token", "salt", "id", "variant", "pos", "n"],
             )
 
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            wanted = maybe_in(nodes, ids)
+            wanted, twice = maybe_in(nodes, ids), maybe_in(repeated, ids)
             parts, held = [], 0
             for i, text in enumerate(_texts(batch.column(1))):
                 if not wanted[i]:
@@ -126,10 +128,11 @@ def _entries(docs: DataFrame, nodes: np.ndarray, sketch: np.ndarray, k: int, num
                 first = n - int(_needed(n, num, den)) + 1
                 size = min(n, first + LEVELS - 1)
                 order = np.lexsort((tokens, often))[:size]
-                level = np.maximum(1, np.arange(size) - first + 2).astype(np.int16)
+                variant = int(np.bitwise_xor.reduce(mix(tokens)) >> np.uint64(33)) if twice[i] else 0
                 pieces = often[order] // LONG_LIST + 1
                 salt = (mix(ids[i : i + 1].view(np.uint64))[0] % pieces.astype(np.uint64)).astype(np.int32)
-                parts.append((tokens[order], salt, np.full(size, ids[i]), level, np.full(size, n, dtype=np.int32)))
+                same = lambda x, size=size: np.full(size, x, dtype=np.int32)
+                parts.append((tokens[order], salt, np.full(size, ids[i]), same(variant), np.arange(size, dtype=np.int32), same(n)))
                 held += size
                 if held > 200_000:
                     yield out(parts)
@@ -137,7 +140,7 @@ def _entries(docs: DataFrame, nodes: np.ndarray, sketch: np.ndarray, k: int, num
             if parts:
                 yield out(parts)
 
-    return docs.mapInArrow(entries, "token long, salt int, id long, level short, n int")
+    return docs.mapInArrow(entries, "token long, salt int, id long, variant int, pos int, n int")
 
 
 def _sets(docs: DataFrame, nodes: np.ndarray, k: int) -> DataFrame:
@@ -210,11 +213,12 @@ def near_duplicates(
     1. A pass finds each set's size and signature and adds up a frequency sketch of fixed size. Equal
        signatures form a class, and its smallest id stands for it.
     2. Each class emits its rarest shingles. To share l tokens with any set it links to, it needs
-       n - ceil(similarity * n) + l of them; tokens carry the l at which they enter. Tokens of one document drop out.
+       n - ceil(similarity * n) + l of them; a token's level is the l at which it enters. Tokens of one document drop out, and
+       so do tokens whose place leaves too little: what is shared before it, itself and what follows.
     3. From the exact lengths of its tokens' lists each document chooses the l (1 to 4) with the least
        estimated cost: list entries to read, plus candidates (at most entries / l) to verify.
-    4. Within a list every document is first paired with the list's leader only; verified pairs give components. Then
-       only pairs of different components are formed, between those outside a list's largest component and the
+    4. Within a list every document is first paired with the list's leader only, the document with the most company;
+       verified pairs give components. Then only pairs of different components are formed, between those outside a list's largest component and the
        rest of the list. A pair with l shared tokens is verified on its full sets. So no link
        between components is lost, and groups of near copies need no pairs among themselves.
 
@@ -230,70 +234,80 @@ def near_duplicates(
     rows = survey.where("slice is null").select("id", "n", "sign")
     classes = stored(rows.where("sign is not null and id is not null").groupBy("sign").agg(F.min("id").alias("rep")), "neardup-classes")
     nodes = bitmap(classes, "rep")
-    entries = _entries(known, nodes, _sketch(survey), k, num, den)
-
-    # Leaders: per list (token, salt), the entry with the smallest hash of the id.
-    mine = F.struct(F.xxhash64("id").alias("h"), "id", "n", "level").alias("me")
-    within = Window.partitionBy("token", "salt").orderBy("me.h", "me.id")
-    shared = (
-        entries.select("token", "salt", mine)
-        .withColumn("first", F.first("me").over(within))
-        .withColumn("next", F.lead("me.id").over(within))
-        .where(F.col("next").isNotNull() | (F.col("first.id") != F.col("me.id")) | (F.col("salt") > 0))
-    )
-    shared = stored(
-        shared.select(
-            "token", "me.id", "me.n", "me.level", F.col("first.id").alias("lead"), F.col("first.n").alias("lead_n"),
-            F.col("first.level").alias("lead_level"), F.col("me.h").alias("h"),
-        ),
-        "neardup-shared",
-    )
-    length = stored(shared.groupBy("token").agg(F.count("*").alias("length")), "neardup-lengths")
-    level_sum = lambda l: F.sum(F.when(F.col("level") <= l, F.col("length") - 1).otherwise(0)).over(of_doc)
-    of_doc = Window.partitionBy("id")
-    cost = lambda l: level_sum(l) * (1 + F.col("n") / (8.0 * l))
-    priced = shared.join(length, "token").withColumn("costs", F.array(*[cost(l) for l in range(1, LEVELS + 1)]))
-    most = F.least(F.lit(LEVELS), F.ceil(F.col("n") * num / den)).cast("int")
-    able = F.slice("costs", 1, F.greatest(most, F.lit(1)))
+    repeated = bitmap(rows.where("id is not null").groupBy("id").count().where("count > 1"), "id")
+    entries = _entries(known, nodes, repeated, _sketch(survey), k, num, den)
+
+    # Tokens of one document alone drop out.
+    within = Window.partitionBy("token", "salt").orderBy("id")
+    alone = F.lead("id").over(within).isNull() & F.lag("id").over(within).isNull() & (F.col("salt") == 0)
+    shared = entries.withColumn("alone", alone).where("not alone").drop("alone")
+    # What a token's place leaves possible: the tokens before it that are shared at all, itself, and those behind it.
+    of_doc = Window.partitionBy("id", "variant")
+    needed = lambda n: F.ceil(n * num / F.lit(den))
+    shared = shared.withColumn("seen", F.row_number().over(of_doc.orderBy("pos"))).withColumn("rest", F.col("n") - 1 - F.col("pos"))
+    shared = stored(shared.where(F.col("seen") + F.col("rest") >= needed(F.col("n"))), "neardup-shared")
+    length = stored(shared.groupBy("token").agg(F.count("*").alias("length")).where("length > 1"), "neardup-lengths")
+
+    level = F.greatest(F.lit(1), F.col("pos") - (F.col("n") - needed(F.col("n")) + 1) + 2)
+    priced = shared.join(length, "token").withColumn("level", level.cast("int"))
+    read_of = lambda l: F.sum(F.when(F.col("level") <= l, F.col("length") - 1).otherwise(0)).over(of_doc)
+    cost = lambda l: read_of(l) * (1 + F.col("n") / (8.0 * l))
+    most = F.greatest(F.lit(1), F.least(F.lit(LEVELS), needed(F.col("n")))).cast("int")
+    priced = priced.withColumn("costs", F.array(*[cost(l) for l in range(1, LEVELS + 1)])).withColumn("weight", read_of(LEVELS))
+    able = F.slice("costs", 1, most)
+    priced = priced.withColumn("need", F.array_position(able, F.array_min(able)).cast("int"))
+    # Leaders: per list (token, salt) the document whose tokens have the longest lists, the most typical one.
+    me = F.struct(*[F.col(c) for c in ("id", "n", "level", "seen", "rest")])
+    typical = [F.desc("weight"), F.xxhash64("id"), F.col("id")]
     tokens = stored(
-        priced.withColumn("need", F.array_position(able, F.array_min(able)).cast("int")).drop("costs", "length"), "neardup-tokens"
+        priced.withColumn("lead", F.first(me).over(Window.partitionBy("token", "salt").orderBy(*typical)))
+        .select("token", "id", "n", "level", "seen", "rest", "need", "weight", "lead"),
+        "neardup-tokens",
     )
 
-    fits = lambda a, b: (F.least(a, b) * den >= F.greatest(a, b) * num)
+    def possible(x: str, y: str, need: Column) -> Column:
+        """Sizes fit, both tokens lie within the wanted prefix, and their places leave enough overlap."""
+        f = lambda side, c: F.col(f"{side}.{c}")
+        low, high = F.least(f(x, "n"), f(y, "n")), F.greatest(f(x, "n"), f(y, "n"))
+        upto = F.least(f(x, "seen"), f(y, "seen")) + F.least(f(x, "rest"), f(y, "rest"))
+        return (
+            (low * den >= high * num) & (f(x, "level") <= need) & (f(y, "level") <= need)
+            & (upto * (num + den) >= (f(x, "n") + f(y, "n")) * num)
+        )
+
     def counted(pairs: DataFrame) -> DataFrame:
         return pairs.groupBy("a", "b").agg(F.count("*").alias("hits"), F.first("need").alias("need")).where("hits >= need").select("a", "b")
 
-    leaders = tokens.where((F.col("id") == F.col("lead"))).select("token", "id", "n", "level", "h", "need")
-    by_token = Window.partitionBy("token").orderBy("h", "id")
-    split = leaders.withColumn("top", F.first(F.struct("id", "n", "level")).over(by_token)).where("id <> top.id")
-    star = tokens.where("id <> lead").select("token", "id", "n", "level", "need", "lead", "lead_n", "lead_level").unionByName(
-        split.select("token", "id", "n", "level", "need", F.col("top.id").alias("lead"), F.col("top.n").alias("lead_n"), F.col("top.level").alias("lead_level"))
-    )
-    star = star.where(fits(F.col("n"), F.col("lead_n")) & (F.col("level") <= F.col("need")) & (F.col("lead_level") <= F.col("need")))
-    pairs = counted(star.select(F.col("id").alias("a"), F.col("lead").alias("b"), "need"))
-    sets = stored(_sets(known, bitmap(tokens.select("id").distinct(), "id"), k), "neardup-sets", "none")
-    first_links = stored(_verified(pairs, sets, num, den), "neardup-links")
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs, "neardup-pairs")
+        ids = bitmap(pairs.select(F.explode(F.array("a", "b")).alias("id")), "id")
+        sets = stored(_sets(known, ids, k), "neardup-sets", "none")
+        return stored(_verified(pairs, sets, num, den), "neardup-links")
+
+    x = F.struct("id", "n", "level", "seen", "rest").alias("x")
+    star = tokens.where("id <> lead.id").select("token", x, F.col("lead").alias("y"), "need")
+    top = F.first(me).over(Window.partitionBy("token").orderBy(*typical))
+    split = tokens.where("id = lead.id").withColumn("y", top).where("id <> y.id").select("token", x, "y", "need")
+    pairs = counted(star.unionByName(split).where(possible("x", "y", F.col("need"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), "need"))
+    first_links = verified(pairs)
     labels = components(first_links)
 
-    labelled = tokens.select("token", "id", "n", "level", "need").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    labelled = tokens.drop("lead", "weight").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     labelled = stored(labelled, "neardup-labelled")
     groups = labelled.groupBy("token", "component").agg(F.count("*").alias("size"))
     mixed = groups.groupBy("token").agg(F.count("*").alias("parts"), F.max(F.struct("size", "component"))["component"].alias("main"))
     mixed = stored(mixed.where("parts > 1").select("token", "main"), "neardup-mixed")
     open_lists = stored(labelled.join(mixed, "token").withColumn("outside", F.col("component") != F.col("main")), "neardup-open")
-    probe, other = open_lists.where("outside").alias("p"), open_lists.alias("o")
     a_first = F.col("p.id") < F.col("o.id")
     need = F.when(a_first, F.col("p.need")).otherwise(F.col("o.need"))
-    crossing = probe.join(
-        other,
+    crossing = open_lists.where("outside").alias("p").join(
+        open_lists.alias("o"),
         (F.col("p.token") == F.col("o.token"))
         & (F.col("p.component") != F.col("o.component"))
         & (~F.col("o.outside") | a_first)
-        & fits(F.col("p.n"), F.col("o.n"))
-        & (F.col("p.level") <= need)
-        & (F.col("o.level") <= need),
+        & possible("p", "o", need),
     ).select(F.least("p.id", "o.id").alias("a"), F.greatest("p.id", "o.id").alias("b"), need.alias("need"))
-    second_links = _verified(counted(crossing), sets, num, den)
+    second_links = verified(counted(crossing))
     labels = components(first_links.unionByName(second_links))
 
     rep_of = rows.where("sign is not null and id is not null").join(classes, "sign").select("id", "n", "rep")
