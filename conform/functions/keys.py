@@ -28,8 +28,3 @@ def surrogate_key(*cols: str | Column) -> Column:
 def date_key(c: str | Column) -> Column:
     """20140102 for 2014-01-02."""
     return F.date_format(as_column(c), "yyyyMMdd").cast("int")
-
-
-def row_hash(cols: Sequence[str]) -> Column:
-    """64-bit hash of a row's content: same row, same hash, on every retry of a task."""
-    return F.xxhash64(*[F.col(c) for c in cols])

@@ -24,11 +24,16 @@ def differs(left: str, right: str, cols: Sequence[str]) -> Column:
 def pair_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer join of two tables that are unique per key, as structs ``l`` and ``r``.
 
-    NULL is a key like any other, so running the same feed twice adds nothing. Both
-    sides hold one row per key, so no key can be hot.
+    NULL is a key like any other, so running the same feed twice adds nothing. A key that a
+    side repeats fails the job, as it would multiply rows; so no key can be hot.
     """
-    a = left.select(F.struct(*left.columns).alias("l"))
-    b = right.select(F.struct(*right.columns).alias("r"))
+
+    def one_per_key(df: DataFrame, side: str) -> DataFrame:
+        doubled = F.raise_error(F.concat(F.lit("repeated key: "), F.to_json(F.struct(*keys))))
+        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*df.columns)).alias("_row"))
+        return counted.select(F.when(F.col("_n") == 1, F.col("_row")).otherwise(doubled).alias(side))
+
+    a, b = one_per_key(left, "l"), one_per_key(right, "r")
     cond = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in keys]
     return a.join(b, cond, "full_outer")
 

@@ -18,10 +18,9 @@ from pyspark.sql import functions as F
 from conform.functions import text
 from conform.session import broadcastable, estimated_bytes
 
-HOT_KEYS = 64  # most keys a join spreads
 HOT_FACTOR = 2  # a key is hot when it holds more than this many average partitions
 FINENESS = 4  # pieces per average partition a hot key is cut into
-SKETCH = 8192  # items a sketch of frequent keys tracks
+SKETCH = 8192  # items a sketch of frequent keys tracks at least
 SKETCH_GROUPS = 64  # sketches that reach the last merge
 ONE_TASK = 64 << 20  # bytes of a left side that one task can take whole, hot key and all
 
@@ -42,20 +41,23 @@ def _key_hash(keys: Sequence[str]) -> str:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys:
-    """The keys that hold more than ``HOT_FACTOR`` average shuffle partitions; at most ``HOT_KEYS``.
+    """The keys that hold more than ``HOT_FACTOR`` average shuffle partitions.
 
-    An action: one pass over the key columns. Each task keeps a sketch of fixed size, so
-    no key is shuffled; sketches merge in two steps, and at most ``HOT_KEYS`` hashes come
-    to the driver. A miss or a hash collision costs speed only, never a row.
+    No more than partitions / ``HOT_FACTOR`` keys can, so that many hashes come to the driver at
+    most. An action: one pass over the key columns. Each task keeps a sketch of a size that follows
+    the number of partitions, so no key is shuffled; sketches merge in two steps. A miss or a hash
+    collision costs speed only, never a row.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = max(1, partitions // HOT_FACTOR)
+    sketch = min(1_000_000, max(SKETCH, 8 * most))  # the functions take a million at most
     top = (
         df.select(F.expr(_key_hash(keys)).alias("h"), F.expr(f"spark_partition_id() % {SKETCH_GROUPS} as g"))
         .groupBy("g")
-        .agg(F.expr(f"approx_top_k_accumulate(h, {SKETCH}) as s"), F.expr("count(1) as n"))
+        .agg(F.expr(f"approx_top_k_accumulate(h, {sketch}) as s"), F.expr("count(1) as n"))
         .groupBy(F.lit("all"))  # no row, rather than an empty sketch, where there is no input
-        .agg(F.expr(f"approx_top_k_combine(s, {SKETCH}) as s"), F.expr("sum(n) as n"))
-        .selectExpr(f"approx_top_k_estimate(s, {HOT_KEYS}) as items", "n")
+        .agg(F.expr(f"approx_top_k_combine(s, {sketch}) as s"), F.expr("sum(n) as n"))
+        .selectExpr(f"approx_top_k_estimate(s, {most}) as items", "n")
         .first()
     )
     if top is None:
@@ -95,7 +97,7 @@ def salted_join(
     clash = (set(left.columns) & set(right.columns)) - set(keys)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
-    _same_types(left, right, {k: k for k in keys})
+    same_types(left, right, {k: k for k in keys})
     hot = hot_keys(left, keys) if hot is None else hot
     if not hot.ways and hot.null_ways == 1:
         return left.join(right, list(keys), how)
@@ -131,7 +133,7 @@ def join_back(
     return salted_join(df, answers, keys, salt_by=salt_by, hot=hot_keys(keys_from, keys))
 
 
-def _same_types(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> None:
+def same_types(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> None:
     """Keys of different types hash differently; let the caller say which cast is meant."""
     for a, b in on.items():
         x, y = left.schema[a].dataType, right.schema[b].dataType
@@ -165,7 +167,7 @@ def lookup(
     """
     if size not in ("fixed", "auto", "salted"):
         raise ValueError(f"size must be fixed, auto or salted, not {size!r}")
-    _same_types(fact, dim, on)
+    same_types(fact, dim, on)
     side = dim.select(
         *[F.col(d).alias(f"_k{i}") for i, d in enumerate(on.values())],
         *[F.col(src).alias(dst) for src, dst in take.items()],

@@ -27,8 +27,7 @@ from conform.operators.joins import join_back
 
 TIERS = ("exact", "normalized", "fuzzy", "combination_unverified")
 UNMATCHED = "unmatched"
-MAX_INLINE = 64  # seed rows up to which the match is a plain projection
-MAX_REGEX = 256  # seed examples that are regexes rather than plain text
+INLINE_ROWS = 64  # tuning: seed rows up to which "auto" makes the match a plain projection
 GRAM = 3  # length of the text pieces that index the class hints
 REGEX_SIGN = r"[\\^$.|?*+()\[\]{}]"
 
@@ -55,19 +54,17 @@ def tiered_match(
     """``key.., code, name, klass, is_combination_product, match_confidence``, one row per input row.
 
     ``strategy="inline"`` writes the seed into the plan as literals: the match is a
-    projection, with no join and no shuffle. It needs a seed of at most
-    ``MAX_INLINE`` rows. ``strategy="index"`` takes a seed of any size and finds
-    candidates by equi-join on shared text pieces. ``"auto"`` reads at most
-    ``MAX_INLINE + 1`` seed rows to choose; that read is the only action here.
+    projection, with no join and no shuffle; the plan grows with the seed. ``strategy="index"``
+    finds candidates by equi-join on shared text pieces. Both take any seed and give the same
+    rows. ``"auto"`` reads at most ``INLINE_ROWS + 1`` seed rows to choose; reading the seed is the
+    only action here.
     """
     if strategy not in ("auto", "inline", "index"):
         raise ValueError(f"strategy must be auto, inline or index, not {strategy!r}")
     flagged = df.withColumn("is_combination_product", text.is_combination(name))
-    rows = None if strategy == "index" else _seed_rows(seed)
-    if rows is not None and len(rows) <= MAX_INLINE:
+    rows = None if strategy == "index" else _seed_rows(seed, INLINE_ROWS + 1 if strategy == "auto" else None)
+    if rows is not None and (strategy == "inline" or len(rows) <= INLINE_ROWS):
         found = _inline_best(flagged, rows, name, klass, min_len)
-    elif strategy == "inline":
-        raise ValueError(f"seed has more than {MAX_INLINE} rows; use strategy='index'")
     else:
         found = _index_best(flagged, seed, key, name, klass, min_len)
     tier = F.get(F.array(*[F.lit(t) for t in TIERS]), F.col("_best.tier") - 1)
@@ -100,8 +97,8 @@ def _best() -> Column:
 # --- small seed: literals -----------------------------------------------------------------
 
 
-def _seed_rows(seed: Seed) -> list[Row]:
-    return (
+def _seed_rows(seed: Seed, most: int | None) -> list[Row]:
+    rows = (
         seed.df.where(F.col(seed.code).isNotNull())
         .select(
             F.col(seed.code).alias("code"),
@@ -110,9 +107,8 @@ def _seed_rows(seed: Seed) -> list[Row]:
             F.lower(seed.example).alias("word"),
             F.length(seed.example).alias("size"),
         )
-        .limit(MAX_INLINE + 1)
-        .collect()
     )
+    return (rows if most is None else rows.limit(most)).collect()
 
 
 def _inline_best(
@@ -261,20 +257,15 @@ def _gram_hits(
 
 
 def _regex_hits(names: DataFrame, index: DataFrame) -> DataFrame:
-    """Smallest code among the seed examples that are regexes; more than ``MAX_REGEX`` are refused."""
-    few = index.limit(MAX_REGEX + 1).agg(
-        F.expr("array_sort(collect_list(struct(code, term))) as terms")
-    )
-    checked = few.selectExpr(
-        f"if(size(terms) <= {MAX_REGEX}, terms,"
-        f" raise_error('more than {MAX_REGEX} seed examples are regexes')) as terms"
-    )
+    """Smallest code among the seed examples that are regexes, however many there are.
+
+    A regex shares no piece of text with what it matches, so each distinct name tries them in the
+    order of their codes up to the first that holds. They ride along as one array, of the seed's size.
+    """
+    terms = index.agg(F.expr("array_sort(collect_list(struct(code, term))) as terms"))
     word = r"concat(r'\b', t.term, r'\b')"
-    return (
-        names.withColumn("_terms", checked.scalar())
-        .selectExpr("_n", f"get(filter(_terms, t -> rlike(lower(_n), {word})), 0).code as code")
-        .where("code is not null")
-    )
+    first = f"aggregate(_terms, cast(null as string), (found, t) -> if(found is null and rlike(lower(_n), {word}), t.code, found))"
+    return names.withColumn("_terms", terms.scalar()).selectExpr("_n", f"{first} as code").where("code is not null")
 
 
 # --- reports over a match -------------------------------------------------------------------

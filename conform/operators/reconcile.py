@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from conform.operators.history import pair_by_key
-from conform.operators.joins import salted_join
+from conform.operators.joins import needs_salt, salted_join, same_types
+from conform.session import stored
 
 
 @dataclass(frozen=True)
@@ -147,26 +148,22 @@ class Layer:
     keep: Sequence[str]
 
 
-SMALL_TRACE = 100_000  # rows of a trace up to which its keys are broadcast
-
-
 def trace_back(rows: DataFrame, layers: Sequence[Layer]) -> DataFrame:
     """Follow a set of rows down through the layers; each hop adds the lower layer's ``keep`` columns.
 
-    A row whose source is gone shows NULLs rather than vanishing. A trace usually starts
-    from a few rows, so each layer is first cut to the keys asked for. Whether those keys
-    are few enough to broadcast is counted here (at most ``SMALL_TRACE + 1`` rows), which
-    saves shuffling the layer; a longer list goes through a salted shuffle join.
+    A row whose source is gone shows NULLs rather than vanishing. The start rows and each hop's
+    result are stored once in the shared scratch folder, so no hop repeats an earlier one, and each
+    layer is cut to the keys that the hop before it asks for. Those keys are stored too: Spark
+    broadcasts them where their real size allows it and shuffles otherwise, hop by hop.
+    Keys of different types are refused whatever the size.
     """
-    small = rows.limit(SMALL_TRACE + 1).count() <= SMALL_TRACE
-    out = rows
+    out = stored(rows, "trace")
     for layer in layers:
         lower = layer.df.select(layer.key.alias("_trace"), *layer.keep)
         keyed = out.withColumn("_trace", F.col(layer.upper_key))
-        if small:
-            asked = F.broadcast(keyed.select("_trace").distinct())
-            out = keyed.join(lower.join(asked, "_trace", "left_semi"), "_trace", "left")
-        else:
-            out = salted_join(keyed, lower, ["_trace"], "left")
-        out = out.drop("_trace")
+        same_types(keyed, lower, {"_trace": "_trace"})
+        asked = stored(keyed.where("_trace is not null").select("_trace").distinct(), "trace-keys")
+        found = stored(lower.join(asked, "_trace", "left_semi"), "trace-found")
+        joined = salted_join(keyed, found, ["_trace"]) if needs_salt(keyed, found) else keyed.join(found, "_trace", "left")
+        out = stored(joined.drop("_trace"), "trace")
     return out

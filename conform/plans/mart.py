@@ -321,7 +321,7 @@ def model_checks(t: dict[str, DataFrame]) -> dict[str, list[q.Check]]:
 
 
 def suites(
-    drug_rows: tuple[int, int], sales_rows: int, review_rows: int
+    drug_rows: tuple[int, int | None], sales_rows: int, review_rows: int
 ) -> dict[str, list[q.Check]]:
     """Release expectations; the row counts are those of the feeds at hand.
 
@@ -357,9 +357,13 @@ def layer_hops(
 ) -> list[reconcile.Hop]:
     """Nine counts from landing to gold."""
     hops = [reconcile.Hop(f"landing_bronze_{n}", landed[n], bronze_tables[n]) for n in BRONZE_SOURCE]
+    return [*hops, *inner_hops(t, bronze_tables)]
+
+
+def inner_hops(t: dict[str, DataFrame], bronze_tables: dict[str, DataFrame]) -> list[reconcile.Hop]:
+    """The counts from Bronze to gold."""
     loss = {"rule": "drop", "tolerance": fixed.DROP_TOLERANCE}
     return [
-        *hops,
         reconcile.Hop(
             "bronze_silver_sales", bronze_tables["sales_daily"], t["stg_alpha__sales"],
             factor=len(fixed.ATC_CODES),
@@ -432,9 +436,35 @@ def validate(run: Run, t: dict[str, DataFrame]) -> DataFrame:
     return run.lake.read_quality(run.run_id)
 
 
+def expectations(run: Run, t: dict[str, DataFrame]) -> DataFrame:
+    """The release suites and the layer counts of a built run, stored with its check results.
+
+    Row counts come from the silver tables at hand; the drug dimension holds one current row per
+    open product of the snapshot and per seed row.
+    """
+    lake, seed = run.lake, t["atc_pharmclass_crosswalk"]
+    silver = {m: t[m].count() for m in ("stg_alpha__sales", "stg_beta__ndc", "stg_gamma__reviews")}
+    seed_rows = seed.count()
+    asked = suites((silver["stg_beta__ndc"] + seed_rows, None), silver["stg_alpha__sales"], silver["stg_gamma__reviews"])
+    for model, checks in asked.items():
+        lake.append_quality(q.run_checks(t[model], checks), run.run_id, f"suite_{model}")
+    products = lake.read_snapshot(SNAPSHOT).where(F.col(history.TO).isNull())
+    members = reconcile.Hop("snapshot_gold_drugs", products, t["dim_drug"].where("is_current"), offset=seed_rows)
+    tables = {n: bronze(lake, n, run.load_date) for n in ("sales_daily", "ndc_directory", "drug_reviews")}
+    report = reconcile.reconcile_layers([*inner_hops(t, tables), members])
+    lake.append_quality(q.singular("layers_reconcile", report.where("not passed")), run.run_id, "layers")
+    return lake.read_quality(run.run_id)
+
+
 def release(run: Run, t: dict[str, DataFrame]) -> dict[str, int]:
-    """Validate, then publish; a failed error check stops before anything is switched."""
-    q.gate(validate(run, t))
+    """Check, then publish; a failed error check stops before anything is switched.
+
+    Products that did not match, or only by an unverified rule, are stored for the steward either way.
+    """
+    quarantined = match.match_exceptions(t["dim_drug"].where("match_confidence is not null"))
+    run.lake.write_model(quarantined, run.lake.exceptions(run.run_id))
+    validate(run, t)
+    q.gate(expectations(run, t))
     return run.lake.publish(run.run_id, GOLD)
 
 

@@ -13,8 +13,7 @@ from conform.operators.star import Lookup, Members
 from conform.plans.cleaning import LINE_DEDUPED, LINE_KEYS, LINE_ORDER
 from conform.plans.matching import match_sql
 from conform.plans.registry import key_sql, norm_sql, query, table
-from conform.session import scratch_dir, sized
-from conform.sources.lake import Lake
+from conform.session import sized
 
 SNAPSHOT_TS = "2024-01-01 00:00:00"
 PART_MEMBERS = Members(
@@ -341,9 +340,7 @@ def fk_anti_join(spark, sf_dir):
 )
 def trace_back(spark, sf_dir):
     """The largest order lines of the fact, followed back to the raw line and its order."""
-    lake = Lake(spark, scratch_dir(spark, "trace"))
-    fact = lake.write_model(line_fact(spark, sf_dir), lake.gold("r1", "lines"))
-    start = fact.where("l_quantity = 50 and l_extendedprice > 100000").select("line_sk", "l_quantity")
+    start = line_fact(spark, sf_dir).where("l_quantity = 50 and l_extendedprice > 100000").select("line_sk", "l_quantity")
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     return reconcile.trace_back(

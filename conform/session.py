@@ -37,10 +37,14 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder for intermediate tables, unique per call.
 
     It lies in the shared folder the cluster names in ``spark.checkpoint.dir``, so
-    a lost executor loses nothing. Only a session without that setting (a test on
-    one machine) gets a local folder.
+    a lost executor loses nothing. A session without that setting gets a local folder if it runs
+    on one machine, and an error otherwise.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not (spark.conf.get("spark.master", None) or "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = _local_scratch()
     return posixpath.join(base, f"{purpose}-{uuid.uuid4().hex}")
 
 
@@ -63,6 +67,13 @@ def broadcastable(df: DataFrame) -> bool:
     return estimated_bytes(df) <= limit
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame written to the shared scratch folder and read back; its lineage ends there."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def sized(df: DataFrame, purpose: str) -> DataFrame:
     """The frame with a size Spark can trust.
 
@@ -73,6 +84,4 @@ def sized(df: DataFrame, purpose: str) -> DataFrame:
     """
     if broadcastable(df):
         return df
-    path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored(df, purpose)

@@ -20,7 +20,6 @@ from pyspark.sql import types as T
 
 from conform.operators import history
 from conform.operators.history import FROM, TO
-from conform.sources.readers import read_or_empty
 
 DATE = "load_date"
 NO_DATE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder for a NULL
@@ -62,21 +61,24 @@ class Lake:
     def quality(self) -> str:
         return self._path("quality", "results")
 
+    def exceptions(self, run_id: str) -> str:
+        return self._path("quality", "exceptions", run_id)
+
     # --- dated tables -------------------------------------------------------------------
 
     def write_date(self, df: DataFrame, path: str, load_date: str | dt.date) -> None:
-        """Replace one date of a table and leave the others alone; a rerun gives the same rows."""
-        (
-            df.withColumn(DATE, F.lit(str(load_date)).cast("date"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(DATE)
-            .parquet(path)
-        )
+        """Replace one date of a table and leave the others alone; a rerun gives the same rows.
+
+        The date's own folder is written, so a frame without rows empties the date.
+        """
+        folder = posixpath.join(path, f"{DATE}={dt.date.fromisoformat(str(load_date))}")
+        df.drop(DATE).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
 
     def write_dates(self, df: DataFrame, path: str, day: str | Column) -> None:
         """Replace every date that occurs in the frame, each row under its own date.
 
+        Rows without a date go to a folder of their own; :meth:`read_undated` gives them.
+
         Rows are ranged by date and content first: a date gets a few whole files, and a
         date holding much of the table is shared by many tasks.
         """
@@ -101,6 +103,10 @@ class Lake:
             raise FileNotFoundError(f"{path} has no {DATE}")
         return self.read_date(path, dates[-1])
 
+    def read_undated(self, path: str) -> DataFrame:
+        """The rows of a table that have no date."""
+        return self.spark.read.parquet(path).where(F.col(DATE).isNull())
+
     def dates(self, path: str) -> list[str]:
         """Dates of a table from its folder names; no file is opened. Rows without a date have none."""
         values = [n.split("=", 1)[1] for n in self._children(path) if n.startswith(f"{DATE}=")]
@@ -122,6 +128,7 @@ class Lake:
 
     def write_model(self, df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
         """Write one model in full and give back the stored copy, so later stages start from it."""
+        self._refuse_published(path)
         df.write.mode("overwrite").format(fmt).save(path)
         return self.spark.read.format(fmt).schema(df.schema).load(path)
 
@@ -141,11 +148,13 @@ class Lake:
         row): a value holding a third of the rows is shared by many tasks and still lies
         together. ``partitions`` become folders.
         """
+        self._refuse_published(path)
         spread = [F.col(c) for c in tiebreak] if tiebreak else [F.xxhash64(*df.columns)]
         by = [F.col(c) for c in dict.fromkeys([*partitions, *cluster])] + spread
         ranged = df.repartitionByRange(files, *by) if files else df.repartitionByRange(*by)
         ordered = ranged.sortWithinPartitions(*partitions, *cluster)
-        ordered.write.mode("overwrite").format(fmt).partitionBy(*partitions).save(path)
+        full = ordered.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        full.format(fmt).partitionBy(*partitions).save(path)
         return self.spark.read.format(fmt).schema(df.schema).load(path)
 
     def written_rows(self, path: str, fmt: str = "parquet") -> int:
@@ -249,6 +258,16 @@ class Lake:
         self._commit(log, last["seq"] + 1 if last else 1, run_id, models)
         return counts
 
+    def published(self, run_id: str) -> bool:
+        """Whether a run has ever been current."""
+        log = self._path("gold_commits")
+        return self.exists(log) and not self.spark.read.schema(COMMIT).json(log).where(F.col("ref") == run_id).isEmpty()
+
+    def _refuse_published(self, path: str) -> None:
+        gold = self._path("gold") + "/"
+        if path.startswith(gold) and self.published(path[len(gold) :].split("/")[0]):
+            raise PublishError(f"{path} belongs to a run that was published; build under a new run id")
+
     def current_run(self) -> str | None:
         last = self._last(self._path("gold_commits"))
         return last["ref"] if last else None
@@ -276,14 +295,6 @@ class Lake:
             names.append(name)
         return names
 
-    # --- prior state --------------------------------------------------------------------
-
-    def read_silver(self, model: str, schema: T.StructType | None = None) -> DataFrame:
-        """A silver model; with a schema, an empty table when it was never written."""
-        path = self.silver(model)
-        return read_or_empty(self.spark, path, schema) if schema else self.spark.read.parquet(path)
-
-
 def snapshot_schema(feed: T.StructType) -> T.StructType:
     """Schema of a history kept for a feed."""
     return T.StructType(

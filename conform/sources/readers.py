@@ -42,8 +42,13 @@ def read_csv(
 def read_json_array(
     spark: SparkSession, path: str | list[str], schema: T.StructType | str
 ) -> DataFrame:
-    """A file that is one top-level array; nested fields stay nested. Not splittable."""
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    """A file that is one top-level array, or an object that holds it as ``results``; nested fields stay
+    nested. Not splittable."""
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    either = T.StructType([*fields.fields, T.StructField("results", T.ArrayType(fields))])
+    read = spark.read.schema(either).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    bare = F.array(F.struct(*[F.col(f"`{f.name}`") for f in fields]))
+    return read.select(F.inline(F.when(F.col("results").isNotNull(), F.col("results")).otherwise(bare))).to(fields)
 
 
 def read_json_lines(

@@ -196,3 +196,37 @@ def test_quality_results_are_kept_once(spark, lake):
     for _ in range(2):
         lake.append_quality(results, "r1", "m")
     assert lake.read_quality("r1").count() == 2
+
+
+def test_emptying_a_date_empties_it(spark, tmp_path):
+    lake, path = Lake(spark, str(tmp_path)), str(tmp_path / "t")
+    lake.write_date(spark.range(2), path, "2024-01-01")
+    lake.write_date(spark.range(3), path, "2024-01-02")
+    lake.write_date(spark.range(0), path, "2024-01-01")
+    assert lake.read_date(path, "2024-01-01").count() == 0 and lake.read_date(path, "2024-01-02").count() == 3
+
+
+def test_a_full_write_leaves_no_stale_folder(spark, tmp_path):
+    lake, path = Lake(spark, str(tmp_path)), str(tmp_path / "t")
+    both = spark.createDataFrame([(2007, 1), (2008, 2)], "year int, x int")
+    lake.write_clustered(both, path, ["x"], partitions=["year"])
+    lake.write_clustered(both.where("year = 2008"), path, ["x"], partitions=["year"])
+    assert [r["year"] for r in spark.read.parquet(path).collect()] == [2008]
+
+
+def test_a_published_run_cannot_be_changed(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    lake.write_model(spark.range(2), lake.gold("r1", "m"))
+    lake.write_model(spark.range(3), lake.gold("r1", "m"))
+    lake.publish("r1", ["m"])
+    for write in (lake.write_model, lambda df, path: lake.write_clustered(df, path, ["id"])):
+        with pytest.raises(PublishError, match="published"):
+            write(spark.range(1), lake.gold("r1", "m"))
+    assert lake.read_current("m").count() == 3
+
+
+def test_a_wrapped_json_array_reads_like_a_bare_one(spark, tmp_path):
+    for name, text in (("a", '[{"x": 1}, {"x": null}]'), ("b", '{"results": [{"x": 2}, {"x": 3}]}'), ("c", '{"results": []}')):
+        (tmp_path / f"{name}.json").write_text(text)
+    read = lambda n: [r["x"] for r in readers.read_json_array(spark, str(tmp_path / f"{n}.json"), "x int").collect()]
+    assert (read("a"), read("b"), read("c")) == ([1, None], [2, 3], [])

@@ -127,18 +127,19 @@ def test_random_texts_against_brute_force(spark, strategy, seed_no):
 
 
 def test_a_large_seed_uses_the_index(spark):
-    seed = [(f"c{i:05d}", f"hint{i}", f"substance{i}") for i in range(2 * match.MAX_INLINE)]
+    seed = [(f"c{i:05d}", f"hint{i}", f"substance{i}") for i in range(2 * match.INLINE_ROWS)]
     products = [("p1", "substance7 tablets", None), ("p2", None, "a hint3 class"), ("p3", "none", None)]
     want = [("p1", "c00007", False, "fuzzy"), ("p2", "c00003", None, "normalized"), ("p3", None, False, "unmatched")]
     assert run(spark, products, seed, "auto") == want
-    with pytest.raises(ValueError, match="index"):
-        run(spark, products, seed, "inline")
+    assert run(spark, products, seed, "inline") == want
 
 
-def test_too_many_regexes_are_refused_not_dropped(spark):
-    seed = [(f"c{i:05d}", None, f"substance.{i}") for i in range(match.MAX_REGEX + 1)]
-    with pytest.raises(Exception, match="more than 256 seed examples are regexes"):
-        run(spark, [("p1", "substance 7", None)], seed, "index")
+@pytest.mark.parametrize("strategy", ["inline", "index"])
+def test_any_number_of_regexes_is_matched(spark, strategy):
+    seed = [(f"c{i:05d}", None, f"substance.{i}") for i in range(300)]
+    want = [("p1", "c00007", False, "fuzzy"), ("p2", "c00299", False, "fuzzy"), ("p3", None, False, "unmatched")]
+    products = [("p1", "substance 7", None), ("p2", "substance-299", None), ("p3", "substance 300", None)]
+    assert run(spark, products, seed, strategy) == want
 
 
 def test_no_cross_join_in_either_plan(spark):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from conform.functions.keys import surrogate_key
 from conform.operators import reconcile
@@ -48,13 +49,32 @@ def test_feed_delta(spark, rows):
     assert reconcile.feed_delta(old, old, ["k"], ["a", "b"]).count() == 0
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_trace_back(spark, rows, monkeypatch, small):
-    if not small:
-        monkeypatch.setattr(reconcile, "SMALL_TRACE", 0)
+@pytest.mark.parametrize("rows_wanted", [1, 3000])
+def test_keys_of_other_types_are_refused_whatever_the_size(spark, rows_wanted):
+    start = spark.range(rows_wanted).selectExpr("cast(id as string) as sk")
+    layer = reconcile.Layer("raw", spark.range(5), F.col("id"), "sk", ["id"])
+    with pytest.raises(ValueError, match="string"):
+        reconcile.trace_back(start, [layer])
+
+
+def test_a_repeated_feed_key_fails_instead_of_multiplying(spark):
+    old = spark.createDataFrame([(1, "a"), (None, "n")], "k int, a string")
+    new = spark.createDataFrame([(1, "a"), (1, "b"), (None, "n")], "k int, a string")
+    with pytest.raises(Exception, match="repeated key"):
+        reconcile.feed_delta(old, new, ["k"], ["a"]).collect()
+    with pytest.raises(Exception, match="repeated key"):
+        reconcile.feed_delta(old, new.where("a <> 'b'").union(old.where("k is null")), ["k"], ["a"]).collect()
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_trace_back(spark, rows, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     raw = spark.createDataFrame([(1, "f1"), (2, "f2")], "id int, source_file string")
     fact = raw.select(surrogate_key("id").alias("sk"))
     lost = fact.unionByName(spark.createDataFrame([("gone",)], "sk string"))
     layers = [reconcile.Layer("raw", raw, surrogate_key("id"), "sk", ["id", "source_file"])]
-    got = rows(reconcile.trace_back(lost, layers), "id", "source_file")
+    try:
+        got = rows(reconcile.trace_back(lost, layers), "id", "source_file")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == [(1, "f1"), (2, "f2"), (None, None)]
