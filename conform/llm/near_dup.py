@@ -257,23 +257,24 @@ def near_duplicates(
     able = F.slice("costs", 1, most)
     priced = priced.withColumn("need", F.array_position(able, F.array_min(able)).cast("int"))
     # Leaders: per list (token, salt) the document whose tokens have the longest lists, the most typical one.
-    me = F.struct(*[F.col(c) for c in ("id", "n", "level", "seen", "rest")])
+    me = F.struct(*[F.col(c) for c in ("id", "n", "seen", "rest")])
     typical = [F.desc("weight"), F.xxhash64("id"), F.col("id")]
     tokens = stored(
         priced.withColumn("lead", F.first(me).over(Window.partitionBy("token", "salt").orderBy(*typical)))
-        .select("token", "id", "n", "level", "seen", "rest", "need", "weight", "lead"),
+        .select("token", "id", "n", "seen", "rest", "need", "weight", "lead"),
         "neardup-tokens",
     )
 
     def possible(x: str, y: str, need: Column) -> Column:
-        """Sizes fit, both tokens lie within the wanted prefix, and their places leave enough overlap."""
+        """Sizes fit, both tokens lie within the prefix for l = ``need``, and their places leave enough overlap.
+
+        For two given sizes the least overlap is known exactly, so the prefixes are shorter than for one size alone.
+        """
         f = lambda side, c: F.col(f"{side}.{c}")
         low, high = F.least(f(x, "n"), f(y, "n")), F.greatest(f(x, "n"), f(y, "n"))
+        overlap = F.ceil((f(x, "n") + f(y, "n")) * num / F.lit(num + den))
         upto = F.least(f(x, "seen"), f(y, "seen")) + F.least(f(x, "rest"), f(y, "rest"))
-        return (
-            (low * den >= high * num) & (f(x, "level") <= need) & (f(y, "level") <= need)
-            & (upto * (num + den) >= (f(x, "n") + f(y, "n")) * num)
-        )
+        return (low * den >= high * num) & (F.least(f(x, "rest"), f(y, "rest")) + need >= overlap) & (upto >= overlap)
 
     def counted(pairs: DataFrame) -> DataFrame:
         return pairs.groupBy("a", "b").agg(F.count("*").alias("hits"), F.first("need").alias("need")).where("hits >= need").select("a", "b")
@@ -284,7 +285,7 @@ def near_duplicates(
         sets = stored(_sets(known, ids, k), "neardup-sets", "none")
         return stored(_verified(pairs, sets, num, den), "neardup-links")
 
-    x = F.struct("id", "n", "level", "seen", "rest").alias("x")
+    x = F.struct("id", "n", "seen", "rest").alias("x")
     star = tokens.where("id <> lead.id").select("token", x, F.col("lead").alias("y"), "need")
     top = F.first(me).over(Window.partitionBy("token").orderBy(*typical))
     split = tokens.where("id = lead.id").withColumn("y", top).where("id <> y.id").select("token", x, "y", "need")
