@@ -220,6 +220,70 @@ def external_view(spark, sf_dir):
     return spark.table(name)
 
 
+@query("bronze_json_array", "select n_nationkey, n_name, n_regionkey from nation")
+def bronze_json_array(spark, sf_dir):
+    """The nations landed as one JSON document, wrapped as ``results``, and read back as rows."""
+    landing = f"{new_lake(spark, 'jsonarray').root}/landing/nations"
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    rows = F.array_join(F.collect_list(F.to_json(F.struct(*nations.columns))), ",")
+    nations.agg(F.concat(F.lit('{"results": ['), rows, F.lit("]}")).alias("value")).write.text(landing)
+    return readers.read_json_array(spark, landing, nations.schema)
+
+
+@query(
+    "seed_csv",
+    """
+    select c.c_custkey, r.r_name from customer c
+    join nation n on n.n_nationkey = c.c_nationkey join region r on r.r_regionkey = n.n_regionkey
+    """,
+)
+def seed_csv(spark, sf_dir):
+    """A seed kept as CSV with an explicit schema, looked up by a large table."""
+    path = f"{new_lake(spark, 'seed').root}/seeds/nations"
+    seed = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    ).select("n_nationkey", "r_name")
+    seed.write.option("header", True).csv(path)
+    stored = readers.read_csv(spark, path, seed.schema)
+    customers = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
+    return customers.join(stored, "n_nationkey").select("c_custkey", "r_name")
+
+
+@query(
+    "prior_state",
+    "select o_orderstatus, 0 as rows_before, count(*) as rows_now from orders group by o_orderstatus",
+)
+def prior_state(spark, sf_dir):
+    """A first run finds no prior state and takes it as empty."""
+    path = new_lake(spark, "prior").silver("orders")
+    now = table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("rows_now"))
+    before = readers.read_or_empty(spark, path, now.withColumnRenamed("rows_now", "n").schema)
+    return now.join(before, "o_orderstatus", "left").select(
+        "o_orderstatus", F.coalesce("n", F.lit(0)).cast("int").alias("rows_before"), "rows_now"
+    )
+
+
+@query(
+    "quality_store",
+    """
+    select 'r1' as run_id, 'lines' as model, 'accepted_range_l_quantity' as "check",
+           count(*) filter (l_quantity > 40) as failing, count(*) as total,
+           count(*) filter (l_quantity > 40) = 0 as passed from lineitem
+    union all
+    select 'r1', 'lines', 'not_null_l_partkey', count(*) filter (l_partkey is null), count(*),
+           count(*) filter (l_partkey is null) = 0 from lineitem
+    """,
+)
+def quality_store(spark, sf_dir):
+    """Check results kept under their run and model; a rerun replaces its own."""
+    lake = new_lake(spark, "results")
+    lines = table(spark, sf_dir, "lineitem")
+    results = q.run_checks(lines, [q.accepted_range("l_quantity", high=40), q.not_null("l_partkey")])
+    for _ in range(2):
+        lake.append_quality(results, "r1", "lines")
+    return lake.read_quality("r1").select(F.lit("r1").alias("run_id"), "model", "check", "failing", "total", "passed")
+
+
 @query("quality_gate")
 def quality_gate(spark, sf_dir):
     """A run with an empty model and a run with a failed check: neither may be published."""
