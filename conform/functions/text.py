@@ -35,6 +35,7 @@ def first_item(c: str | Column) -> Column:
 def is_combination(name: str | Column) -> Column:
     """True when a product name lists several ingredients; NULL for a NULL name."""
     c = as_column(name)
+    # fixed values: the marks of a combination
     return c.ilike("% and %") | c.ilike("% with %") | c.like("%/%")
 
 

@@ -38,6 +38,7 @@ REVIEW_SCHEMA = (
 )
 
 SNAPSHOT = "snap_beta_ndc"
+# fixed values: names and order of the feeds' and models' columns
 NDC_KEY = ["product_ndc"]
 NDC_CHECKED = [
     "generic_name", "proprietary_name", "pharm_class", "route",

@@ -114,6 +114,33 @@ def tiered_match_index(spark, sf_dir):
     )
 
 
+REGEX_SEED_SQL = """
+    select p_brand || '-' || (p_size % 15) as code, cast(null as varchar) as hint,
+           replace(min(p_name), ' ', '.+') as example
+    from part group by p_brand, p_size % 15
+"""
+
+
+@query("tiered_match_regex", match_sql(BRAND_PRODUCTS_SQL, REGEX_SEED_SQL))
+def tiered_match_regex(spark, sf_dir):
+    """Several hundred seed examples that are regexes, made from the part names."""
+    part = table(spark, sf_dir, "part")
+    seed = part.groupBy("p_brand", (F.col("p_size") % 15).alias("k")).agg(F.min("p_name").alias("example"))
+    seed = seed.select(
+        F.concat("p_brand", F.lit("-"), F.col("k").cast("string")).alias("code"),
+        F.lit(None).cast("string").alias("hint"),
+        F.replace("example", F.lit(" "), F.lit(".+")).alias("example"),
+    )
+    feed = part.select(
+        "p_partkey",
+        F.when(F.col("p_size") > 40, F.concat("p_name", F.lit(" / spare"))).otherwise(F.col("p_name")).alias("name"),
+        F.when(F.col("p_size") > 20, F.concat("p_brand", F.lit(" [B]"))).alias("klass"),
+    )
+    return match.tiered_match(
+        feed, Seed(seed, "code", "hint", "example"), ["p_partkey"], "name", "klass", strategy="index"
+    )
+
+
 @query(
     "match_coverage",
     f"""

@@ -13,7 +13,7 @@ from conform.operators.star import Lookup, Members
 from conform.plans.cleaning import LINE_DEDUPED, LINE_KEYS, LINE_ORDER
 from conform.plans.matching import match_sql
 from conform.plans.registry import key_sql, norm_sql, query, table
-from conform.session import sized
+from conform.session import sized, stored
 
 SNAPSHOT_TS = "2024-01-01 00:00:00"
 PART_MEMBERS = Members(
@@ -96,8 +96,9 @@ def category_fact(spark, sf_dir):
         F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("units"),
         F.count(F.lit(1)).alias("n_events"),
     )
-    days = history.date_dim_covering(events, "ts")
-    types = history.scd1_dim(events, ["event_type"], "type_sk")
+    facts = stored(facts, "daily")  # read by the calendar, the types and the fact
+    days = history.date_dim_covering(facts, "day")
+    types = sized(history.scd1_dim(facts, ["event_type"], "type_sk"), "types")
     return star.build_fact(
         facts,
         "event_day_sk",
@@ -135,7 +136,7 @@ def line_fact(spark, sf_dir):
     dim = part_dim(spark, sf_dir).where("member_type = 'part' and is_current")
     by_name = sized(joins.name_map(dim, "part_sk", ["p_name"]), "names")
     days = history.date_dim_covering(lines, "l_shipdate")
-    flags = history.scd1_dim(lines, ["l_returnflag"], "flag_sk")
+    flags = sized(history.scd1_dim(lines, ["l_returnflag"], "flag_sk"), "flags")
     facts = named.withColumns(
         {"name_norm": text.normalise("p_name"), "ship_date": F.to_date("l_shipdate")}
     )
@@ -354,6 +355,26 @@ def trace_back(spark, sf_dir):
     )
 
 
+@query(
+    "trace_back_fanout",
+    """
+    select c.c_custkey, o.o_orderkey, l.l_linenumber, l.l_quantity
+    from customer c left join orders o on o.o_custkey = c.c_custkey
+    left join lineitem l on l.l_orderkey = o.o_orderkey where c.c_acctbal > 9000
+    """,
+)
+def trace_back_fanout(spark, sf_dir):
+    """From customers to their orders and on to the lines: each hop has many rows for one above."""
+    start = table(spark, sf_dir, "customer").where("c_acctbal > 9000").select("c_custkey")
+    layers = [
+        reconcile.Layer("orders", table(spark, sf_dir, "orders"), F.col("o_custkey"), "c_custkey", ["o_orderkey"]),
+        reconcile.Layer(
+            "lineitem", table(spark, sf_dir, "lineitem"), F.col("l_orderkey"), "o_orderkey", ["l_linenumber", "l_quantity"]
+        ),
+    ]
+    return reconcile.trace_back(start, layers)
+
+
 @query(
     "deduped_fact",
     f"""

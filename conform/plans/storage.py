@@ -220,6 +220,56 @@ def external_view(spark, sf_dir):
     return spark.table(name)
 
 
+@query(
+    "rewrite_clustered",
+    """
+    select o_orderkey, cast(extract(year from o_orderdate) as integer) as year from orders
+    where extract(year from o_orderdate) > (select min(extract(year from o_orderdate)) from orders)
+    """,
+)
+def rewrite_clustered(spark, sf_dir):
+    """A table in year folders written again without its first year: that folder goes."""
+    lake = new_lake(spark, "rewrite")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"))
+    path = lake.silver("orders")
+    full = lake.write_clustered(orders, path, ["o_orderkey"], partitions=["year"])
+    later = orders.where(F.col("year") > full.agg(F.min("year")).scalar())
+    lake.write_clustered(later, path, ["o_orderkey"], partitions=["year"])
+    return spark.read.parquet(path)
+
+
+@query(
+    "backfill_empty",
+    """
+    select event_id, cast(ts as date) as load_date from events
+    where cast(ts as date) > (select min(cast(ts as date)) from events)
+    """,
+)
+def backfill_empty(spark, sf_dir):
+    """A date whose corrected feed has no rows is empty afterwards; the other dates stay."""
+    lake = new_lake(spark, "emptied")
+    path = lake.bronze("stream", "events")
+    events = table(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("day"))
+    lake.write_dates(events, path, "day")
+    lake.write_date(events.where("event_id is null"), path, lake.dates(path)[0])
+    return spark.read.parquet(path).select("event_id", "load_date")
+
+
+@query("publish_immutable", SEGMENTS_SQL)
+def publish_immutable(spark, sf_dir):
+    """A published run refuses to be written again, so readers keep what was published."""
+    lake = new_lake(spark, "immutable")
+    customer = table(spark, sf_dir, "customer")
+    count = lambda df: df.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("customers"))
+    lake.write_model(count(customer.where("c_acctbal >= 0")), lake.gold("r1", "segments"))
+    lake.publish("r1", ["segments"])
+    try:
+        lake.write_model(count(customer), lake.gold("r1", "segments"))
+    except PublishError:
+        return lake.read_current("segments")
+    raise AssertionError("a published run was changed")
+
+
 @query("bronze_json_array", "select n_nationkey, n_name, n_regionkey from nation")
 def bronze_json_array(spark, sf_dir):
     """The nations landed as one JSON document, wrapped as ``results``, and read back as rows."""
@@ -250,10 +300,10 @@ def seed_csv(spark, sf_dir):
 
 
 @query(
-    "prior_state",
+    "first_run_state",
     "select o_orderstatus, 0 as rows_before, count(*) as rows_now from orders group by o_orderstatus",
 )
-def prior_state(spark, sf_dir):
+def first_run_state(spark, sf_dir):
     """A first run finds no prior state and takes it as empty."""
     path = new_lake(spark, "prior").silver("orders")
     now = table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("rows_now"))
@@ -264,7 +314,7 @@ def prior_state(spark, sf_dir):
 
 
 @query(
-    "quality_store",
+    "stored_checks",
     """
     select 'r1' as run_id, 'lines' as model, 'accepted_range_l_quantity' as "check",
            count(*) filter (l_quantity > 40) as failing, count(*) as total,
@@ -274,7 +324,7 @@ def prior_state(spark, sf_dir):
            count(*) filter (l_partkey is null) = 0 from lineitem
     """,
 )
-def quality_store(spark, sf_dir):
+def stored_checks(spark, sf_dir):
     """Check results kept under their run and model; a rerun replaces its own."""
     lake = new_lake(spark, "results")
     lines = table(spark, sf_dir, "lineitem")
@@ -284,7 +334,16 @@ def quality_store(spark, sf_dir):
     return lake.read_quality("r1").select(F.lit("r1").alias("run_id"), "model", "check", "failing", "total", "passed")
 
 
-@query("quality_gate")
+@query(
+    "quality_gate",
+    """
+    select 'empty' as run, 'orders of run empty is empty' as refused, 'good' as current
+    where (select count(*) from orders where o_totalprice < 0) = 0
+    union all
+    select 'failed_check', 'blocked by: accepted_values_o_orderstatus', 'good'
+    where (select count(*) from orders where o_orderstatus not in ('F', 'O')) > 0
+    """,
+)
 def quality_gate(spark, sf_dir):
     """A run with an empty model and a run with a failed check: neither may be published."""
     lake = new_lake(spark, "gate")
