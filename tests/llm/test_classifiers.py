@@ -6,7 +6,6 @@ import itertools
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from conform.llm import quality, toxicity
 
@@ -82,7 +81,8 @@ def test_scores_of_odd_rows(spark, odd):
 def test_nnpu_learns_from_positives_and_unlabelled():
     rng = np.random.default_rng(1)
     make = lambda n, p: (rng.random((n, 20)) < p).astype(np.float32)
-    toxic = lambda n: np.hstack([make(n, 0.6)[:, :5], make(n, 0.1)[:, 5:]])
+    # Five marks at 0.8 against 0.05: two marks or more decide, which 0.993 of the toxic rows have.
+    toxic = lambda n: np.hstack([make(n, 0.8)[:, :5], make(n, 0.1)[:, 5:]])
     clean = lambda n: make(n, 0.05)
     w = toxicity.fit_nnpu(toxic(300), np.vstack([toxic(100), clean(900)]), 0.1, seed=0)
     say = lambda x: x @ w[:-1] + w[-1] > 0
@@ -103,4 +103,3 @@ def test_folds(spark):
     got = spark.range(50).withColumnRenamed("id", "doc_id").select("doc_id", quality.held_out().alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
     assert spark.createDataFrame([(None,)], "doc_id long").select(quality.held_out().alias("h")).first()["h"] is False
-    assert F is not None
