@@ -30,6 +30,23 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def tidied(function: Callable) -> Callable:
+    """A batch function that gives its memory back to the system at the end, as workers are reused by later stages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ctypes
+        import gc
+
+        yield from function(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+        if trim:
+            trim(0)
+
+    return run
+
+
 # -- words as 64-bit numbers ---------------------------------------------------------------
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -49,7 +66,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHasher:
     """64-bit hashes of words, remembered up to a bound; the same in every process."""
 
-    def __init__(self, bound: int = 500_000) -> None:
+    def __init__(self, bound: int = 200_000) -> None:
         import xxhash
 
         self.known: dict[bytes, int] = {}

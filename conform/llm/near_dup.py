@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from conform.llm.common import WordHasher, bitmap, maybe_in, mix, read, shingles, stored
+from conform.llm.common import WordHasher, bitmap, maybe_in, mix, read, shingles, stored, tidied
 
 #: Prefixes are kept for 1 to this many shared tokens.
 LEVELS = 4
@@ -70,7 +70,7 @@ def _survey(docs: DataFrame, k: int) -> DataFrame:
             ["id", "n", "sign", "slice", "cells"],
         )
 
-    return stored(docs.mapInArrow(survey, "id long, n long, sign binary, slice int, cells binary"), "neardup-survey")
+    return stored(docs.mapInArrow(tidied(survey), "id long, n long, sign binary, slice int, cells binary"), "neardup-survey")
 
 
 def _sketch(survey: DataFrame) -> np.ndarray:
@@ -140,7 +140,7 @@ def _entries(
             if parts:
                 yield out(parts)
 
-    return docs.mapInArrow(entries, "token long, salt int, id long, variant int, pos int, n int")
+    return docs.mapInArrow(tidied(entries), "token long, salt int, id long, variant int, pos int, n int")
 
 
 def _sets(docs: DataFrame, nodes: np.ndarray, k: int) -> DataFrame:
@@ -154,7 +154,7 @@ def _sets(docs: DataFrame, nodes: np.ndarray, k: int) -> DataFrame:
                 found = [shingle_set(t, k, hasher).tobytes() for t in _texts(texts.slice(start, 500))]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[at[start : start + 500]]), pa.array(found, pa.binary())], ["id", "tokens"])
 
-    return docs.mapInArrow(sets, "id long, tokens binary")
+    return docs.mapInArrow(tidied(sets), "id long, tokens binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:

@@ -13,12 +13,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conform.llm.common import by_bucket, pack_words, partitions, read, squeeze, unpack_words, unsqueeze
+from conform.llm.common import by_bucket, pack_words, partitions, read, squeeze, stored, tidied, unpack_words, unsqueeze
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 #: Words of more characters are merged one by one, as their lattice does not fit a 64-bit mask.
 LONG_WORD = 62
 _SPACE = "▁"
+_CHUNK = re.compile(r" *[^ ]+| +").findall
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~"
 
@@ -126,34 +127,59 @@ def best_path(word: str, pieces: Pieces) -> list[str]:
 
 
 class Block:
-    """Words of a run of documents as numbers of a vocabulary of their own."""
+    """Words of a run of documents as numbers of a vocabulary of their own.
+
+    Texts are split at blanks first, which is fast, and only different chunks are cut into words.
+    """
 
     def __init__(self, cut: re.Pattern, prefix: bool, buckets: int) -> None:
-        self.find, self.prefix, self.buckets = cut.findall, " " if prefix else "", buckets
-        self.known: dict[str, int] = {}
+        self.cut, self.prefix, self.buckets = cut.findall, prefix, buckets
+        self.spaced: dict[str, int] = {}  # chunks behind one blank, without it
+        self.other: dict[str, int] = {}
         self.ids: list[int | None] = []
-        self.lengths: list[int] = []
         self.hashes: list[int] = []
-        self.words: list[np.ndarray] = []
+        self.chunks: list[np.ndarray] = []  # below 0: of the other chunks
         self.size = 0
 
     def add(self, doc_id: int | None, text: str) -> None:
-        known = self.known
         text = text.replace(_SPACE, " ")
-        found = self.find(self.prefix + text) if text else []
-        self.words.append(np.array([known.setdefault(w, len(known)) for w in found], dtype=np.uint32))
+        if not text:
+            found: list[int] = []
+        elif self.prefix and "  " not in text and text[0] != " " and text[-1] != " ":
+            known = self.spaced
+            found = [known.setdefault(c, len(known)) for c in text.split(" ")]
+        else:
+            known = self.other
+            found = [-1 - known.setdefault(c, len(known)) for c in _CHUNK((" " if self.prefix else "") + text)]
+        self.chunks.append(np.array(found, dtype=np.int64))
         self.ids.append(doc_id)
-        self.lengths.append(len(found))
         self.hashes.append(zlib.crc32(text.encode("utf-8", "surrogatepass")))
         self.size += len(text)
 
-    def vocabulary(self) -> tuple[np.ndarray, list[tuple[int, bytes]], int]:
-        place, parts = by_bucket(list(self.known), self.buckets)
-        packed = [(b, pack_words(words)) for b, words in parts]
+    def vocabulary(self) -> tuple[list[list[int]], np.ndarray, list[tuple[int, bytes]], int]:
+        """Words of each chunk, their places in bucket order, the packed buckets, and a check sum."""
+        known: dict[str, int] = {}
+        chunks = [*(" " + c for c in self.spaced), *self.other]
+        words = [[known.setdefault(w, len(known)) for w in self.cut(c)] for c in chunks]
+        place, parts = by_bucket(list(known), self.buckets)
+        packed = [(b, pack_words(w)) for b, w in parts]
         check = 0
         for _, p in packed:
             check = zlib.crc32(p, check)
-        return place, packed, check
+        return words, place, packed, check
+
+    def numbers(self, words: list[list[int]], place: np.ndarray) -> tuple[bytes, bytes]:
+        """Words per document, and the place of each word."""
+        sizes = np.array([len(w) for w in words], dtype=np.int64)
+        flat = place[np.array([n for w in words for n in w], dtype=np.int64)] if len(place) else np.empty(0, dtype=np.int64)
+        starts = np.cumsum(sizes) - sizes
+        chunk = np.concatenate([*self.chunks, np.empty(0, dtype=np.int64)])
+        chunk = np.where(chunk < 0, len(self.spaced) - 1 - chunk, chunk)
+        width = sizes[chunk]
+        ends = np.cumsum(width)
+        take = np.repeat(starts[chunk] - (ends - width), width) + np.arange(ends[-1] if len(ends) else 0)
+        upto = np.concatenate([[0], ends])[np.cumsum([0, *[len(c) for c in self.chunks]])]
+        return squeeze(np.diff(upto)), squeeze(flat[take])
 
 
 def _blocks(docs: DataFrame, pieces: Pieces, buckets: int, block_bytes: int, what: str) -> DataFrame:
@@ -177,15 +203,14 @@ def _blocks(docs: DataFrame, pieces: Pieces, buckets: int, block_bytes: int, wha
             import xxhash
 
             # The key says what the vocabulary is: a block that is cut differently finds no words.
-            place, packed, check = block.vocabulary()
+            words, place, packed, check = block.vocabulary()
             key = xxhash.xxh3_64_intdigest(f"{base + n}:{check}") >> 1
             if what == "vocabulary":
                 return pa.RecordBatch.from_pylist([{"block": key, "bucket": b, "words": w} for b, w in packed], schema)
-            flat = np.concatenate([*block.words, np.empty(0, dtype=np.uint32)])
-            return pa.RecordBatch.from_pylist([{
-                "block": key, "ids": block.ids, "lengths": squeeze(np.array(block.lengths, dtype=np.uint32)), "hashes": block.hashes,
-                "numbers": squeeze(place[flat] if len(place) else flat),
-            }], schema)
+            lengths, numbers = block.numbers(words, place)
+            return pa.RecordBatch.from_pylist(
+                [{"block": key, "ids": block.ids, "lengths": lengths, "hashes": block.hashes, "numbers": numbers}], schema
+            )
 
         block = Block(pattern, prefix, buckets)
         for batch in batches:
@@ -202,7 +227,7 @@ def _blocks(docs: DataFrame, pieces: Pieces, buckets: int, block_bytes: int, wha
         if what == "vocabulary"
         else "block long, ids array<long>, lengths binary, hashes array<long>, numbers binary"
     )
-    return docs.mapInArrow(pack, types)
+    return docs.mapInArrow(tidied(pack), types)
 
 
 def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
@@ -270,7 +295,7 @@ def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
         if kept:
             yield out(pa.Table.from_batches(kept))
 
-    grouped = edges.mapInArrow(group, "word string, refs binary, edges array<struct<ends:long,inner:long,start:int,score:double>>")
+    grouped = edges.mapInArrow(tidied(group), "word string, refs binary, edges array<struct<ends:long,inner:long,start:int,score:double>>")
     full = F.lit(1).cast("long")
     all_bits = F.call_function("shiftleft", full, F.length("word")) - 1 + F.call_function("shiftleft", full, F.length("word"))
 
@@ -335,6 +360,7 @@ def encode(
         return pa.table({"word": pa.array(list(of), pa.string()), "refs": pa.array(refs, pa.binary())})
 
     words = _blocks(given, pieces, buckets, block_bytes, "vocabulary").groupBy("bucket").applyInArrow(meet, "word string, refs binary")
+    words = stored(words, "pieces-words")  # so that no task runs three Python workers in a row
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Ids of the words, gathered per block and bucket."""
@@ -395,7 +421,7 @@ def encode(
         if refs:
             yield out()
 
-    spelt = lattice(words, pieces).mapInArrow(spell, "block long, bucket int, places binary, widths binary, pieces binary")
+    spelt = lattice(words, pieces).mapInArrow(tidied(spell), "block long, bucket int, places binary, widths binary, pieces binary")
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
         schema = pa.schema([("id", pa.int64()), ("ids", pa.list_(pa.int32())), ("text_hash", pa.int64())])

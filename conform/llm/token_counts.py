@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conform.llm.common import by_bucket, pack_words, partitions, read, squeeze, stored, unpack_words, unsqueeze
+from conform.llm.common import by_bucket, pack_words, partitions, read, squeeze, stored, tidied, unpack_words, unsqueeze
 
 #: Text bytes of a block of documents; a longer text is a block of its own.
 BLOCK_BYTES = 16 << 20
@@ -155,7 +155,7 @@ def token_counts(
     text = F.col(text_col)
     blocks = stored(
         docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("size"), text.alias("text")).mapInArrow(
-            pack,
+            tidied(pack),
             "block long, ids array<long>, n_bytes array<long>, n_special array<long>, entries binary, pre_tokens binary, "
             "counts binary, vocabulary array<struct<bucket:int,words:binary>>",
         ),
