@@ -100,7 +100,8 @@ def _entries(
     """Prefix tokens of the documents in ``nodes``: (token, salt, id, variant, pos, n).
 
     Tokens are in one order for all documents: estimated frequency, then hash; ``pos`` is the place in the document's own
-    order. ``variant`` tells rows apart that repeat an id, and is 0 for others.
+    order. ``variant`` tells rows apart that repeat an id, and is 0 for others. ``salt`` is 0 where the token's list
+    is whole, and 1 or more where it is split: then other salts may hold the token as well.
     """
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,6 +132,7 @@ def _entries(
                 variant = int(np.bitwise_xor.reduce(mix(tokens)) >> np.uint64(33)) if twice[i] else 0
                 pieces = often[order] // LONG_LIST + 1
                 salt = (mix(ids[i : i + 1].view(np.uint64))[0] % pieces.astype(np.uint64)).astype(np.int32)
+                salt = np.where(pieces > 1, salt + 1, 0).astype(np.int32)
                 same = lambda x, size=size: np.full(size, x, dtype=np.int32)
                 parts.append((tokens[order], salt, np.full(size, ids[i]), same(variant), np.arange(size, dtype=np.int32), same(n)))
                 held += size
@@ -237,7 +239,7 @@ def near_duplicates(
     repeated = bitmap(rows.where("id is not null").groupBy("id").count().where("count > 1"), "id")
     entries = _entries(known, nodes, repeated, _sketch(survey), k, num, den)
 
-    # Tokens of one document alone drop out.
+    # Tokens of one document alone drop out; of a split list, a salt does not tell, and the exact length below does.
     within = Window.partitionBy("token", "salt").orderBy("id")
     alone = F.lead("id").over(within).isNull() & F.lag("id").over(within).isNull() & (F.col("salt") == 0)
     shared = entries.withColumn("alone", alone).where("not alone").drop("alone")

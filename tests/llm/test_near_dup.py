@@ -7,6 +7,7 @@ import re
 
 import pytest
 
+from conform.llm import near_dup
 from conform.llm.near_dup import components, near_duplicates
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -86,6 +87,21 @@ def test_nulls_repeats_and_no_rows(spark):
     assert near_duplicates(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("long_list", [2, 7])
+def test_split_lists_lose_no_link(spark, monkeypatch, long_list):
+    monkeypatch.setattr(near_dup, "LONG_LIST", long_list)
+    rng = random.Random(long_list)
+    rows = []
+    for pair in range(40):  # few representatives, many copies: the lists are split, and most salts hold one document or none
+        base = [f"p{pair}w{j}" for j in range(60)]
+        near = [*base[:-1], f"p{pair}other"]
+        for _ in range(4):
+            rows += [(rng.randrange(10**9), " ".join(base)), (rng.randrange(10**9), " ".join(near))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(df).collect()}
+    assert got == brute(rows)
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, 500 + i) for i in range(1, 40)] + [(rng.randrange(1000, 1060), rng.randrange(1000, 1060)) for _ in range(40)]
