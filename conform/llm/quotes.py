@@ -39,7 +39,8 @@ def _hash(passage: str) -> bytes:
 
 
 def link_quotes(
-    messages: DataFrame, id_col: str, text_col: str = "text", scope: tuple[str, ...] = (), order_col: str | None = None
+    messages: DataFrame, id_col: str, text_col: str = "text", scope: tuple[str, ...] = (), order_col: str | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Each message without its quotes, and the message that it answers.
 
@@ -51,10 +52,10 @@ def link_quotes(
     passage the first counts, so a passage that a third of all messages begin with is one row of
     the join. A message answers the original of its lowest quote level, the latest if there are several.
 
-    Returns the scope columns, the id, ``clean`` (own text, outer blank lines off), ``n_quotes`` (quoted passages),
+    Returns the scope columns, the id, the ``keep`` columns as they are, ``clean`` (own text, outer blank lines off), ``n_quotes`` (quoted passages),
     ``n_linked`` (those with an original) and ``reply_to`` (id or null). A null text is an empty one; passages without
-    words are not linked. Rows with a null id are kept and link to nothing, and nothing links to them. Repeated ids should be removed before; each repeated
-    row is answered alike. Empty input gives no rows. Columns that clash in name are not used.
+    words are not linked. Rows with a null id are kept and link to nothing, and nothing links to them. Each row that
+    repeats an id is answered by its own text. Empty input gives no rows. Columns that clash in name are not used.
     """
     order = F.col(order_col or id_col)
     keyed = messages.select(
@@ -62,6 +63,7 @@ def link_quotes(
         F.col(id_col).alias("id"),
         order.alias("at"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)],
     ).withColumn("row", F.monotonically_increasing_id())
     scopes = [f"s{i}" for i in range(len(scope))]
 
@@ -132,6 +134,7 @@ def link_quotes(
     return parsed.join(per_row, "row", "left").select(
         *[F.col(s).alias(c) for s, c in zip(scopes, scope, strict=True)],
         F.col("id").alias(id_col),
+        *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)],
         "clean",
         F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"),
         F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
@@ -143,14 +146,17 @@ def reply_order(linked: DataFrame, id_col: str, scope: tuple[str, ...] = ()) ->
     """``linked`` with ``root`` (first message of the conversation), ``depth`` (replies below it) and ``position``.
 
     Pointers to the answered message are doubled until each ends at a root, so the number of rounds is the logarithm of the
-    deepest conversation; a message that has reached its root takes no part in later rounds. ``position`` counts from 0 by depth, then id, within a root. A message that answers
-    nothing is its own root.
+    deepest conversation; a message that has reached its root takes no part in later rounds. ``position`` counts from 0 by depth, then id, then text, within a root. A message that answers
+    nothing is its own root. Rows that repeat an id are one message, which answers the latest that any of them does; each row
+    has a position of its own. All rows stay; root and depth are null where the id is.
     """
     names = {c: f"s{i}" for i, c in enumerate(scope)}
-    nodes = linked.where(F.col(id_col).isNotNull()).select(
-        *[F.col(c).alias(s) for c, s in names.items()], F.col(id_col).alias("id"), F.col("reply_to").alias("up"),
-        F.when(F.col("reply_to").isNull(), 0).otherwise(1).alias("steps"),
-    ).dropDuplicates([*names.values(), "id"])
+    nodes = (
+        linked.where(F.col(id_col).isNotNull())
+        .select(*[F.col(c).alias(s) for c, s in names.items()], F.col(id_col).alias("id"), F.col("reply_to").alias("up"))
+        .groupBy(*names.values(), "id").agg(F.max("up").alias("up"))
+        .withColumn("steps", F.when(F.col("up").isNull(), 0).otherwise(1))
+    )
     moving = stored(nodes, "quotes-pointers")
     ended = moving.where("up is null")
     moving = moving.where("up is not null")
@@ -172,7 +178,7 @@ def reply_order(linked: DataFrame, id_col: str, scope: tuple[str, ...] = ()) ->
         *[F.col(s).alias(f"_{s}") for s in names.values()], F.col("id").alias("_id"), F.coalesce("up", "id").alias("root"), F.col("steps").alias("depth")
     )
     on = [F.col(id_col) == F.col("_id"), *[F.col(c).eqNullSafe(F.col(f"_{s}")) for c, s in names.items()]]
-    within = Window.partitionBy(*scope, "root").orderBy("depth", id_col)
+    within = Window.partitionBy(*scope, "root").orderBy("depth", id_col, "clean")
     return (
         linked.join(ends, on, "left")
         .drop("_id", *[f"_{s}" for s in names.values()])
@@ -181,23 +187,34 @@ def reply_order(linked: DataFrame, id_col: str, scope: tuple[str, ...] = ()) ->
 
 
 def as_mail(turns: DataFrame, levels: int = 3) -> DataFrame:
-    """Conversation turns as a mailbox would hold them: every turn carries the ``levels`` turns before it as nested quotes."""
+    """Conversation turns as a mailbox would hold them: every turn carries the ``levels`` turns before it as nested quotes.
+
+    Of rows that repeat a turn, later turns quote the one with the smallest text; a row without a turn quotes nothing and is not
+    quoted. All rows and columns stay.
+    """
+    said = turns.where("turn is not null").groupBy("conv_id", "turn").agg(F.min(F.coalesce("text", F.lit(""))).alias("_said"))
     thread = Window.partitionBy("conv_id").orderBy("turn")
-    body = F.coalesce("text", F.lit(""))
+    quotes = F.lit("")
     for n in range(levels, 0, -1):
-        before = F.lag(F.coalesce("text", F.lit("")), n).over(thread)
         mark = ">" * n + " "
-        quoted = F.concat(F.lit(mark), F.regexp_replace(before, "\n", "\n" + mark), F.lit("\n"))
-        body = F.concat(F.coalesce(quoted, F.lit("")), body)
-    return turns.withColumn("text", body)
-
-
-def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = read(spark, sf_dir, "conversations").dropDuplicates(["conv_id", "turn"])
-    mail = as_mail(turns)
-    linked = link_quotes(mail, "turn", scope=("conv_id",))
-    ordered = reply_order(linked, "turn", scope=("conv_id",)).join(turns.select("conv_id", "turn", "role"), ["conv_id", "turn"])
-    return ordered.select(
+        quoted = F.concat(F.lit(mark), F.regexp_replace(F.lag("_said", n).over(thread), "\n", "\n" + mark), F.lit("\n"))
+        quotes = F.concat(quotes, F.coalesce(quoted, F.lit("")))
+    before = said.select(F.col("conv_id").alias("_conv"), F.col("turn").alias("_turn"), quotes.alias("_quotes"))
+    on = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("turn") == F.col("_turn"))
+    return turns.join(before, on, "left").withColumn(
+        "text", F.concat(F.coalesce("_quotes", F.lit("")), F.coalesce("text", F.lit("")))
+    ).select(turns.columns)
+
+
+def chat(turns: DataFrame) -> DataFrame:
+    """``turns`` (conv_id, turn, role, text) as mail, linked and in reply order. Only rows that are equal in all columns are one."""
+    turns = turns.select("conv_id", "turn", "role", "text").distinct()
+    linked = link_quotes(as_mail(turns), "turn", scope=("conv_id",), keep=("role",))
+    return reply_order(linked, "turn", scope=("conv_id",)).select(
         "conv_id", "turn", "root", F.col("position").cast("long").alias("position"), F.col("depth").cast("long").alias("depth"), "reply_to", "role",
         F.col("n_quotes").cast("long").alias("n_quotes"), F.col("n_linked").cast("long").alias("n_linked"), F.col("clean").alias("text"),
     )
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat(read(spark, sf_dir, "conversations"))

@@ -62,6 +62,21 @@ def test_mail_view_comes_back_as_the_turns(spark):
     assert got == {(r["conv_id"], r["turn"]): (r["text"], r["turn"] - 1 if r["turn"] else None) for r in turns.collect()}
 
 
+def test_query_keeps_null_and_repeated_keys(spark, tmp_path):
+    turns = [
+        (1, 0, "user", "first"), (1, 1, "assistant", "second"), (1, 1, "user", "other second"), (1, 1, "user", "other second"), (1, 2, "user", "third"),
+        (1, None, "system", "no turn"), (None, 0, "user", "no thread"), (None, 1, "assistant", "answer"), (None, None, None, "nothing"), (2, 0, "user", None),
+    ]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    df.repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = quotes.op9_chat(spark, str(tmp_path)).collect()
+    assert sorted(((r["conv_id"], r["turn"], r["role"], r["text"]) for r in got), key=repr) == sorted({(*t[:3], t[3] or "") for t in turns}, key=repr)
+    for r in got:
+        assert r["reply_to"] == (r["turn"] - 1 if r["turn"] else None)
+        assert (r["root"], r["depth"]) == (None if r["turn"] is None else 0, r["turn"])
+    assert sorted(r["position"] for r in got if r["conv_id"] == 1 and r["turn"] is not None) == [0, 1, 2, 3]
+
+
 def test_no_rows(mail):
     none = quotes.link_quotes(mail.limit(0), "msg", scope=("thread",))
     assert quotes.reply_order(none, "msg", ("thread",)).collect() == []
