@@ -49,8 +49,7 @@ def link_quotes(
     whole own text, and each run of own text between quotes. If a passage has no original, its lines are looked up
     one by one, as a part of a message may be quoted. Originals must lie in the same ``scope`` columns (a mailbox,
     a thread) and before the message by ``order_col`` (default: the id); of several originals of one
-    passage the first counts, so a passage that a third of all messages begin with is one row of
-    the join. A message answers the original of its lowest quote level, the latest if there are several.
+    passage the latest before the message counts (at one time, the largest id), as a reply quotes what was said last. A message answers the original of its lowest quote level, the latest if there are several.
 
     Returns the scope columns, the id, the ``keep`` columns as they are, ``clean`` (own text, outer blank lines off), ``n_quotes`` (quoted passages),
     ``n_linked`` (those with an original) and ``reply_to`` (id or null). A null text is an empty one; passages without
@@ -100,26 +99,32 @@ def link_quotes(
         ),
         "quotes-parsed",
     )
-    same = lambda a, b: [F.col(f"{a}.{s}").eqNullSafe(F.col(f"{b}.{s}")) for s in scopes]
-
-    def originals(column: str) -> DataFrame:
-        return (
-            parsed.where("id is not null")
-            .select(*scopes, "id", "at", F.explode(column).alias("key"))
-            .groupBy(*scopes, "key")
-            .agg(F.min(F.struct("at", "id")).alias("o"))
-        )
-
     quoted = parsed.where("id is not null").select("row", *scopes, "at", F.explode("quotes").alias("q"))
     quoted = quoted.select("row", *scopes, "at", "q.*")
 
-    def matched(asked: DataFrame, known: DataFrame) -> DataFrame:
-        on = [F.col("a.key") == F.col("b.key"), *same("a", "b"), F.col("b.o.at") < F.col("a.at")]
-        return asked.alias("a").join(known.alias("b"), on, "left").select("a.*", F.col("b.o").alias("o"))
+    def matched(asked: DataFrame, column: str) -> DataFrame:
+        """``asked`` with the latest original before it, ``o``.
+
+        Originals and quotes are ranged by key and time, so that a key with many of both is shared by many tasks. Within a range
+        a window finds the original; a key that spans ranges takes what the ranges before hold, one row a range.
+        """
+        known = parsed.where("id is not null and at is not null").select(*scopes, "id", "at", F.explode(column).alias("key"))
+        known = known.groupBy(*scopes, "key", "at").agg(F.max("id").alias("id")).select(*scopes, "key", "at", F.struct("at", "id").alias("o"))
+        events = asked.withColumn("o", F.lit(None).cast(known.schema["o"].dataType)).unionByName(known, allowMissingColumns=True)
+        events = stored(events.repartitionByRange(*scopes, "key", "at").withColumn("part", F.spark_partition_id()), "quotes-events")
+        # At one time quotes come first: an original is earlier than what quotes it.
+        before = Window.partitionBy("part", *scopes, "key").orderBy("at", F.col("row").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+        near = events.withColumn("o", F.last("o", ignorenulls=True).over(before)).where("row is not null")
+        earlier = Window.partitionBy(*scopes, "key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        far = events.groupBy(*scopes, "key", "part").agg(F.max("o").alias("o")).withColumn("o", F.max("o").over(earlier)).where("o is not null")
+        on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("part", "key", *scopes)]
+        return near.alias("a").join(far.alias("b"), on, "left").select(
+            *[f"a.{c}" for c in asked.columns], F.coalesce("a.o", "b.o").alias("o")
+        )
 
-    by_passage = stored(matched(quoted, originals("own")), "quotes-linked")
+    by_passage = stored(matched(quoted, "own"), "quotes-linked")
     by_line = matched(
-        by_passage.where("o is null").select("row", *scopes, "at", "n", "level", F.explode("lines").alias("key")), originals("own_lines")
+        by_passage.where("o is null").select("row", *scopes, "at", "n", "level", F.explode("lines").alias("key")), "own_lines"
     )
     links = by_passage.select("row", "n", "level", "o").unionByName(by_line.select("row", "n", "level", "o"))
     per_row = (

@@ -77,6 +77,22 @@ def test_query_keeps_null_and_repeated_keys(spark, tmp_path):
     assert sorted(r["position"] for r in got if r["conv_id"] == 1 and r["turn"] is not None) == [0, 1, 2, 3]
 
 
+@pytest.mark.parametrize("conversations", [1, 40])
+def test_repeated_words_link_to_the_latest_before(spark, conversations):
+    words = ["ok", "yes", "ok", "ok\nthen", "no"]  # turns of the same words, and lines of them
+    turns = [(c, t, "user", words[(t * t + c) % 5]) for c in range(conversations) for t in range(2_000 // conversations)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(5)
+    got = quotes.chat(df).collect()
+    assert len(got) == len(turns)
+    assert all((r["reply_to"], r["root"], r["depth"], r["position"]) == (r["turn"] - 1 if r["turn"] else None, 0, r["turn"], r["turn"]) for r in got)
+
+
+def test_lines_link_to_the_latest_before(spark):
+    rows = [(1, "one\ntwo"), (2, "two\nthree"), (3, "> two\nasked"), (4, "two\nfour"), (5, "> two\nagain"), (6, "> two\nown"), (None, "two\nfive")]
+    got = quotes.link_quotes(spark.createDataFrame(rows, "msg long, text string"), "msg").collect()
+    assert {r["msg"]: r["reply_to"] for r in got} == {1: None, 2: None, 3: 2, 4: None, 5: 4, 6: 4, None: None}
+
+
 def test_no_rows(mail):
     none = quotes.link_quotes(mail.limit(0), "msg", scope=("thread",))
     assert quotes.reply_order(none, "msg", ("thread",)).collect() == []
