@@ -72,8 +72,9 @@ def scan_secrets(
     owner_col: str = "source",
     repo_col: str | None = None,
     max_owners: int = 1,
-    max_repos: int = 4,
+    max_repos: int | None = 4,
     min_length: int = 16,
+    any_form: bool = False,
 ) -> DataFrame:
     """Candidate secrets of each text, and which of them look live.
 
@@ -82,7 +83,9 @@ def scan_secrets(
     document is its own if None) and owners it occurs. A value that spreads beyond ``max_repos`` or
     ``max_owners`` is a copied example. The others look live if they have ``min_length`` characters, a
     letter, a digit and eight different characters; each of their places gets a span of kind
-    ``live`` around the value, on top of the pattern's own span.
+    ``live`` around the value, on top of the pattern's own span. Where no column names a repository, documents stand for
+    it, and copies of one owner's document count against its own values: ``max_repos`` None judges by owners alone. With ``any_form``
+    every candidate that one owner has looks live, short values and those of letters alone too.
 
     Returns one row per input row: the id, ``base`` and ``live`` (arrays of start, kind, end; code
     points, end exclusive), ``values`` (start, end, value, owners, repos, live) and ``text_sha``. A null text is an empty
@@ -116,15 +119,16 @@ def scan_secrets(
         .groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"))
     )
     spread = stored(spread, "secrets-spread")
-    looks = (
+    looks = F.lit(any_form) | (
         (F.length("value") >= min_length)
         & F.col("value").rlike("[0-9]")
         & F.col("value").rlike("[A-Za-z]")
         & (F.size(F.array_distinct(F.split("value", ""))) >= 8)
     )
-    judged = places.join(spread, "hash").withColumn(
-        "live", looks & (F.col("owners") <= max_owners) & (F.col("repos") <= max_repos)
-    )
+    owned = F.col("owners") <= max_owners
+    if max_repos is not None:
+        owned &= F.col("repos") <= max_repos
+    judged = places.join(spread, "hash").withColumn("live", looks & owned)
     per_row = judged.groupBy("row").agg(
         F.sort_array(F.collect_list(F.struct("start", "end", "value", "owners", "repos", "live"))).alias("values")
     )

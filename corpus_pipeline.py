@@ -46,8 +46,8 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, live-looking secrets masked; ``n_chars`` follows the text."""
-    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    """All documents, secrets of one source masked however many of its documents hold them; ``n_chars`` follows the text."""
+    return secrets.redact(docs, max_repos=None, any_form=True).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

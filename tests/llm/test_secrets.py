@@ -58,6 +58,19 @@ def test_redact_keeps_rows_and_columns(docs):
     assert texts[9] == ROWS[8][1].replace(LIVE, "[secret]")
 
 
+def test_pipeline_masks_what_one_source_has_in_any_number_of_documents(spark):
+    import corpus_pipeline as cp
+
+    own = {"key": LIVE, "short": "hunter2", "letters": "correcthorsebattery", "access": KEY}
+    text = "token={key} password: {short} secret = {letters} {access} password=example1".format(**own)
+    rows = [(i, f"{text} {i}", "en", "o1") for i in range(7)] + [(7, "password=example1", "en", "o2"), (8, None, "en", "o1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").selectExpr("*", "cast(length(text) as long) as n_chars")
+    got = {r["doc_id"]: r for r in cp.mask_secrets(spark, df, "").collect()}
+    masked = "token=[secret] password: [secret] secret = [secret] [secret] password=example1"
+    assert {i: r["text"] for i, r in got.items()} == {**{i: f"{masked} {i}" for i in range(7)}, 7: "password=example1", 8: None}
+    assert all(r["n_chars"] == (len(r["text"]) if r["text"] else None) for r in got.values())
+
+
 def test_no_rows(docs):
     assert secrets.scan_secrets(docs.limit(0)).collect() == []
     assert secrets.redact(docs.limit(0)).collect() == []
