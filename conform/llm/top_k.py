@@ -36,9 +36,21 @@ def _blocks(batches: Iterator[pa.RecordBatch], dim: int, scale: float, n_queries
             yield part.column(0).to_numpy(zero_copy_only=False), _integers(part.column(1), dim, scale)
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Per row, the positions of the k highest scores, ties to the smaller id."""
-    return np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=1)[:, :k]
+#: Score of an empty place of a list, and of a query's own row: below every score.
+LOW = np.iinfo(np.int64).min
+
+
+def _highest(scores: np.ndarray, k: int) -> np.ndarray:
+    """Per row, the positions of the k highest scores, in any order. ``~`` turns the order round as ``-`` does, without overflow at LOW."""
+    return np.argpartition(~scores, min(k, scores.shape[1]) - 1, axis=1)[:, :k]
+
+
+def _reaching(scores: list[np.ndarray], cutoff: np.ndarray) -> np.ndarray:
+    """Which rows (queries x vectors) a slice sends and whose bound reaches the cutoff, given each slice's local scores."""
+    share = cutoff // len(scores)  # never above cutoff / slices
+    seen = [s >= share for s in scores]
+    bound = sum(np.where(there, s, share) for there, s in zip(seen, scores, strict=True))
+    return np.any(seen, axis=0) & (bound >= cutoff)
 
 
 def top_k(
@@ -105,38 +117,39 @@ def top_k(
     )
 
 
-def _chunk(
-    own: DataFrame, ids: list[int], asked: np.ndarray, dim: int, k: int, scale: float, nodes: int
-) -> DataFrame:
-    query_ids, q = np.array(ids, dtype=np.int64), np.floor(scale * asked).astype(np.int64)
+def _local(q: np.ndarray, v: np.ndarray, slices: list[slice]) -> list[np.ndarray]:
+    return [_products(q[:, s], v[:, s]) for s in slices]
+
+
+def _slices(dim: int, nodes: int) -> list[slice]:
     edges = np.linspace(0, dim, min(nodes, dim) + 1).astype(int)
-    slices = [slice(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    m = len(slices)
-    low = np.iinfo(np.int64).min
+    return [slice(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
 
-    def local(v: np.ndarray, vec_ids: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-        return [_products(q[:, s], v[:, s]) for s in slices], query_ids[:, None] == vec_ids[None, :]
+def _cutoffs(own: DataFrame, query_ids: np.ndarray, q: np.ndarray, k: int, scale: float, slices: list[slice]) -> np.ndarray:
+    """Phase 1: per query the k-th highest full score among the rows that the slices list; LOW if they list fewer rows."""
+    dim = q.shape[1]
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Phase 1: the task's list of each slice, with the rows' full scores."""
+        """The task's list of each slice, with the rows' full scores."""
         kept = [
-            (np.full((len(q), k), low), np.full((len(q), k), low), np.full((len(q), k), -1, dtype=np.int64))
+            (np.full((len(q), k), LOW), np.full((len(q), k), LOW), np.full((len(q), k), -1, dtype=np.int64))
             for _ in slices
         ]
         for vec_ids, v in _blocks(batches, dim, scale, len(q)):
-            scores, mine = local(v, vec_ids)
-            total = sum(scores)
+            scores = _local(q, v, slices)
+            total, mine = sum(scores), query_ids[:, None] == vec_ids[None, :]
             for j, own_scores in enumerate(scores):
-                s = np.where(mine, low, own_scores)
-                top = np.argpartition(-s, min(k, s.shape[1]) - 1, axis=1)[:, :k]
+                s = np.where(mine, LOW, own_scores)
+                top = _highest(s, k)
                 pick = lambda x, top=top: np.take_along_axis(x, top, axis=1)
                 s_all = np.hstack([kept[j][0], pick(s)])
                 t_all = np.hstack([kept[j][1], pick(total)])
                 i_all = np.hstack([kept[j][2], vec_ids[top]])
-                keep = np.argsort(-s_all, axis=1, kind="stable")[:, :k]
+                keep = _highest(s_all, k)
                 kept[j] = tuple(np.take_along_axis(x, keep, axis=1) for x in (s_all, t_all, i_all))
         for s, t, i in kept:
-            row, col = np.nonzero(s > low)
+            row, col = np.nonzero(s > LOW)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(query_ids[row]), pa.array(i[row, col]), pa.array(t[row, col])], ["q", "id", "total"]
             )
@@ -147,8 +160,15 @@ def _chunk(
         r["q"]: r["total"]
         for r in lists.withColumn("n", F.row_number().over(kth)).where(F.col("n") == k).select("q", "total").collect()
     }
-    cutoff = np.array([cutoffs.get(i, low) for i in ids], dtype=np.int64)[:, None]
-    share = np.floor(cutoff / m) if m > 1 else cutoff.astype(np.float64)  # never above cutoff / m
+    return np.array([cutoffs.get(int(i), LOW) for i in query_ids], dtype=np.int64)[:, None]
+
+
+def _chunk(
+    own: DataFrame, ids: list[int], asked: np.ndarray, dim: int, k: int, scale: float, nodes: int
+) -> DataFrame:
+    query_ids, q = np.array(ids, dtype=np.int64), np.floor(scale * asked).astype(np.int64)
+    slices = _slices(dim, nodes)
+    cutoff = _cutoffs(own, query_ids, q, k, scale, slices)
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Phases 2 and 3: rows that a slice sends, bounded, then scored in full."""
@@ -157,17 +177,15 @@ def _chunk(
 
         def cut() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             rows, found, scores = (np.concatenate(x) for x in zip(*best, strict=True))
-            order = np.lexsort((found, -scores, rows))
+            order = np.lexsort((found, ~scores, rows))
             rows, found, scores = rows[order], found[order], scores[order]
             first = np.searchsorted(rows, rows, side="left")
             keep = np.arange(len(rows)) - first < k
             return rows[keep], found[keep], scores[keep]
 
         for vec_ids, v in _blocks(batches, dim, scale, len(q)):
-            scores, mine = local(v, vec_ids)
-            seen = [s >= share for s in scores]
-            bound = sum(np.where(there, s, share + 1) for there, s in zip(seen, scores, strict=True))
-            row, col = np.nonzero(np.any(seen, axis=0) & (bound >= cutoff) & ~mine)
+            scores = _local(q, v, slices)
+            row, col = np.nonzero(_reaching(scores, cutoff) & (query_ids[:, None] != vec_ids[None, :]))
             full = sum(s[row, col] for s in scores)
             keep = full >= cutoff[row, 0]
             best.append((row[keep], vec_ids[col[keep]], full[keep]))

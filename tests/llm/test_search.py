@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from conform.llm import top_k as search
 from conform.llm.top_k import top_k
 
 NAN, INF = float("nan"), float("inf")
@@ -45,3 +46,26 @@ def test_few_and_no_rows(spark):
     assert sorted(map(tuple, top_k(df, df).collect())) == [(0, 1, 50, 256 * 512), (50, 1, 0, 256 * 512)]
     assert top_k(df.limit(0), df.limit(0)).collect() == []
     assert top_k(df.where("vec_id = 0"), df.where("vec_id = 0")).collect() == []
+
+
+@pytest.mark.parametrize("nodes", [1, 2, 5])
+def test_cutoff_exists_and_thins_the_rows(spark, nodes):
+    rng = np.random.default_rng(nodes)
+    k, v = 4, np.float32(rng.normal(size=(1500, 10))).astype(np.float64)
+    ids = np.arange(0, 1500, 100)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>").repartition(3)
+    whole = np.floor(256 * v).astype(np.int64)
+    slices = search._slices(10, nodes)
+    cutoff = search._cutoffs(df, ids, whole[ids], k, 256.0, slices)
+    scores = whole[ids] @ whole.T
+    scores[np.arange(len(ids)), ids] = search.LOW
+    kth = np.sort(scores, axis=1)[:, -k]
+    assert (cutoff[:, 0] > search.LOW).all() and (cutoff[:, 0] <= kth).all()
+    sent = search._reaching([whole[ids][:, s] @ whole[:, s].T for s in slices], cutoff)
+    assert sent.sum() < 0.7 * sent.size
+    assert sent[scores >= cutoff].all()
+
+
+def test_empty_places_rank_last():
+    s = np.array([[search.LOW, 5, search.LOW, 9, -7, 1]])
+    assert sorted(s[0, search._highest(s, 3)[0]]) == [1, 5, 9]
