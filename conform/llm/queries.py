@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conform.llm import near_dup, pieces, quality, quotes, secrets, tiling, token_counts, top_k, toxicity, warc
+from conform.llm import audit, near_dup, pieces, quality, quotes, secrets, tiling, token_counts, top_k, toxicity, warc
 from conform.llm.common import Plan
 
 QUERIES: dict[str, Plan] = {
@@ -16,10 +16,12 @@ QUERIES: dict[str, Plan] = {
     "op8_warc": warc.op8_warc,
     "op9_chat": quotes.op9_chat,
     "op10_decontamination": tiling.op10_decontamination,
+    "op11_filter_audit": audit.op11_filter_audit,
 }
 ORACLES: dict[str, str] = {
     "op2_near_duplicates": near_dup.SQL,
     "op3_top_k": top_k.SQL,
     "op7_secret_scan": secrets.SQL,
     "op8_warc": warc.SQL,
+    "op11_filter_audit": audit.SQL,
 }
