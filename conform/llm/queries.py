@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conform.llm import audit, near_dup, pieces, quality, quotes, secrets, tiling, token_counts, top_k, toxicity, warc
+from conform.llm import audit, hard_negatives, line_rules, near_dup, pieces, quality, quotes, secrets, tiling, token_counts, top_k, toxicity, warc
 from conform.llm.common import Plan
 
 QUERIES: dict[str, Plan] = {
@@ -17,6 +17,8 @@ QUERIES: dict[str, Plan] = {
     "op9_chat": quotes.op9_chat,
     "op10_decontamination": tiling.op10_decontamination,
     "op11_filter_audit": audit.op11_filter_audit,
+    "op12_quality_rules": line_rules.op12_quality_rules,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 ORACLES: dict[str, str] = {
     "op2_near_duplicates": near_dup.SQL,
@@ -24,4 +26,6 @@ ORACLES: dict[str, str] = {
     "op7_secret_scan": secrets.SQL,
     "op8_warc": warc.SQL,
     "op11_filter_audit": audit.SQL,
+    "op12_quality_rules": line_rules.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
 }
