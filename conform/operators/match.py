@@ -22,8 +22,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from conform.functions import text
+from conform.functions import patterns, text
+from conform.operators import bitmaps
 from conform.operators.joins import join_back
+from conform.session import stored
 
 TIERS = ("exact", "normalized", "fuzzy", "combination_unverified")
 UNMATCHED = "unmatched"
@@ -190,14 +192,14 @@ def _smallest_code(rows: DataFrame, seed: Seed, term: Column) -> DataFrame:
 
 
 def _with_rarest(index: DataFrame, pieces: str) -> DataFrame:
-    """``(term, code, piece)``: the piece of each term that the fewest other terms have."""
-    exploded = index.selectExpr("term", "code", f"explode(array_distinct({pieces})) as piece")
+    """``index`` with ``piece``: of each row's pieces the one that the fewest other terms have."""
+    exploded = index.withColumn("piece", F.expr(f"explode(array_distinct({pieces}))"))
     common = exploded.groupBy("piece").agg(F.expr("count(1) as n"))
     return (
         exploded.join(common, "piece")
-        .groupBy("term", "code")
+        .groupBy(*index.columns)
         .agg(F.expr("min(struct(n, piece)) as pick"))
-        .selectExpr("term", "code", "pick.piece as piece")
+        .select(*index.columns, F.expr("pick.piece as piece"))
     )
 
 
@@ -206,8 +208,8 @@ def _word_hits(names: DataFrame, index: DataFrame) -> DataFrame:
 
     Where plain text matches between word boundaries, each of its runs of ``a-z0-9``
     is a complete run of the name, so the rarest of them is the join key and the
-    regex confirms. Text without such a run (another script) is found by its grams.
-    An example that is a regex can match anything; those few are tried one by one.
+    regex confirms. Text without such a run (another script) is found by its grams, and an example
+    that is a regex by the grams of what its matches must hold.
     """
     plain = ~F.col("term").rlike(REGEX_SIGN)
     latin = F.col("term").rlike("[a-z0-9]")
@@ -231,6 +233,32 @@ def _grams(string: str, size: int) -> str:
     )
 
 
+def _with_gram(index: DataFrame, runs: str) -> DataFrame:
+    """``index`` with the rarest ``piece`` of its literal runs: a 3-gram, or all there is of shorter runs."""
+    longest = f"coalesce(array_max(transform({runs}, r -> length(r))), 0)"
+
+    def of_size(n: int) -> str:
+        return f"array_compact(flatten(transform({runs}, r -> {_grams('r', n)})))"
+
+    by_length = f"case {longest} when 0 then array() when 1 then {of_size(1)} when 2 then {of_size(2)}"
+    return _with_rarest(index, f"{by_length} else {of_size(GRAM)} end")
+
+
+def owned_pieces(texts: DataFrame, column: str, pieces: DataFrame) -> DataFrame:
+    """``(column, _t, piece)``: the pieces that a lower-cased text holds, of those in ``pieces``.
+
+    Only grams of sizes that occur there are cut, and a bitmap of the pieces (of fixed size) drops the
+    others before a row is made, so a text costs about as many rows as it has hits. A false hit finds no partner in the join.
+    """
+    sizes = sorted(r["n"] for r in pieces.select(F.length("piece").alias("n")).distinct().collect())  # 1, 2, 3 at most
+    lowered = texts.selectExpr(column, f"lower({column}) as _t")
+    if not sizes:
+        return lowered.withColumn("piece", F.lit("")).limit(0)
+    known = bitmaps.bitmap(pieces, bitmaps.key_hash("piece"))
+    cut = F.expr(f"array_distinct(array_compact(concat({', '.join(_grams('_t', n) for n in sizes)})))")
+    return lowered.withColumn("piece", F.explode(F.filter(cut, lambda g: bitmaps.maybe_in(known, bitmaps.key_hash(g)))))
+
+
 def _gram_hits(
     texts: DataFrame, column: str, index: DataFrame, test: Callable[[Column, Column], Column]
 ) -> DataFrame:
@@ -238,34 +266,51 @@ def _gram_hits(
 
     A text that contains a term has every gram of the term's literal runs (the parts
     between wildcards). Runs of three characters or more give 3-grams, shorter ones
-    a 2- or 1-gram, and a term of wildcards only the empty piece, which every text has.
+    a 2- or 1-gram. A term of wildcards only has none and is tried on every text.
     """
-    runs = "filter(split(term, '[%_]'), r -> r != '')"
-    longest = f"coalesce(array_max(transform({runs}, r -> length(r))), 0)"
+    literal = F.col("term").rlike("[^%_]")
+    keyed = stored(_with_gram(index.where(literal), "filter(split(term, '[%_]'), r -> r != '')"), "match-grams")
+    found = owned_pieces(texts, column, keyed).join(keyed, "piece").where(test(F.col("_t"), F.col("term")))
+    return found.select(column, "code").unionByName(_tried_in_turn(texts, column, index.where(~literal), test))
 
-    def of_size(n: int) -> str:
-        return f"array_compact(flatten(transform({runs}, r -> {_grams('r', n)})))"
 
-    by_length = f"case {longest} when 0 then array('') when 1 then {of_size(1)} when 2 then {of_size(2)}"
-    keyed = _with_rarest(index, f"{by_length} else {of_size(GRAM)} end")
-    owned = ", ".join(_grams("_t", n) for n in range(1, GRAM + 1))
-    exploded = texts.selectExpr(column, f"lower({column}) as _t").selectExpr(
-        column, "_t", f"explode(array_distinct(array_compact(concat(array(''), {owned})))) as piece"
-    )
-    found = exploded.join(keyed, "piece")
-    return found.where(test(F.col("_t"), F.col("term"))).select(column, "code")
+def regex_trials(names: DataFrame, index: DataFrame) -> DataFrame:
+    """``(_n, term, code)``: the names on which a regex is tried, as they hold all literal runs of one way to match it.
+
+    ``index`` has ``ways`` beside ``term`` and ``code``; see :func:`~conform.functions.patterns.literal_runs`. Each way is found
+    by the rarest gram of its runs.
+    """
+    ways = index.select("term", "code", F.explode("ways").alias("runs"))
+    keyed = stored(_with_gram(ways, "runs"), "match-runs")
+    held = F.forall("runs", lambda r: F.contains(F.col("_t"), r))
+    return owned_pieces(names, "_n", keyed).join(keyed, "piece").where(held).select("_n", "term", "code").distinct()
 
 
 def _regex_hits(names: DataFrame, index: DataFrame) -> DataFrame:
-    """Smallest code among the seed examples that are regexes, however many there are.
+    """Names that match a seed example that is a regex: those that hold what its matches must hold try it.
+
+    A regex that says nothing about its matches (wildcards only) is tried on every name.
+    """
+    parsed = index.withColumn("ways", patterns.literal_runs(F.col("term")))
+    tried = regex_trials(names, parsed.where("ways is not null")).where(text.whole_word(F.lower("_n"), F.col("term")))
+    return tried.select("_n", "code").unionByName(_tried_in_turn(names, "_n", parsed.where("ways is null"), text.whole_word))
 
-    A regex shares no piece of text with what it matches, so each distinct name tries them in the
-    order of their codes up to the first that holds. They ride along as one array, of the seed's size.
+
+def _tried_in_turn(
+    texts: DataFrame, column: str, index: DataFrame, test: Callable[[Column, Column], Column]
+) -> DataFrame:
+    """Smallest code among terms without any literal text, on every text.
+
+    They are tried in the order of their codes up to the first that holds, and ride along as one array: terms
+    that differ in wildcards only, of which a seed has few.
     """
     terms = index.agg(F.expr("array_sort(collect_list(struct(code, term))) as terms"))
-    word = r"concat(r'\b', t.term, r'\b')"
-    first = f"aggregate(_terms, cast(null as string), (found, t) -> if(found is null and rlike(lower(_n), {word}), t.code, found))"
-    return names.withColumn("_terms", terms.scalar()).selectExpr("_n", f"{first} as code").where("code is not null")
+
+    def step(found: Column, t: Column) -> Column:
+        return F.when(found.isNull() & test(F.lower(column), t["term"]), t["code"]).otherwise(found)
+
+    first = F.aggregate("_terms", F.lit(None).cast("string"), step)
+    return texts.withColumn("_terms", terms.scalar()).select(column, first.alias("code")).where("code is not null")
 
 
 # --- reports over a match -------------------------------------------------------------------

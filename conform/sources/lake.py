@@ -1,16 +1,20 @@
 """The lake: paths of the four tiers, idempotent writes, snapshots, publish and roll back.
 
-Plain Parquet has no transactions, so every switch of state is one row appended to a
-commit log, written last. A data folder is written once and never changed after its
+Plain Parquet has no transactions, so every switch of state is one small file in a
+commit log, written last and created only if it is not there. A data folder is written once and never changed after its
 commit; readers follow the log, so they see the state before or after, never between.
-A job that dies half-way leaves an uncommitted folder that its rerun overwrites.
-One writer per snapshot or gold log at a time is assumed.
+A job that dies half-way leaves a folder that no commit names. Of two writers that start from
+the same state one commits; the other finds the number taken and is refused, or tries again
+where its change does not depend on the state (see :meth:`Lake.publish`).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import os
 import posixpath
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -36,6 +40,10 @@ class PublishError(RuntimeError):
     """A model of the run is missing or empty; nothing was published."""
 
 
+class CommitConflict(RuntimeError):
+    """Another writer has committed since the state was read; nothing was changed."""
+
+
 @dataclass(frozen=True)
 class Lake:
     spark: SparkSession
@@ -176,30 +184,99 @@ class Lake:
 
     # --- commit log ---------------------------------------------------------------------
 
-    def _commit(self, log: str, seq: int, ref: str, models: Sequence[str]) -> None:
-        row = self.spark.createDataFrame([(seq, ref, list(models))], COMMIT)
-        row.coalesce(1).write.mode("append").json(log)
+    def folders_of(self, path: str) -> list[str]:
+        return self._children(path)
+
+    def attempt(self, seq: int) -> str:
+        """A name for one writer's try at a version; no other try has it."""
+        return f"{seq}-{uuid.uuid4().hex[:12]}"
 
-    def _last(self, log: str):
-        """Newest commit; the log holds one small row per run."""
-        if not self.exists(log):
+    def _create(self, path: str, text: str) -> bool:
+        """Create a file with its content unless it is there, in one step that only one writer can take."""
+        from py4j.protocol import Py4JJavaError
+
+        jvm = self.spark._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        fs = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs.mkdirs(target.getParent())
+        try:
+            if fs.getScheme() == "file":  # here create() looks first and creates then; a link does both at once
+                whole = fs.makeQualified(target).toUri().getPath()
+                draft = posixpath.join(posixpath.dirname(whole), f".{uuid.uuid4().hex}")
+                with open(draft, "x") as out:
+                    out.write(text)
+                try:
+                    os.link(draft, whole)
+                finally:
+                    os.unlink(draft)
+            else:
+                out = fs.create(target, False)
+                out.write(bytearray(text.encode()))
+                out.close()
+        except FileExistsError:
+            return False
+        except Py4JJavaError as e:
+            if "AlreadyExists" in e.java_exception.getClass().getName():
+                return False
+            raise
+        return True
+
+    def _commits(self, log: str) -> dict[int, str]:
+        """Number -> file of what was committed, and of files left empty by a writer that died."""
+        jvm = self.spark._jvm
+        target = jvm.org.apache.hadoop.fs.Path(log)
+        fs = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(target):
+            return {}
+        files = {s.getPath().getName(): s.getPath().toString() for s in fs.listStatus(target) if s.isFile()}
+        return {int(n.removesuffix(".json")): p for n, p in files.items() if n.removesuffix(".json").isdigit()}
+
+    def try_commit(self, log: str, after: int, ref: str, models: Sequence[str]) -> int | None:
+        """Commit as the next number after ``after`` if nothing has been committed since; the number, or None."""
+        later = {n: p for n, p in self._commits(log).items() if n > after}
+        if any(self._read_commits([p]) for p in later.values()):
             return None
-        return self.spark.read.schema(COMMIT).json(log).orderBy(F.desc("seq")).first()
+        seq = max([after, *later]) + 1
+        row = json.dumps({"seq": seq, "ref": ref, "models": list(models)})
+        return seq if self._create(posixpath.join(log, f"{seq:020d}.json"), row + "\n") else None
+
+    def _read_commits(self, files: Sequence[str]) -> list:
+        return self.spark.read.schema(COMMIT).json(list(files)).orderBy("seq").collect() if files else []
+
+    def last_commit(self, log: str, upto: int | None = None):
+        """The newest commit, or the newest up to a number; one file is read."""
+        for _, path in sorted(self._commits(log).items(), reverse=True):
+            rows = self._read_commits([path])
+            if rows and (upto is None or rows[0]["seq"] <= upto):
+                return rows[0]
+        return None
+
+    def all_commits(self, log: str) -> list:
+        """All commits in order; a log holds one small row per run."""
+        return self._read_commits(list(self._commits(log).values()))
 
     # --- snapshots ----------------------------------------------------------------------
 
+    def _snapshot_log(self, name: str) -> str:
+        return posixpath.join(self.snapshot(name), "commits")
+
     def snapshot_version(self, name: str) -> int:
-        last = self._last(posixpath.join(self.snapshot(name), "commits"))
+        last = self.last_commit(self._snapshot_log(name))
         return last["seq"] if last else 0
 
+    def _snapshot_folders(self, name: str, version: int) -> list[int]:
+        """Numbers of the data folders that make up a version, the one of its open rows last."""
+        return [int(r["models"][1]) for r in self.all_commits(self._snapshot_log(name)) if r["seq"] <= version]
+
     def read_snapshot(self, name: str, version: int | None = None) -> DataFrame | None:
         """History as of a committed version (default: the newest), or None before the first run."""
         v = self.snapshot_version(name) if version is None else version
         if v == 0:
             return None
+        parts = self._snapshot_folders(name, v)
         stored = self.spark.read.parquet(posixpath.join(self.snapshot(name), "data"))
         is_open, at = F.col("is_open") == 1, F.col("version")
-        return stored.where((is_open & (at == v)) | (~is_open & (at <= v))).drop("is_open", "version")
+        return stored.where((is_open & (at == parts[-1])) | (~is_open & at.isin(parts))).drop("is_open", "version")
 
     def update_snapshot(
         self,
@@ -214,27 +291,36 @@ class Lake:
 
         Versions are folders: each holds all open rows and only the rows it closed. So a
         run reads and writes the open rows, while the closed past is never read or
-        written again.
+        written again. A folder belongs to one writer; if another has committed a feed in the meantime, this one
+        raises :class:`CommitConflict` and the history is as the other left it.
         """
         v = self.snapshot_version(name)
         if v == 0:
             merged = history.first_snapshot(feed, snapshot_ts)
         else:
             stored = self.spark.read.parquet(posixpath.join(self.snapshot(name), "data"))
-            open_rows = stored.where((F.col("is_open") == 1) & (F.col("version") == v))
+            open_rows = stored.where((F.col("is_open") == 1) & (F.col("version") == self._snapshot_folders(name, v)[-1]))
             merged = history.merge_open(
                 open_rows.drop("is_open", "version"), feed, keys, check_cols, snapshot_ts, close_missing
             )
+        folder = self._claim(posixpath.join(self.snapshot(name), "claims"), v + 1)
         (
             merged.withColumn("is_open", F.col(TO).isNull().cast("int"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy("is_open")
-            .parquet(posixpath.join(self.snapshot(name), "data", f"version={v + 1}"))
+            .parquet(posixpath.join(self.snapshot(name), "data", f"version={folder}"))
         )
-        log = posixpath.join(self.snapshot(name), "commits")
-        self._commit(log, v + 1, str(snapshot_ts), [name])
-        return self.read_snapshot(name, v + 1)
+        done = self.try_commit(self._snapshot_log(name), v, str(snapshot_ts), [name, str(folder)])
+        if done is None:
+            raise CommitConflict(f"snapshot {name} has moved on from version {v}; merge the feed again")
+        return self.read_snapshot(name, done)
+
+    def _claim(self, path: str, least: int) -> int:
+        """The first number from ``least`` on that no other writer has claimed."""
+        while not self._create(posixpath.join(path, f"{least:020d}"), "claimed\n"):
+            least += 1
+        return least
 
     # --- publish ------------------------------------------------------------------------
 
@@ -250,18 +336,26 @@ class Lake:
                 raise PublishError(f"{model} of run {run_id} is empty")
         return counts
 
-    def publish(self, run_id: str, models: Sequence[str]) -> dict[str, int]:
-        """Make a run current, all models at once. Publishing an older run rolls back."""
+    def publish(self, run_id: str, models: Sequence[str], expected: str | None = None) -> dict[str, int]:
+        """Make a run current, all models at once. Publishing an older run rolls back.
+
+        Writers may publish at the same time: each takes the next free number of the log, and the last one is current, so no commit
+        is lost. With ``expected`` the publish stands only if that run is current when it is committed, and is refused with
+        :class:`CommitConflict` otherwise.
+        """
         counts = self.verify(run_id, models)
         log = self._path("gold_commits")
-        last = self._last(log)
-        self._commit(log, last["seq"] + 1 if last else 1, run_id, models)
-        return counts
+        while True:
+            last = self.last_commit(log)
+            current = last["ref"] if last else None
+            if expected is not None and current != expected:
+                raise CommitConflict(f"{current} is current, not {expected}; {run_id} was not published")
+            if self.try_commit(log, last["seq"] if last else 0, run_id, models) is not None:
+                return counts
 
     def published(self, run_id: str) -> bool:
         """Whether a run has ever been current."""
-        log = self._path("gold_commits")
-        return self.exists(log) and not self.spark.read.schema(COMMIT).json(log).where(F.col("ref") == run_id).isEmpty()
+        return any(r["ref"] == run_id for r in self.all_commits(self._path("gold_commits")))
 
     def _refuse_published(self, path: str) -> None:
         gold = self._path("gold") + "/"
@@ -269,7 +363,7 @@ class Lake:
             raise PublishError(f"{path} belongs to a run that was published; build under a new run id")
 
     def current_run(self) -> str | None:
-        last = self._last(self._path("gold_commits"))
+        last = self.last_commit(self._path("gold_commits"))
         return last["ref"] if last else None
 
     def read_current(self, model: str) -> DataFrame:
@@ -283,7 +377,7 @@ class Lake:
 
         Call again after a publish to point the names at the new run.
         """
-        last = self._last(self._path("gold_commits"))
+        last = self.last_commit(self._path("gold_commits"))
         names = []
         for model in last["models"] if last else []:
             path, name = self.gold(last["ref"], model), prefix + model

@@ -170,3 +170,50 @@ def test_coverage_and_exceptions(spark, rows):
 def test_key_coverage_of_an_empty_table(spark, rows):
     empty = spark.createDataFrame([], "a int")
     assert rows(match.key_coverage(empty, ["a"])) == [("a", 0, 0, None)]
+
+
+REGEXES = [
+    "substance.7", "(red|iron) oxide", "zin.", "a(b(c|d)e)+f", "x*yz?abc", "foo|bar", "(foo|ba.*)qux", r"a\.b", r"\d+zz", "(?=x)abc", "(abc)?def",
+    "a{2,3}bcd", "[]a]bc", "ab+c", "(ab)+c", "(ab)+?c", r"\x41bcd", "(a|b)(c|d)(e|f)xyz", "^start$", "naïve.δός", "colou?r", "(?:ab|cd)e",
+    "(a(b|c)?d|ef)g", "(((a)))b", r"a\(b\)c", r"a\|b", r"[^\]]x", "(ab){2}c", "((a|b)c|d)+e", "a.c|b", "[a-c]x[^d]y", r"a\\b", "x{0}abc", "(a|b|)cd",
+]
+
+
+def test_every_match_of_a_regex_holds_the_runs_of_a_way(spark):
+    from conform.functions.patterns import literal_runs
+
+    rng = random.Random(1)
+    parsed = spark.createDataFrame([(r,) for r in REGEXES], "r string").select("r", literal_runs(F.col("r")).alias("ways")).collect()
+    assert sum(r["ways"] is not None for r in parsed) > 25
+    alphabet = "abcdefgxyz(|)\\.0279 ]δ"
+    for row in parsed:
+        pattern = re.compile(row["r"].replace("[]a]", r"[\]a]"))
+        seeds = [row["r"], "".join(c for c in row["r"] if c not in "()[]{}*+?^$|\\"), *["".join(run for run in way) for way in row["ways"] or []]]
+        for _ in range(3000):
+            t = list(rng.choice(seeds))
+            for _ in range(rng.randint(0, 3)):
+                at = rng.randint(0, len(t))
+                t[at : at + rng.randint(0, 1)] = rng.choices(alphabet, k=rng.randint(0, 2))
+            t = "".join(t)
+            if row["ways"] is not None and pattern.search(t):
+                assert any(all(run in t for run in way) for way in row["ways"]), (row, t)
+
+
+def test_a_regex_is_tried_on_names_that_hold_its_runs_only(spark):
+    from conform.functions.patterns import literal_runs
+
+    names = spark.range(2000).selectExpr("concat('substance ', id, ' tablet') as _n")
+    index = spark.range(400).selectExpr("concat('substance.', 5 * id, ' tablet') as term", "cast(id as string) as code")
+    trials = match.regex_trials(names, index.withColumn("ways", literal_runs(F.col("term"))))
+    assert trials.count() <= 400 * 25  # of 800,000 pairs
+    assert match._regex_hits(names, index).select("_n").distinct().count() == 400
+
+
+def test_rows_per_text_follow_its_hits_not_its_length(spark):
+    index = spark.createDataFrame([("zinc ox", "c1"), ("a%b", "c2"), ("%", "c3"), ("q", "c4")], "term string, code string")
+    keyed = match._with_gram(index.where("term <> '%'"), "filter(split(term, '[%_]'), r -> r != '')")
+    texts = spark.range(1000).selectExpr("concat('class number ', id, ' of some length') as _c")
+    pieces = match.owned_pieces(texts, "_c", keyed)
+    assert set(r["piece"] for r in keyed.collect()) & {"a", "b"} and pieces.where("piece not in ('a', 'b', 'q')").count() < 10
+    assert pieces.groupBy("_c").count().agg(F.max("count")).first()[0] <= 3
+    assert match.owned_pieces(texts, "_c", keyed.limit(0)).count() == 0
