@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,23 +29,40 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def give_back() -> None:
+    """Return a worker's free memory to the system, as workers are reused by later stages."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def tidied(function: Callable) -> Callable:
-    """A batch function that gives its memory back to the system at the end, as workers are reused by later stages."""
+    """A batch function that gives its memory back at the end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import ctypes
-        import gc
-
         yield from function(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
-        if trim:
-            trim(0)
+        give_back()
 
     return run
 
 
+def texts_of(column: pa.Array) -> Iterator[str]:
+    """The texts of a column one by one, null as empty, so that a batch is not held twice."""
+    for text in column:
+        yield text.as_py() or ""
+
+
+def fresh(*taken: DataFrame, stem: str) -> str:
+    """A column name that none of the frames has, in any case."""
+    names = {c.lower() for df in taken for c in df.columns}
+    return next(n for n in (f"{stem}{'_' * i}" for i in range(len(names) + 1)) if n.lower() not in names)
+
+
 # -- words as 64-bit numbers ---------------------------------------------------------------
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -111,11 +127,14 @@ def bitmap(df: DataFrame, key: str, bits: int = 1 << 24, slices: int = 64) -> np
     width = bits // slices
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(bits, dtype=bool)
+        seen = np.zeros(bits // 8, dtype=np.uint8)
         for batch in batches:
             keys = batch.column(0).drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
-            seen[slot(keys, bits)] = True
-        packed = [np.packbits(part).tobytes() if part.any() else None for part in seen.reshape(slices, width)]
+            at = np.unique(slot(keys, bits))
+            byte, first = np.unique(at >> 3, return_index=True)
+            if len(byte):
+                seen[byte] |= np.bitwise_or.reduceat((128 >> (at & 7)).astype(np.uint8), first)
+        packed = [part.tobytes() if part.any() else None for part in seen.reshape(slices, width // 8)]
         there = [i for i, p in enumerate(packed) if p is not None]
         yield pa.RecordBatch.from_arrays(
             [pa.array(there, pa.int32()), pa.array([packed[i] for i in there], pa.binary())], ["slice", "bits"]
@@ -129,16 +148,16 @@ def bitmap(df: DataFrame, key: str, bits: int = 1 << 24, slices: int = 64) -> np
 
     rows = (
         df.select(F.col(key).cast("long"))
-        .mapInArrow(fill, "slice int, bits binary")
+        .mapInArrow(tidied(fill), "slice int, bits binary")
         .groupBy("slice")
         .applyInArrow(merge, "slice int, bits binary")
         .collect()
     )
-    out = np.zeros(bits, dtype=bool)
+    out = np.zeros(bits // 8, dtype=np.uint8)
     for row in rows:
-        start = row["slice"] * width
-        out[start : start + width] = np.unpackbits(np.frombuffer(row["bits"], dtype=np.uint8)).astype(bool)
-    return np.packbits(out)
+        start = row["slice"] * (width // 8)
+        out[start : start + width // 8] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return out
 
 
 def slot(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -154,10 +173,10 @@ def maybe_in(bitmap_bytes: np.ndarray, keys: np.ndarray) -> np.ndarray:
 def flagged(seen: np.ndarray, key: str) -> Column:
     """Whether a bitmap may hold the row's key; false for null."""
 
-    @F.pandas_udf("boolean")
-    def test(keys: pd.Series) -> pd.Series:
-        there = keys.notna().to_numpy()
-        return pd.Series(maybe_in(seen, keys.fillna(0).to_numpy().astype(np.int64)) & there)
+    @F.arrow_udf("boolean")
+    def test(keys: pa.Array) -> pa.Array:
+        there = keys.is_valid().to_numpy(zero_copy_only=False)
+        return pa.array(maybe_in(seen, keys.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) & there)
 
     return test(F.col(key).cast("long"))
 

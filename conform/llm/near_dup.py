@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from conform.llm.common import WordHasher, bitmap, maybe_in, mix, read, shingles, stored, tidied
+from conform.llm.common import WordHasher, bitmap, flagged, maybe_in, mix, read, shingles, stored, tidied
 
 #: Prefixes are kept for 1 to this many shared tokens.
 LEVELS = 4
@@ -20,9 +20,10 @@ CELLS, SLICES = 1 << 21, 64
 LONG_LIST = 200_000
 
 
-def shingle_set(text: bytes, k: int, hasher: WordHasher) -> np.ndarray:
-    """Sorted distinct hashes of the k-word shingles of an A-Z-lowered text, split at ASCII white space."""
-    return np.unique(shingles(hasher(text.lower().split()), k))
+def shingle_set(texts: list[bytes], k: int, hasher: WordHasher) -> np.ndarray:
+    """Sorted distinct hashes of the k-word shingles of A-Z-lowered texts, each split at ASCII white space."""
+    found = [shingles(hasher(text.lower().split()), k) for text in texts]
+    return np.unique(found[0] if len(found) == 1 else np.concatenate(found))
 
 
 def _needed(n: np.ndarray | int, num: int, den: int):
@@ -30,8 +31,21 @@ def _needed(n: np.ndarray | int, num: int, den: int):
     return -(-num * n // den)
 
 
-def _texts(column: pa.Array) -> list[bytes]:
-    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
+def _texts(column: pa.Array) -> Iterator[list[bytes]]:
+    """The texts of each document, one by one."""
+    for texts in column.cast(pa.list_(pa.binary())):
+        yield [t or b"" for t in texts.as_py()]
+
+
+def _by_id(known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(id, texts)``, one row per id, and ``(id, count)`` of the ids that rows repeat; only rows of such ids are brought together."""
+    repeated = stored(known.groupBy("id").count().where("count > 1"), "neardup-repeated")
+    alone = F.array("text").alias("texts")
+    if repeated.isEmpty():
+        return known.select("id", alone), repeated
+    maybe = flagged(bitmap(repeated, "id"), "id")
+    several = known.where(maybe).groupBy("id").agg(F.collect_set(F.coalesce("text", F.lit(""))).alias("texts"))
+    return known.where(~maybe).select("id", alone).unionByName(stored(several, "neardup-several")), repeated
 
 
 def _cell(tokens: np.ndarray) -> np.ndarray:
@@ -94,33 +108,27 @@ def _sketch(survey: DataFrame) -> np.ndarray:
     return out
 
 
-def _entries(
-    docs: DataFrame, nodes: np.ndarray, repeated: np.ndarray, sketch: np.ndarray, k: int, num: int, den: int
-) -> DataFrame:
-    """Prefix tokens of the documents in ``nodes``: (token, salt, id, variant, pos, n).
+def _entries(docs: DataFrame, nodes: np.ndarray, sketch: np.ndarray, k: int, num: int, den: int) -> DataFrame:
+    """Prefix tokens of the documents in ``nodes``: (token, salt, id, pos, n).
 
     Tokens are in one order for all documents: estimated frequency, then hash; ``pos`` is the place in the document's own
-    order. ``variant`` tells rows apart that repeat an id, and is 0 for others. ``salt`` is 0 where the token's list
-    is whole, and 1 or more where it is split: then other salts may hold the token as well.
+    order. ``salt`` is 0 where the token's list is whole, and 1 or more where it is split: then other salts may hold the token as well.
     """
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
 
         def out(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-            token, salt, ids, variant, pos, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+            token, salt, ids, pos, n = (np.concatenate(x) for x in zip(*parts, strict=True))
             return pa.RecordBatch.from_arrays(
-                [pa.array(token.view(np.int64)), *[pa.array(x) for x in (salt, ids, variant, pos, n)]],
-                ["token", "salt", "id", "variant", "pos", "n"],
+                [pa.array(token.view(np.int64)), *[pa.array(x) for x in (salt, ids, pos, n)]], ["token", "salt", "id", "pos", "n"]
             )
 
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            wanted, twice = maybe_in(nodes, ids), maybe_in(repeated, ids)
+            at = np.nonzero(maybe_in(nodes, ids))[0]
             parts, held = [], 0
-            for i, text in enumerate(_texts(batch.column(1))):
-                if not wanted[i]:
-                    continue
+            for i, text in zip(at, _texts(batch.column(1).take(pa.array(at))), strict=True):
                 tokens = shingle_set(text, k, hasher)
                 n = len(tokens)
                 if not n:
@@ -129,12 +137,11 @@ def _entries(
                 first = n - int(_needed(n, num, den)) + 1
                 size = min(n, first + LEVELS - 1)
                 order = np.lexsort((tokens, often))[:size]
-                variant = int(np.bitwise_xor.reduce(mix(tokens)) >> np.uint64(33)) if twice[i] else 0
                 pieces = often[order] // LONG_LIST + 1
                 salt = (mix(ids[i : i + 1].view(np.uint64))[0] % pieces.astype(np.uint64)).astype(np.int32)
                 salt = np.where(pieces > 1, salt + 1, 0).astype(np.int32)
                 same = lambda x, size=size: np.full(size, x, dtype=np.int32)
-                parts.append((tokens[order], salt, np.full(size, ids[i]), same(variant), np.arange(size, dtype=np.int32), same(n)))
+                parts.append((tokens[order], salt, np.full(size, ids[i]), np.arange(size, dtype=np.int32), same(n)))
                 held += size
                 if held > 200_000:
                     yield out(parts)
@@ -142,7 +149,7 @@ def _entries(
             if parts:
                 yield out(parts)
 
-    return docs.mapInArrow(tidied(entries), "token long, salt int, id long, variant int, pos int, n int")
+    return docs.mapInArrow(tidied(entries), "token long, salt int, id long, pos int, n int")
 
 
 def _sets(docs: DataFrame, nodes: np.ndarray, k: int) -> DataFrame:
@@ -225,26 +232,26 @@ def near_duplicates(
        between components is lost, and groups of near copies need no pairs among themselves.
 
     Returns id, n_shingles and component_id for every row. A null or wordless text has an empty set and links with nothing. A null
-    id is kept with a null component. Rows that repeat an id are one node; their links add up. Other
+    id is kept with a null component and the size of its own set. Rows that repeat an id are one document, whose set is the union of the rows'
+    sets (the rows of an id are brought together for it); each row of it is returned. Other
     columns are ignored; no rows give no rows. Lists of very frequent tokens are split by salt; bitmaps
     (2 MB) and the sketch (8 MB) are all that is broadcast.
     """
     num, den = similarity
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    known = docs.where("id is not null")
-    survey = _survey(docs, k)
+    known, repeated = _by_id(docs.where("id is not null"))
+    survey = _survey(known.unionByName(docs.where("id is null").select("id", F.array("text").alias("texts"))), k)
     rows = survey.where("slice is null").select("id", "n", "sign")
     classes = stored(rows.where("sign is not null and id is not null").groupBy("sign").agg(F.min("id").alias("rep")), "neardup-classes")
     nodes = bitmap(classes, "rep")
-    repeated = bitmap(rows.where("id is not null").groupBy("id").count().where("count > 1"), "id")
-    entries = _entries(known, nodes, repeated, _sketch(survey), k, num, den)
+    entries = _entries(known, nodes, _sketch(survey), k, num, den)
 
     # Tokens of one document alone drop out; of a split list, a salt does not tell, and the exact length below does.
     within = Window.partitionBy("token", "salt").orderBy("id")
     alone = F.lead("id").over(within).isNull() & F.lag("id").over(within).isNull() & (F.col("salt") == 0)
     shared = entries.withColumn("alone", alone).where("not alone").drop("alone")
     # What a token's place leaves possible: the tokens before it that are shared at all, itself, and those behind it.
-    of_doc = Window.partitionBy("id", "variant")
+    of_doc = Window.partitionBy("id")
     needed = lambda n: F.ceil(n * num / F.lit(den))
     shared = shared.withColumn("seen", F.row_number().over(of_doc.orderBy("pos"))).withColumn("rest", F.col("n") - 1 - F.col("pos"))
     shared = stored(shared.where(F.col("seen") + F.col("rest") >= needed(F.col("n"))), "neardup-shared")
@@ -319,6 +326,9 @@ def near_duplicates(
     )
     rest = rows.where("sign is null or id is null").select("id", "n", F.col("id").alias("component"))
     out = found.unionByName(rest)
+    if not repeated.isEmpty():
+        counted_ids = out.join(repeated, "id", "left").withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("count", F.lit(1)))))
+        out = counted_ids.select("id", "n", "component")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 

@@ -7,12 +7,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conform.llm.common import read
+from conform.llm.common import give_back, read, texts_of, tidied
 
 # Character classes: lower, upper, digit, space, sentence mark, bracket or quote, other mark.
 _CLASSES = 7
@@ -163,31 +162,34 @@ def train(
     per_class: int = 1500, max_lines: int = 60_000,
 ) -> Chain:
     """A chain fitted on a bounded sample: at most ``per_class`` labelled documents a class, the first by
-    a hash of the id, while they have ``max_lines`` lines together. Only their line features reach the driver."""
-    ids = []
+    a hash of the id, while they have ``max_lines`` lines together, by id. Lines are counted first, and only the features of what
+    fits reach the driver. Null ids and null labels take no part, nor does an id with both labels; rows that repeat an
+    id all count, a null text as an empty one. Without a label of each class nothing is told apart."""
+    ids: dict[int, int] = {}
     for value in (0, 1):
-        of_class = labels.where(F.col(label_col) == value).select(F.col(id_col).alias("id")).where("id is not null").distinct()
-        ids += [(r["id"], value) for r in of_class.orderBy(F.xxhash64("id"), "id").limit(per_class).collect()]
-    if not ids:
+        of_class = labels.where(F.col(label_col) == value).select(F.col(id_col).cast("long").alias("id")).where("id is not null").distinct()
+        for r in of_class.orderBy(F.xxhash64("id"), "id").limit(per_class).collect():
+            ids[r["id"]] = value if r["id"] not in ids else -1
+    wanted = {i: value for i, value in ids.items() if value >= 0}
+    if not wanted:
         return fit_chain([], [])
-    wanted = dict(ids)
-    picked = docs.where(F.col(id_col).isin(list(wanted))).select(F.col(id_col).cast("long").alias("id"), text_col)
+    lines = F.size(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1))
+    picked = docs.where(F.col(id_col).isin(list(wanted))).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), lines.alias("n"))
+    kept, left = [], max_lines
+    for r in picked.groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").collect():  # two numbers a picked document
+        if r["n"] <= left:
+            left -= r["n"]
+            kept.append(r["id"])
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [line_features(t or "")[0].tobytes() for t in batch.column(1).to_pylist()]
+            found = [line_features(t)[0].tobytes() for t in texts_of(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "features"])
 
-    rows = picked.mapInArrow(features, "id long, features binary").collect()
-    rows.sort(key=lambda r: r["id"])
-    x, y, left = [], [], max_lines
-    for row in rows:
-        matrix = np.frombuffer(row["features"], dtype=np.float32).reshape(-1, WIDTH)
-        if len(matrix) <= left:
-            left -= len(matrix)
-            x.append(matrix)
-            y.append(wanted[row["id"]])
-    return fit_chain(x, y)
+    rows = picked.where(F.col("id").isin(kept)).select("id", "text").mapInArrow(tidied(features), "id long, features binary").collect()
+    rows.sort(key=lambda r: (r["id"], bytes(r["features"])))
+    x = [np.frombuffer(row["features"], dtype=np.float32).reshape(-1, WIDTH) for row in rows]
+    return fit_chain(x, [wanted[row["id"]] for row in rows])
 
 
 def score_quality(docs: DataFrame, chain: Chain, text_col: str = "text", out_col: str = "score") -> DataFrame:
@@ -197,9 +199,11 @@ def score_quality(docs: DataFrame, chain: Chain, text_col: str = "text", out_col
     as they are; a column that is named like ``out_col`` is replaced.
     """
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: chain.score(t or ""), na_action=None)
+    @F.arrow_udf("double")
+    def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in parts:
+            yield pa.array([chain.score(t) for t in texts_of(texts)], pa.float64())
+        give_back()
 
     return docs.withColumn(out_col, score(F.col(text_col)))
 

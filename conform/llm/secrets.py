@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conform.llm.common import bit_set, bits_of, read, stored
+from conform.llm.common import bit_set, bits_of, fresh, read, stored
 
 # Kind -> (pattern, group that holds the value, least length of that group). A run
 # with a least length inside the pattern finds what the open run, filtered, would find.
@@ -18,6 +18,7 @@ KINDS: dict[str, tuple[str, int, int]] = {
     "access": (r"AKIA[A-Z0-9]{16,}", 0, 20),
     "hex": (r"[0-9a-f]{24,}", 0, 24),
 }
+RUN = 512  # matches that one fold takes
 #: Kind of the spans that the ownership step adds.
 LIVE = "live"
 ORDER = [*KINDS, LIVE]
@@ -29,7 +30,8 @@ def _matches(text: Column, kind: str) -> Column:
     """Matches of one kind, left to right, with code-point offsets and the value.
 
     The gaps between matches and the matches themselves add up to the text, so a fold over
-    both gives every offset; the value is the tail of its match.
+    both gives every offset; the value is the tail of its match. Matches are folded ``RUN`` at a time, and a
+    second fold over the runs' lengths shifts them: a fold copies what it has found so far at every step, so it must stay short.
     """
     pattern, group, least = KINDS[kind]
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -45,8 +47,33 @@ def _matches(text: Column, kind: str) -> Column:
 
     empty = F.array().cast(_MATCH)
     start = F.struct(F.lit(0).alias("at"), empty.alias("hits"))
-    folded = F.aggregate(F.filter(pairs, lambda x: x["whole"].isNotNull()), start, step, lambda s: s["hits"])
-    return F.when(text.rlike(pattern), folded).otherwise(empty)
+
+    def folded(found: Column) -> Column:
+        places = F.sequence(F.lit(1), F.size(found), F.lit(RUN))
+        runs = F.transform(places, lambda i: F.aggregate(F.slice(found, i, RUN), start, step))
+
+        def shifted(runs: Column) -> Column:
+            bases = F.aggregate(runs, F.array(F.lit(0)), lambda done, r: F.array_append(done, F.element_at(done, -1) + r["at"]))
+
+            def moved(bases: Column) -> Column:
+                def move(r: Column, i: Column) -> Column:
+                    base = F.get(bases, i)
+                    shift = lambda h: F.struct((h["start"] + base).alias("start"), (h["end"] + base).alias("end"), h["value"].alias("value"))
+                    return F.transform(r["hits"], shift)
+
+                return F.flatten(F.transform(runs, move))
+
+            return _let(bases, moved)
+
+        return _let(runs, shifted)
+
+    matched = F.filter(pairs, lambda x: x["whole"].isNotNull())
+    return F.when(text.rlike(pattern), _let(matched, folded)).otherwise(empty)
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _spelt(hits: Column) -> Column:
@@ -72,20 +99,19 @@ def scan_secrets(
     owner_col: str = "source",
     repo_col: str | None = None,
     max_owners: int = 1,
-    max_repos: int | None = 4,
+    max_repos: int | None = None,
     min_length: int = 16,
-    any_form: bool = False,
+    any_form: bool = True,
 ) -> DataFrame:
     """Candidate secrets of each text, and which of them look live.
 
     Every whole text is scanned for the patterns of :data:`KINDS`. The hash of each candidate's
     value is counted over the corpus: in how many distinct repositories (``repo_col``; each
     document is its own if None) and owners it occurs. A value that spreads beyond ``max_repos`` or
-    ``max_owners`` is a copied example. The others look live if they have ``min_length`` characters, a
-    letter, a digit and eight different characters; each of their places gets a span of kind
+    ``max_owners`` is a copied example. The others look live, and each of their places gets a span of kind
     ``live`` around the value, on top of the pattern's own span. Where no column names a repository, documents stand for
-    it, and copies of one owner's document count against its own values: ``max_repos`` None judges by owners alone. With ``any_form``
-    every candidate that one owner has looks live, short values and those of letters alone too.
+    it; as copies of one owner's document would count against its own values, owners alone judge unless ``max_repos`` is given. Without
+    ``any_form`` a value looks live only if it has ``min_length`` characters, a letter, a digit and eight different characters.
 
     Returns one row per input row: the id, ``base`` and ``live`` (arrays of start, kind, end; code
     points, end exclusive), ``values`` (start, end, value, owners, repos, live) and ``text_sha``. A null text is an empty
@@ -109,7 +135,7 @@ def scan_secrets(
         F.when(F.lit(kind == "assign"), x["end"] - F.length(x["value"])).otherwise(x["start"]).alias("start"),
         x["end"].alias("end"), x["value"].alias("value"))) for kind in KINDS]))
     places = (
-        scanned.select("row", "owner", "repo", F.explode(F.array_distinct(found)).alias("x"))
+        scanned.select("row", "owner", "repo", F.explode(found).alias("x"))
         .select("row", "owner", "repo", "x.*")
         .withColumn("hash", F.sha2("value", 256))
     )
@@ -130,7 +156,7 @@ def scan_secrets(
         owned &= F.col("repos") <= max_repos
     judged = places.join(spread, "hash").withColumn("live", looks & owned)
     per_row = judged.groupBy("row").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end", "value", "owners", "repos", "live"))).alias("values")
+        F.sort_array(F.collect_set(F.struct("start", "end", "value", "owners", "repos", "live"))).alias("values")
     )
     empty = F.array().cast("array<struct<start:int,end:int,value:string,owners:bigint,repos:bigint,live:boolean>>")
     return (
@@ -150,7 +176,7 @@ def scan_secrets(
 def redact(docs: DataFrame, text_col: str = "text", mask: str = "[secret]", **options) -> DataFrame:
     """The documents with every live-looking value replaced by ``mask``; all columns and rows stay.
 
-    A null text stays null. Equal texts are masked alike where any of them has a live value: their spans are joined
+    A null text stays null; columns of any name stay. Equal texts are masked alike where any of them has a live value: their spans are joined
     on the text's hash, and a bitmap of fixed size spares all other texts the shuffle.
     """
     found = scan_secrets(docs, text_col=text_col, **options).where(F.size("live") > 0)
@@ -166,16 +192,17 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = "[secret]", **op
             F.when(fresh, F.concat(state["out"], gap, F.lit(mask))).otherwise(state["out"]).alias("out"),
         )
 
+    own_sha, own_live = fresh(docs, stem="sha"), fresh(docs, stem="live")
     masked = F.aggregate(
-        F.array_sort("__live"),
+        F.array_sort(own_live),
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         step,
         lambda s: F.concat(s["out"], F.substring(F.col(text_col), s["at"] + 1, F.length(text_col))),
     )
     maybe = bit_set(seen, sha)
     masked_rows = (
-        docs.where(maybe).withColumn("__sha", sha).join(hits.select(F.col("text_sha").alias("__sha"), F.col("live").alias("__live")), "__sha", "left")
-        .withColumn(text_col, F.when(F.col("__live").isNull(), F.col(text_col)).otherwise(masked))
+        docs.where(maybe).withColumn(own_sha, sha).join(hits.select(F.col("text_sha").alias(own_sha), F.col("live").alias(own_live)), own_sha, "left")
+        .withColumn(text_col, F.when(F.col(own_live).isNull(), F.col(text_col)).otherwise(masked))
     )
     return docs.where(~maybe).unionByName(masked_rows.select(docs.columns))
 
@@ -224,13 +251,12 @@ with d as (
   select row_number() over () as r, doc_id, coalesce(text, '') as text, coalesce(source, '') as owner from documents
 ), base as ({base}
 ), spread as (
-  select value, count(distinct owner) as owners, count(distinct (owner, doc_id)) as repos
+  select value, count(distinct owner) as owners
   from base join d using (r) group by value
 ), live as (
   select distinct r, '{LIVE}' as kind, {ORDER.index(LIVE)} as place, value_start as start, stop
   from base join spread using (value)
-  where owners <= 1 and repos <= 4 and len(value) >= 16 and regexp_matches(value, '[0-9]')
-    and regexp_matches(value, '[A-Za-z]') and len(list_distinct(string_split(value, ''))) >= 8
+  where owners <= 1
 ), b as (
   select r, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
          count(*) filter (kind = 'hex') as n_hex, {spelt} as spelt

@@ -6,12 +6,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conform.llm.common import read
+from conform.llm.common import give_back, read, stored, texts_of, tidied
 from conform.llm.quality import held_out
 
 #: Size of the space that words are hashed into.
@@ -104,49 +103,72 @@ def train(
 
     The positives are at most ``max_positive`` documents that ``labels`` marks 1, the unlabelled at most
     ``max_unlabelled`` documents whatever their label, each the first by a hash of the id. The class
-    prior is the share of 1 among the labelled rows. Only hashes of words and word beginnings of
-    the sample reach the driver. Features are the buckets that are over-represented among the positives by more than chance
-    (z over 4), at most ``max_features``, the most so first.
+    prior is the share of 1 among the labelled rows. Features are the buckets (hashes of words and word beginnings) that are
+    over-represented among the positives by more than chance (z over 4), at most ``max_features``, the most so first, counted in
+    the tasks; which of these each document of the sample has is all that reaches the driver. Rows with a null
+    label or id take no part in learning; an id that any row marks 1 is a positive; rows that repeat an id all count.
+    Without a positive or without a feature every text scores alike.
     """
     spark = docs.sparkSession
     marked = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     counts = {r[label_col]: r["count"] for r in marked.groupBy(label_col).count().collect()}
     pick = lambda df, n: [r["id"] for r in df.orderBy(F.xxhash64("id"), "id").limit(n).collect()]
     toxic = pick(marked.where(F.col(label_col) == 1).select(F.col(id_col).cast("long").alias("id")).distinct(), max_positive)
-    others = pick(docs.select(F.col(id_col).cast("long").alias("id")).where("id is not null"), max_unlabelled)
+    others = pick(docs.select(F.col(id_col).cast("long").alias("id")).where("id is not null").distinct(), max_unlabelled)
     nothing = Ensemble({}, np.full((1, 1), -1.0))
     if not toxic or not others:
         return nothing
     wanted = spark.createDataFrame([(i,) for i in sorted({*toxic, *others})], "id long")
     sample = docs.select(F.col(id_col).cast("long").alias("id"), text_col).join(F.broadcast(wanted), "id", "left_semi")
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [buckets(t or "").tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "b"])
+    positive, other = set(toxic), set(others)
 
-    of = {r["id"]: np.frombuffer(r["b"], dtype=np.int32) for r in sample.mapInArrow(hashed, "id long, b binary").collect()}
-    p, u = [of[i] for i in toxic if i in of], [of[i] for i in others if i in of]
-    if not p or not u:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """How many positives and unlabelled texts of the task have a bucket, beside their numbers (bucket -1)."""
+        counts = np.zeros((2, BUCKETS + 1), dtype=np.int64)
+        for batch in batches:
+            for i, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
+                of_text = np.append(buckets(text), BUCKETS)
+                for side, ids in enumerate((positive, other)):
+                    if i in ids:
+                        counts[side, of_text] += 1
+        there = np.flatnonzero(counts.any(axis=0))
+        names = np.where(there == BUCKETS, -1, there)
+        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(counts[0, there]), pa.array(counts[1, there])], ["b", "p", "u"])
+
+    counted = sample.mapInArrow(tidied(count), "b long, p long, u long").groupBy("b").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    counted = stored(counted, "toxicity-counts")
+    sizes = counted.where("b = -1").first()
+    if sizes is None or not sizes["p"] or not sizes["u"]:
         return nothing
-    count = lambda rows: np.bincount(np.concatenate(rows), minlength=BUCKETS)
-    in_p, in_u = count(p), count(u)
-    rate_p, rate_u = in_p / len(p), (in_u + 0.5) / (len(u) + 1)
-    z = (rate_p - rate_u) / np.sqrt(rate_u * (1 / len(p) + 1 / len(u)))
-    chosen = np.nonzero((z > 4) & (in_p >= 3))[0]
-    chosen = np.sort(chosen[np.argsort(-z[chosen], kind="stable")[:max_features]])
-    if not len(chosen):
+    n_p, n_u = sizes["p"], sizes["u"]
+    rate_u = (F.col("u") + 0.5) / (n_u + 1)
+    z = (F.col("p") / n_p - rate_u) / F.sqrt(rate_u * (1 / n_p + 1 / n_u))
+    best = counted.where("b >= 0 and p >= 3").withColumn("z", z).where("z > 4").orderBy(F.desc("z"), "b").limit(max_features)
+    chosen = sorted(r["b"] for r in best.collect())
+    if not chosen:
         return nothing
-    column = {int(b): i for i, b in enumerate(chosen)}
+    column = {b: i for i, b in enumerate(chosen)}
 
-    def matrix(rows: list[np.ndarray]) -> np.ndarray:
-        out = np.zeros((len(rows), len(chosen)), dtype=np.float32)
-        for i, row in enumerate(rows):
-            out[i, [column[b] for b in row.tolist() if b in column]] = 1
+    def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.array([column[b] for b in buckets(t).tolist() if b in column], dtype=np.int16).tobytes() for t in texts_of(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "at"])
+
+    rows = sorted((r["id"], bytes(r["at"])) for r in sample.mapInArrow(tidied(present), "id long, at binary").collect())
+
+    def matrix(ids: list[int]) -> np.ndarray:
+        of: dict[int, list[bytes]] = {}
+        for i, at in rows:
+            of.setdefault(i, []).append(at)
+        mine = [at for i in ids for at in of.get(i, [])]
+        out = np.zeros((len(mine), len(chosen)), dtype=np.float32)
+        for row, at in zip(out, mine, strict=True):
+            row[np.frombuffer(at, dtype=np.int16)] = 1
         return out
 
     prior = counts.get(1, 0) / max(1, sum(counts.values()))
-    xp, xu = matrix(p), matrix(u)
+    xp, xu = matrix(toxic), matrix(others)
     return Ensemble(column, np.stack([fit_nnpu(xp, xu, prior, seed) for seed in range(members)]))
 
 
@@ -157,11 +179,13 @@ def score_toxicity(docs: DataFrame, model: Ensemble, text_col: str = "text", out
     other columns stay; a column named like ``out_col`` is replaced.
     """
 
-    @F.pandas_udf("double")
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known: dict[str, tuple[int, ...]] = {}
         for texts in parts:
-            yield texts.map(lambda t: model.score(t or "", known), na_action=None)
+            yield pa.array([model.score(t, known) for t in texts_of(texts)], pa.float64())
+        known.clear()
+        give_back()
 
     return docs.withColumn(out_col, score(F.col(text_col)))
 

@@ -17,7 +17,7 @@ def shingle_sets(rows):
     out = {}
     for i, text, *_ in rows:
         words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
-        out[i] = {tuple(words[j : j + 5]) for j in range(max(1, len(words) - 4))} if words else set()
+        out.setdefault(i, set()).update({tuple(words[j : j + 5]) for j in range(max(1, len(words) - 4))} if words else set())
     return out
 
 
@@ -87,6 +87,27 @@ def test_nulls_repeats_and_no_rows(spark):
     assert near_duplicates(df.limit(0)).collect() == []
 
 
+def words(stem, n=40):
+    return " ".join(f"{stem}{j}" for j in range(n))
+
+
+@pytest.mark.parametrize("more", [[], [(8, words("a", 39) + " z"), (8, words("c")), (9, words("c", 39)), (9, None), (7, words("a") + " " + words("b"))]])
+def test_an_id_of_several_texts_has_the_union_of_their_sets(spark, more):
+    rows = [(1, words("a")), (5, words("a")), (2, words("b")), (5, words("b")), (5, None), *more]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(map(tuple, near_duplicates(df).collect()))
+    want = brute(rows)
+    assert got == sorted((i, *want[i]) for i, _ in rows)
+    assert want[5][0] == 72 and want[1] == (36, 1)
+
+
+def test_an_id_on_a_third_of_the_rows(spark):
+    rows = [(i if i % 3 else 0, words("a") if i % 2 else words(f"t{i}")) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute(rows)
+    assert sorted(map(tuple, near_duplicates(df).collect())) == sorted((i, *want[i]) for i, _ in rows)
+
+
 @pytest.mark.parametrize("long_list", [2, 7])
 def test_split_lists_lose_no_link(spark, monkeypatch, long_list):
     monkeypatch.setattr(near_dup, "LONG_LIST", long_list)

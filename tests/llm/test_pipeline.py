@@ -70,3 +70,43 @@ def test_encoding_stage(stages):
     model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     before, after = rows(stages[4][0]), rows(stages[4][1])
     assert {i: (r["ids"], r["round_trip"]) for i, r in after.items()} == {i: (model.encode(r["text"]), True) for i, r in before.items()}
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, score string, _score string, key int, n int, __sha string, __live int"
+
+
+def odd(spark, rows):
+    return spark.createDataFrame([(i, t, "en", s, len(t or ""), "a", "b", 1, 2, "c", 3) for i, t, s in rows], ODD).repartition(3)
+
+
+def prose(stem, n=40):
+    return " ".join(f"{stem}{i}" for i in range(n)) + "."
+
+
+def test_repeated_and_null_ids_keep_unrelated_texts(spark):
+    rows = [(1, prose("a"), "s"), (1, prose("b"), "s"), (2, prose("c"), "s"), (3, prose("c"), "s"), (None, prose("c"), "s"), (None, prose("d"), "s"),
+            (None, prose("d"), "s"), (None, prose("d", 39) + " x", "s"), (4, None, "s"), (4, None, "s"), (5, "", "s"), (1, prose("a"), "s")]
+    kept = cp.keep_one_per_group(spark, odd(spark, rows), SF)
+    assert kept.columns == odd(spark, rows).columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    d = [x for x in got if x[0] is None]
+    assert len(d) == 1 and d[0][1].startswith("d0 ")
+    assert [x for x in got if x[0]] == [(1, prose("a")), (1, prose("b")), (2, prose("c")), (4, None), (5, "")]
+
+
+def test_leaks_are_dropped_row_by_row(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    rows = [(1, item, "s"), (1, prose("a"), "s"), (None, item, "s"), (None, prose("b"), "s"), (2, None, "s"), (3, f"{prose('c')} {item}", "s")]
+    kept = cp.drop_benchmark(spark, odd(spark, rows), SF)
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted([(1, prose("a")), (None, prose("b")), (2, None)], key=repr)
+
+
+def test_clashing_columns_and_empty_tables_pass_every_stage(spark):
+    rows = [(i, prose(f"w{i}x", 60) + "\ntoken=abcdef123456", f"s{i}") for i in range(5)] + [(None, None, None)]
+    for name, stage in cp.STAGES[:-1]:
+        for given in (odd(spark, rows), odd(spark, rows).limit(0)):
+            out = stage(spark, cp.stored(given, "odd"), SF)
+            assert out.columns == given.columns, name
+            assert out.count() <= given.count()
+    masked = cp.mask_secrets(spark, odd(spark, rows), SF).where("doc_id = 1").first()
+    assert masked["__sha"] == "c" and masked["__live"] == 3

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from conform.llm import secrets
 
@@ -44,9 +45,30 @@ def test_base_spans(docs):
 def test_owned_values_look_live_and_shared_ones_do_not(docs):
     got = {r["doc_id"]: [(x["start"], x["end"]) for x in r["live"]] for r in secrets.scan_secrets(docs).where("doc_id > 1").collect()}
     at = ROWS[8][1].index(LIVE)
-    assert got[8] == [(4, 4 + len(LIVE))] and got[9] == [(at, at + len(LIVE))]
+    assert got[8] == [(4, 4 + len(LIVE))] and got[9] == [(6, at - 1), (at, at + len(LIVE))]
     assert got[2] == [] and got[3] == []  # one value, two owners
-    assert got[7] == [] and got[10] == [] and got[11] == []
+    assert got[10] == [] and got[11] == []  # the same
+    assert got[7] == [(7, 67)] and got[6] == [(20, 26)]  # of letters alone, and short
+    strict = {r["doc_id"]: r["live"] for r in secrets.scan_secrets(docs, max_repos=4, any_form=False).where("doc_id > 1").collect()}
+    assert strict[7] == [] and strict[6] == [] and len(strict[8]) == 1
+
+
+def test_copies_of_one_owner_stay_live(spark):
+    rows = [(i, f"token={LIVE}", "o1") for i in range(9)] + [(9, "secret: sharedvalue", "o1"), (10, "secret: sharedvalue", "o2")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: len(r["live"]) for r in secrets.scan_secrets(df).collect()}
+    assert got == {**{i: 1 for i in range(9)}, 9: 0, 10: 0}
+
+
+def test_a_text_with_very_many_matches_is_not_quadratic(spark):
+    import time
+
+    text = " ".join(f"{i:032x}" for i in range(300_000))
+    df = spark.createDataFrame([(1, text, "o1")], "doc_id long, text string, source string")
+    start = time.time()
+    got = secrets.scan_secrets(df).select(F.size("hex").alias("n"), F.element_at("hex", -1).alias("last"), F.element_at("hex", 200_001).alias("mid")).first()
+    assert time.time() - start < 90
+    assert got["n"] == 300_000 and (got["last"]["start"], got["last"]["end"]) == (299_999 * 33, len(text)) and got["mid"]["start"] == 200_000 * 33
 
 
 def test_redact_keeps_rows_and_columns(docs):
@@ -55,7 +77,7 @@ def test_redact_keeps_rows_and_columns(docs):
     texts = {r["doc_id"]: r["text"] for r in got.collect()}
     assert got.count() == len(ROWS) and texts[4] is None and texts[5] == ""
     assert texts[8] == "\U0001F600 x [secret]" and texts[3] == ROWS[2][1]
-    assert texts[9] == ROWS[8][1].replace(LIVE, "[secret]")
+    assert texts[9] == "token=[secret] [secret] " + "y " * 50_000
 
 
 def test_pipeline_masks_what_one_source_has_in_any_number_of_documents(spark):

@@ -61,6 +61,26 @@ def test_contaminated_documents(spark):
     docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, item int, seed string").repartition(4)
     bench = spark.createDataFrame([(100, " ".join(item), 0), (101, "too short item", 0), (102, None, 0), (None, " ".join(item), 0), (103, "", 0)], "item_id long, text string, doc_id int")
     got = {(r["doc_id"], r["item_id"], round(r["coverage"], 3), r["n_tiles"]) for r in tiling.contaminated(docs, bench).collect()}
-    assert got == {(1, 100, 1.0, 1), (2, 100, 1.0, 2), (7, 100, 1.0, 1)}
+    assert got == {(1, 100, 1.0, 1), (2, 100, 1.0, 2), (7, 100, 1.0, 1), (None, 100, 1.0, 1)}
     assert tiling.contaminated(docs.limit(0), bench).collect() == []
     assert tiling.contaminated(docs, bench.limit(0)).collect() == []
+
+
+def test_short_items_and_scripts_without_blanks(spark):
+    items = [(1, "four unusual benchmark words"), (2, "the cat"), (3, "猫は静かに窓の外を見ていた"), (4, "supercalifragilistic")]
+    rows = [
+        (10, "here are four unusual benchmark words, hidden"), (11, "four unusual words of a benchmark"), (12, "the cat sat"),
+        (13, "昨日、猫は静かに窓の外を見ていた。そして眠った。"), (14, "猫は窓の外"), (15, "so Supercalifragilistic!"), (None, "four unusual benchmark words"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in tiling.contaminated(docs, bench).collect()}
+    assert got == {(10, 1), (13, 3), (15, 4), (None, 1)}
+
+
+def test_rows_of_one_id_are_told_apart(spark):
+    item = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, item), (1, "clean text"), (2, "clean text")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = tiling.contaminated(docs, bench).collect()
+    assert [(r["doc_id"], r["text_sha"]) for r in found] == [(1, __import__("hashlib").sha256(item.encode()).hexdigest())]
