@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from conform.llm import near_dup, pieces, quality, secrets, tiling
-from conform.llm.common import bitmap, flagged, read, stored, without
+from conform.llm.common import bitmap, flagged, fresh, read, stored, without
 
 #: A document goes if its quality score is below this.
 KEEP_FROM = 0.5
@@ -21,37 +21,53 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
-    scored = quality.score_quality(docs, quality.fitted(spark, sf_dir), out_col="_score")
-    return scored.where(F.col("_score") >= KEEP_FROM).select(docs.columns)
+    """Documents that the quality classifier does not reject. A null text scores as an empty one; each row is judged by itself."""
+    score = fresh(docs, stem="score")
+    scored = quality.score_quality(docs, quality.fitted(spark, sf_dir), out_col=score)
+    return scored.where(F.col(score) >= KEEP_FROM).select(docs.columns)
 
 
 def keep_one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id; documents without words link with nothing and stay.
+    """Of each group of near duplicates one document, the one with the smallest id; documents without words link with nothing and stay.
 
-    Rows that repeat an id are one document: the one with the smallest text stays.
+    Rows that repeat an id, and rows with a null id, are documents of their own, told apart by their text: each stays unless it is a near duplicate
+    of one that stays. They come after all others in the choice. Of rows that are equal in id and text, or that differ in
+    other columns only, one stays, the first by those columns.
     """
-    classes = near_dup.near_duplicates(docs)
-    kept = without(docs, classes.where("doc_id <> component_id"), "doc_id")
-    repeated = stored(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "pipeline-repeated")
-    again = flagged(bitmap(repeated, "doc_id"), "doc_id")
-    first = Window.partitionBy("doc_id").orderBy("text")
-    once = kept.where(again).withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
-    return kept.where(~again).unionByName(once)
+    key, n = fresh(docs, stem="key"), fresh(docs, stem="n")
+    several = stored(docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").select("doc_id"), "pipeline-several")
+    own = (F.xxhash64("doc_id", F.col("doc_id").isNull(), "text").bitwiseAND(F.lit((1 << 62) - 1)) + (1 << 62)).alias(key)
+    if several.isEmpty():
+        keyed = docs.withColumn(key, F.col("doc_id"))
+    else:
+        maybe = F.col("doc_id").isNull() | flagged(bitmap(several, "doc_id"), "doc_id")
+        there = several.where("doc_id is not null").withColumn(n, F.lit(1))
+        doubtful = docs.where(maybe).join(there, "doc_id", "left").withColumn(key, F.when(F.col("doc_id").isNotNull() & F.col(n).isNull(), F.col("doc_id")).otherwise(own)).drop(n)
+        doubtful = doubtful.select(*docs.columns, key)
+        first = Window.partitionBy(key).orderBy(*[F.col(c) for c in docs.columns])
+        doubtful = doubtful.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).drop(n)
+        keyed = docs.where(~maybe).withColumn(key, F.col("doc_id")).unionByName(stored(doubtful, "pipeline-doubtful"))
+    classes = near_dup.near_duplicates(keyed.select(key, "text"), id_col=key)
+    return without(keyed, classes.where(F.col(key) != F.col("component_id")), key).select(docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without tiled benchmark items."""
-    return without(docs, tiling.contaminated(docs, read(spark, sf_dir, "benchmark")), "doc_id")
+    """Documents without tiled benchmark items. Each row is judged by its own text, also where rows have one id or none."""
+    found = stored(tiling.contaminated(docs, read(spark, sf_dir, "benchmark")).select("doc_id", "text_sha").distinct(), "pipeline-leaks")
+    sha = fresh(docs, stem="sha")
+    maybe = F.col("doc_id").isNull() | flagged(bitmap(found, "doc_id"), "doc_id")
+    judged = docs.where(maybe).withColumn(sha, F.sha2(F.coalesce("text", F.lit("")), 256)).alias("d")
+    same = (F.col(f"d.{sha}") == F.col("f.text_sha")) & F.col("d.doc_id").eqNullSafe(F.col("f.doc_id"))
+    return docs.where(~maybe).unionByName(judged.join(found.alias("f"), same, "left_anti").select(docs.columns))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets of one source masked however many of its documents hold them; ``n_chars`` follows the text."""
-    return secrets.redact(docs, max_repos=None, any_form=True).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    """All rows, secrets of one source masked however many of its documents hold them; ``n_chars`` follows the text, null for a null one."""
+    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_pieces, ids and whether the ids decode to the text."""
+    """doc_id, n_pieces, ids and whether the ids decode to the text, for every row; a null text is an empty one."""
     import public_tokenizers
 
     return pieces.encoded_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
