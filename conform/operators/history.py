@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conform.functions import dates, keys as k
+from conform.session import stored
 
 FROM, TO = "valid_from", "valid_to"
+MOST_DAYS = 100_000  # of a calendar that is small by construction: 270 years
 
 
 def differs(left: str, right: str, cols: Sequence[str]) -> Column:
@@ -143,9 +145,18 @@ def date_dim(spark: SparkSession, start: str | dt.date, end: str | dt.date) -> D
 
 
 def date_dim_covering(df: DataFrame, column: str) -> DataFrame:
-    """One row per day from the first to the last date of a column."""
-    day = F.to_date(column)
-    return _calendar(df.agg(F.min(day).alias("first"), F.max(day).alias("last")))
+    """One row per day from the first to the last date of a column; no row if it has none.
+
+    An action: the two dates are read first, so that the size is known. A range beyond ``MOST_DAYS``, as one mistyped year makes it, is
+    stored, and its real size decides how it is joined.
+    """
+    day, spark = F.to_date(column), df.sparkSession
+    ends = df.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+    if ends["first"] is None:
+        return _calendar(spark.range(0).select(F.current_date().alias("first"), F.current_date().alias("last")))
+    bounds = spark.range(1).select(F.lit(ends["first"]).alias("first"), F.lit(ends["last"]).alias("last"))
+    days = _calendar(bounds)
+    return stored(days, "calendar") if (ends["last"] - ends["first"]).days > MOST_DAYS else days
 
 
 def _calendar(bounds: DataFrame) -> DataFrame:

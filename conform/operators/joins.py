@@ -16,12 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from conform.functions import text
+from conform.operators import bitmaps
 from conform.session import broadcastable, estimated_bytes
 
 HOT_FACTOR = 2  # a key is hot when it holds more than this many average partitions
 FINENESS = 4  # pieces per average partition a hot key is cut into
 SKETCH = 8192  # items a sketch of frequent keys tracks at least
 SKETCH_GROUPS = 64  # sketches that reach the last merge
+MOST_BITS = 1 << 23  # of a bitmap of keys: 1 MB
 ONE_TASK = 64 << 20  # bytes of a left side that one task can take whole, hot key and all
 
 
@@ -150,14 +152,17 @@ def lookup(
     size: str = "auto",
     keys_from: DataFrame | None = None,
     salt_by: Sequence[str] | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Add columns of a dimension to a fact.
 
     ``on`` maps fact columns to dimension columns; ``take`` maps dimension columns to
-    the names they get. A miss leaves NULL and keeps the row (``how="left"``).
+    the names they get. A miss leaves NULL and keeps the row (``how="left"``). The dimension has one row per key: a key
+    that it repeats would multiply the fact, and fails the job instead. NULL keys match nothing and may repeat. ``unique`` says
+    that the dimension is made unique by the plan that gives it, so that it need not be looked at.
 
     ``size`` says how the dimension is brought to the fact:
-      * ``fixed``: bounded by construction (a calendar): broadcast.
+      * ``fixed``: small by construction (a calendar): broadcast, unless its size says otherwise; then as ``auto``.
       * ``auto``: left to Spark where the dimension can be broadcast or the fact is small
         enough for one task, by Spark's size estimates; else ``salted``.
       * ``salted``: shuffled, with the hot keys of the fact spread. They are looked for
@@ -174,9 +179,11 @@ def lookup(
     )
     keyed = fact.withColumns({f"_k{i}": F.col(f) for i, f in enumerate(on)})
     names = [f"_k{i}" for i in range(len(on))]
-    if size == "fixed":
+    if not unique and size != "fixed":
+        side = _one_per_key(side, names)
+    if size == "fixed" and broadcastable(side):
         joined = keyed.join(F.broadcast(side), names, how)
-    elif size == "auto" and not needs_salt(keyed, side):
+    elif size != "salted" and not needs_salt(keyed, side):
         joined = keyed.join(side, names, how)
     else:
         hot = hot_keys(fact if keys_from is None else keys_from, list(on))
@@ -184,6 +191,34 @@ def lookup(
     return joined.select(*fact.columns, *take.values())
 
 
+def _one_per_key(side: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``side`` with an error in place of the row of a key that it repeats."""
+    known = side.where(" and ".join(f"{n} is not null" for n in names))
+    taken = [c for c in side.columns if c not in names]
+    doubled = F.raise_error(F.concat(F.lit("repeated key of a dimension: "), F.to_json(F.struct(*names))))
+    counted = known.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in taken])
+    return counted.where(F.when(F.col("_n") == 1, F.lit(True)).otherwise(doubled)).select(*names, *taken)
+
+
+def reduced(fact: DataFrame, dim: DataFrame, on: Mapping[str, str], bits: int | None = None) -> DataFrame:
+    """The rows of a fact whose key a dimension may hold: a semi-join by a bitmap, before any shuffle.
+
+    For an inner join to the few members of a dimension that a filter leaves. The bitmap has 16 bits a member,
+    at most ``MOST_BITS``, and travels as a literal of the plan; about one row in 16 of the others passes too
+    and finds no partner in the join. A dimension that would fill more than a quarter of the largest bitmap is not worth it, and the fact
+    is returned as it is. An action: the dimension's keys are counted and hashed.
+    """
+    same_types(fact, dim, on)
+    members = dim.select(F.expr(_key_hash(list(on.values()))).alias("h")).where("h is not null")
+    if bits is None:
+        wanted = 16 * members.count()
+        if wanted > 4 * MOST_BITS:
+            return fact
+        bits = min(MOST_BITS, max(1 << 10, 1 << max(0, wanted - 1).bit_length()))
+    held = bitmaps.bitmap(members, F.col("h"), bits)
+    return fact.where(bitmaps.maybe_in(held, F.expr(_key_hash(list(on)))))
+
+
 def name_map(dim: DataFrame, key: str, names: Sequence[str]) -> DataFrame:
     """``(name_norm, key)`` with one key, the smallest, per normalised name.
 

@@ -198,11 +198,11 @@ def same_count(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def contract_check(
-    df: DataFrame, contract: T.StructType | str, name: str = "schema"
+    df: DataFrame, contract: T.StructType | str, name: str = "schema", types: bool = True
 ) -> DataFrame:
     """One row per column that is missing, extra or of another type; no row means agreement.
 
-    Reads the schema only.
+    Reads the schema only. Without ``types`` names alone count, as for text files.
     """
     if isinstance(contract, str):
         contract = T.StructType.fromDDL(contract)
@@ -211,7 +211,7 @@ def contract_check(
     problems = [(name, c, "missing", want[c], None) for c in want if c not in have]
     problems += [(name, c, "extra", None, have[c]) for c in have if c not in want]
     problems += [
-        (name, c, "type", want[c], have[c]) for c in want if c in have and want[c] != have[c]
+        (name, c, "type", want[c], have[c]) for c in want if types and c in have and want[c] != have[c]
     ]
     return df.sparkSession.createDataFrame(
         problems, "contract string, column string, problem string, expected string, found string"
@@ -231,6 +231,23 @@ def freshness(sources: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def fresh_enough(report: DataFrame, moment: str, warn_days: float, error_days: float) -> DataFrame:
+    """The rows of :func:`freshness` as checks: how old each source is at ``moment``, against two limits.
+
+    A source without rows fails as an error. ``moment`` is an argument and never the clock, so a rerun gives the same rows.
+    """
+    age = (F.lit(moment).cast("timestamp").cast("double") - F.col("latest").cast("double")) / 86400
+    stale, late = F.coalesce(age > error_days, F.lit(True)), F.coalesce(age > warn_days, F.lit(True))
+    return report.select(
+        F.concat(F.lit("freshness_"), "source").alias("check"),
+        F.when(late & ~stale, F.lit(WARN)).otherwise(F.lit(ERROR)).alias("severity"),
+        F.when(late, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("failing"),
+        F.lit(1).cast("long").alias("total"),
+        F.round(age, 6).alias("observed"),
+        (~late).alias("passed"),
+    )
+
+
 class QualityGateError(RuntimeError):
     """Raised when a blocking check fails; carries the failed checks."""
 

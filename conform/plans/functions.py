@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from conform.operators import closure
 from conform.operators.history import upsert
 from conform.plans import histories
 from conform.plans.registry import query, table
@@ -247,15 +248,21 @@ def fn_best_per_group(spark, sf_dir):
     """,
 )
 def fn_recursive(spark, sf_dir):
-    """A recursive table of months, joined to the orders counted per month."""
-    table(spark, sf_dir, "orders").createOrReplaceTempView("fn_recursive_orders")
+    """A recursive table of months, joined to the orders counted per month. The recursion goes as deep as the orders' dates ask for."""
+    return months_with_orders(spark, table(spark, sf_dir, "orders"))
+
+
+def months_with_orders(spark, orders):
+    orders.createOrReplaceTempView("fn_recursive_orders")
+    first = F.trunc(F.min("o_orderdate"), "month")
+    span = orders.agg(F.ceil(F.months_between(F.max("o_orderdate"), first)).alias("months")).first()
     return spark.sql(
-        """
+        f"""
         with recursive span as (
             select cast(trunc(min(o_orderdate), 'month') as date) as first,
                    cast(max(o_orderdate) as date) as last
             from fn_recursive_orders),
-        months(m, last) as (
+        months(m, last) max recursion level {(span["months"] or 0) + 2} as (
             select first, last from span
             union all
             select cast(add_months(m, 1) as date), last from months where add_months(m, 1) <= last),
@@ -310,3 +317,23 @@ def fn_sample(spark, sf_dir):
 def upsert_rows(spark, sf_dir):
     """A feed merged into a table without history."""
     return upsert(histories.feed1(spark, sf_dir), histories.feed2(spark, sf_dir), histories.KEYS)
+
+
+CHAIN = 10_000  # levels of a chain of orders
+
+
+@query(
+    "closure_semi_naive",
+    f"""
+    with o as (select o_orderkey as k, o_orderkey - (o_orderkey % {CHAIN}) as start from orders),
+    gaps as (  -- the first order of a run of keys without a hole, within its chain
+        select o.k, max(case when p.k is null or o.k = o.start then o.k end) over (order by o.k) as root
+        from o left join o p on p.k = o.k - 1)
+    select k as o_orderkey, root, k - root as depth from gaps
+    """,
+)
+def closure_semi_naive(spark, sf_dir):
+    """Each order follows the one before it, in chains of ``CHAIN`` levels: root and depth of all of them."""
+    key = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders").select(key, F.when(key % CHAIN != 0, key - 1).alias("before"))
+    return closure.hierarchy(orders, "o_orderkey", "before")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conform.operators import history, reconcile, reshape
+from conform.operators import history, late, reconcile, reshape
 from conform.plans.registry import query, table
 
 DAY1, DAY2, DAY3 = "2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00"
@@ -149,3 +149,24 @@ def scd2_audited(spark, sf_dir):
 def feed_delta(spark, sf_dir):
     delta = reconcile.feed_delta(feed1(spark, sf_dir), feed2(spark, sf_dir), KEYS, CHECKED)
     return delta.withColumn("changed_cols", F.array_join("changed_cols", ","))
+
+
+@query(
+    "scd2_late_feed",
+    f"""
+    {FEEDS_SQL}
+    select f.*, timestamp '{DAY1}' as valid_from, case when c.c_custkey is not null then timestamp '{DAY2}' end as valid_to
+    from feed1 f left join changed c using (c_custkey)
+    union all select *, timestamp '{DAY2}', timestamp '{DAY3}' from changed
+    union all select f.*, timestamp '{DAY3}', cast(null as timestamp) from feed1 f where c_custkey in (select c_custkey from changed)
+    union all select *, timestamp '{DAY2}', cast(null as timestamp) from feed2 where c_custkey not in (select c_custkey from feed1)
+    """,
+)
+def scd2_late_feed(spark, sf_dir):
+    """The second day's feed comes last, after a third that brings the first one's rows again: it splits their versions."""
+    feeds = [(DAY1, feed1), (DAY3, feed1), (DAY2, feed2)]
+    kept, times = None, []
+    for at, feed in feeds:
+        kept = late.insert_feed(kept, feed(spark, sf_dir), KEYS, at, times)
+        times.append(at)
+    return late.versions(kept)

@@ -38,6 +38,7 @@ REVIEW_SCHEMA = (
 )
 
 SNAPSHOT = "snap_beta_ndc"
+FRESH_DAYS = (1.5, 2.0)  # age of a feed at the snapshot time that warns, and that blocks a release
 # fixed values: names and order of the feeds' and models' columns
 NDC_KEY = ["product_ndc"]
 NDC_CHECKED = [
@@ -84,6 +85,8 @@ def read_feed(spark: SparkSession, table: str, files: str | list[str]) -> DataFr
     raise ValueError(f"unknown feed {table!r}")
 
 
+CSV_SCHEMAS = {"sales_daily": SALES_SCHEMA, "sales_hourly": HOURLY_SCHEMA, "drug_reviews": REVIEW_SCHEMA}
+# fixed values: the source that each feed comes from
 BRONZE_SOURCE = {
     "sales_daily": "alpha",
     "sales_hourly": "alpha",
@@ -102,8 +105,13 @@ def load_bronze(
     """Land one feed as one date of its Bronze table and count what can be read back.
 
     One job per feed, so a late or broken feed does not hold up the others. An empty
-    feed is refused: it would wipe the date.
+    feed is refused: it would wipe the date. So is a CSV feed whose header is not the contract's, with the columns named, before a row is read.
     """
+    if table in CSV_SCHEMAS:
+        header = lake.spark.createDataFrame([], readers.csv_header(lake.spark, files))
+        problems = q.contract_check(header, CSV_SCHEMAS[table], table, types=False).collect()
+        if problems:
+            raise q.QualityGateError([f"{table}.{r['column']} is {r['problem']}" for r in problems])
     feed = readers.with_load_columns(read_feed(lake.spark, table, files), load_ts)
     if feed.isEmpty():
         raise q.QualityGateError([f"{table} has no rows"])
@@ -454,6 +462,8 @@ def expectations(run: Run, t: dict[str, DataFrame]) -> DataFrame:
     tables = {n: bronze(lake, n, run.load_date) for n in ("sales_daily", "ndc_directory", "drug_reviews")}
     report = reconcile.reconcile_layers([*inner_hops(t, tables), members])
     lake.append_quality(q.singular("layers_reconcile", report.where("not passed")), run.run_id, "layers")
+    ages = q.freshness({n: (df, "load_ts") for n, df in tables.items()})
+    lake.append_quality(q.fresh_enough(ages, run.snapshot_ts, *FRESH_DAYS), run.run_id, "freshness")
     return lake.read_quality(run.run_id)
 
 

@@ -258,6 +258,45 @@ def serving_inner(spark, sf_dir):
     ).drop("c_nationkey")
 
 
+@query(
+    "serving_reduced",
+    """
+    select l.l_orderkey, l.l_linenumber, l.l_quantity, p.p_name
+    from lineitem l join part p on p.p_partkey = l.l_partkey where p.p_size > 45
+    """,
+)
+def serving_reduced(spark, sf_dir):
+    """Lines of the few parts that a filter leaves: a bitmap of their keys drops the other lines in the scan."""
+    part = table(spark, sf_dir, "part").where("p_size > 45")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey")
+    few = joins.reduced(lines, part, {"l_partkey": "p_partkey"})
+    kept = ["l_orderkey", "l_linenumber", "l_quantity"]
+    return star.serve(few, kept, [Lookup(part, {"l_partkey": "p_partkey"}, {"p_name": "p_name"}, "inner")])
+
+
+@query(
+    "lookup_doubled",
+    """
+    select true as refused, count(*) as rows from orders
+    """,
+)
+def lookup_doubled(spark, sf_dir):
+    """A dimension that repeats a key would multiply the fact: the job fails, and with the key once more it goes through."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    take = {"c_name": "c_name"}
+    refused = False
+    try:
+        twice = customer.unionByName(customer.where(F.col("c_custkey") == customer.agg(F.min("c_custkey")).scalar()))
+        joins.lookup(orders, twice, {"o_custkey": "c_custkey"}, take).select("c_name").write.format("noop").mode("overwrite").save()
+    except Exception as e:  # noqa: BLE001
+        if "repeated key of a dimension" not in str(e):
+            raise
+        refused = True
+    once = joins.lookup(orders, customer, {"o_custkey": "c_custkey"}, take)
+    return once.agg(F.lit(refused).alias("refused"), F.count(F.lit(1)).alias("rows"))
+
+
 @query(
     "serving_mixed",
     """

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conform.operators import quality as q
+from conform.operators import curve, profiles, quality as q
 from conform.operators.history import scd1_dim
 from conform.plans import histories
 from conform.plans.registry import key_sql, query, table
@@ -270,14 +270,142 @@ def publish_immutable(spark, sf_dir):
     raise AssertionError("a published run was changed")
 
 
-@query("bronze_json_array", "select n_nationkey, n_name, n_regionkey from nation")
+DOCUMENT_ROWS = 2_000  # of one JSON document, which is read as a whole
+
+
+@query("bronze_json_array", "select o_orderkey, o_custkey, o_orderpriority from orders")
 def bronze_json_array(spark, sf_dir):
-    """The nations landed as one JSON document, wrapped as ``results``, and read back as rows."""
-    landing = f"{new_lake(spark, 'jsonarray').root}/landing/nations"
-    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    rows = F.array_join(F.collect_list(F.to_json(F.struct(*nations.columns))), ",")
-    nations.agg(F.concat(F.lit('{"results": ['), rows, F.lit("]}")).alias("value")).write.text(landing)
-    return readers.read_json_array(spark, landing, nations.schema)
+    """The orders landed as many JSON documents, each wrapping some as ``results``, and read back as rows in parallel."""
+    landing = f"{new_lake(spark, 'jsonarray').root}/landing/orders"
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    documents = -(-orders.count() // DOCUMENT_ROWS)
+    group = F.pmod(F.xxhash64("o_orderkey"), F.lit(max(1, documents)))
+    rows = F.array_join(F.collect_list(F.to_json(F.struct(*orders.columns))), ",")  # about DOCUMENT_ROWS, whatever the table
+    wrapped = orders.groupBy(group.alias("g")).agg(F.concat(F.lit('{"results": ['), rows, F.lit("]}")).alias("value"))
+    wrapped.select("value").write.option("maxRecordsPerFile", 1).text(landing)
+    return readers.read_json_array(spark, landing, orders.schema)
+
+
+@query(
+    "bronze_contract",
+    """
+    with feed as (
+        select count(*) as n from customer where c_acctbal >= 0)
+    select 'whole' as feed, n as loaded, '' as refused from feed
+    union all
+    select 'broken', 0, 'blocked by: drug_reviews.usefulCount is missing, drug_reviews.helpful is extra'
+    """,
+)
+def bronze_contract(spark, sf_dir):
+    """A feed loaded by date; one whose header broke the contract is refused and leaves the date as it was."""
+    from conform.plans import mart
+
+    lake = new_lake(spark, "contract")
+    customer = table(spark, sf_dir, "customer").where("c_acctbal >= 0")
+    feed = customer.select(
+        F.col("c_custkey").alias("uniqueID"), F.col("c_name").alias("drugName"), F.col("c_mktsegment").alias("condition"),
+        F.lit("text").alias("review"), F.lit(5).alias("rating"), F.lit("1-Jan-20").alias("date"), F.lit(0).alias("usefulCount"),
+    )
+    outcomes = []
+    for name, rows in (("whole", feed), ("broken", feed.withColumnRenamed("usefulCount", "helpful"))):
+        landing = f"{lake.root}/landing/{name}"
+        rows.write.option("header", True).csv(landing)
+        try:
+            outcomes.append((name, mart.load_bronze(lake, "drug_reviews", landing, "2024-01-01", "2024-01-01 06:00:00"), ""))
+        except q.QualityGateError as e:
+            outcomes.append((name, 0, str(e)))
+    kept = mart.bronze(lake, "drug_reviews", "2024-01-01").agg(F.count(F.lit(1)).alias("kept"))
+    rows = spark.createDataFrame(outcomes, "feed string, loaded long, refused string")
+    return rows.withColumn("loaded", F.when(F.col("loaded") > 0, kept.scalar()).otherwise(F.col("loaded")))
+
+
+@query(
+    "release_freshness",
+    """
+    with ages as (
+        select 'events' as source, date_diff('second', max(ts), timestamp '2024-02-15 00:00:00') / 86400.0 as age from events
+        union all
+        select 'orders', date_diff('second', cast(max(o_orderdate) as timestamp), timestamp '2024-02-15 00:00:00') / 86400.0 from orders)
+    select 'freshness_' || source as "check", case when age > 30 and age <= 10000 then 'warn' else 'error' end as severity,
+           case when age > 30 then 1 else 0 end as failing, 1 as total, age <= 30 as passed
+    from ages
+    """,
+)
+def release_freshness(spark, sf_dir):
+    """The age of sources at a release, against a limit that warns and one that blocks."""
+    sources = {"events": (table(spark, sf_dir, "events"), "ts"), "orders": (table(spark, sf_dir, "orders"), "o_orderdate")}
+    return q.fresh_enough(q.freshness(sources), "2024-02-15 00:00:00", 30, 10_000).drop("observed")
+
+
+@query(
+    "external_table",
+    "select o_orderpriority, count(*) as orders from orders group by o_orderpriority",
+)
+def external_table(spark, sf_dir):
+    """A published model read as an external table of the catalogue, which a reader can not change by dropping it."""
+    lake = new_lake(spark, "external")
+    counts = table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("orders"))
+    lake.write_model(counts, lake.gold("r1", "priorities"))
+    lake.publish("r1", ["priorities"])
+    (name,) = lake.register_current(prefix="external_", tables=True)
+    if spark.catalog.getTable(name).tableType != "EXTERNAL":
+        raise AssertionError("a reader could delete the model")
+    spark.sql(f"drop table {name}")
+    lake.register_current(prefix="external_", tables=True)  # the files are there still
+    return spark.table(name)
+
+
+@query(
+    "clustered_curve",
+    """
+    with cuts as (
+        select quantile_disc(l_partkey, 0.5) as part, quantile_disc(l_suppkey, 0.5) as supp from lineitem)
+    select 'part' as filtered, count(*) as rows, cast(sum(l_linenumber) as bigint) as lines, true as skips
+    from lineitem, cuts where l_partkey = part
+    union all
+    select 'supplier', count(*), cast(sum(l_linenumber) as bigint), true from lineitem, cuts where l_suppkey = supp
+    """,
+)
+def clustered_curve(spark, sf_dir):
+    """Lines clustered by part and supplier alike: a filter on either alone opens under half of the files."""
+    lake = new_lake(spark, "curve")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    stored = lake.write_on_curve(lines, lake.gold("r1", "lines"), ["l_partkey", "l_suppkey"], files=16)
+    middle = lines.agg(F.expr("percentile_disc(0.5) within group (order by l_partkey) as part"), F.expr("percentile_disc(0.5) within group (order by l_suppkey) as supp")).first()
+    files = curve.spans(stored, ["l_partkey", "l_suppkey"])
+    out = None
+    for name, column, value in (("part", "l_partkey", middle["part"]), ("supplier", "l_suppkey", middle["supp"])):
+        opened = F.count_if((F.col(f"lo_{column}") <= value) & (F.col(f"hi_{column}") >= value)) * 2 < F.count(F.lit(1))
+        found = stored.where(F.col(column) == value).agg(F.count(F.lit(1)).alias("rows"), F.sum("l_linenumber").cast("long").alias("lines"))
+        row = found.select(F.lit(name).alias("filtered"), "rows", "lines", files.agg(opened.alias("skips")).scalar().alias("skips"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+PROFILED = ["l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"]
+
+
+@query(
+    "profile_range",
+    " union all ".join(
+        f"""
+        select '{c}' as "column", count(*) as rows, count(*) filter ({c} is null) as nulls,
+               {f"cast(min({c}) as double)" if n else "cast(null as double)"} as lowest,
+               {f"cast(max({c}) as double)" if n else "cast(null as double)"} as highest,
+               true as distinct_ok, true as quantiles_ok, true as frequent_ok
+        from lineitem where cast(l_shipdate as date) between date '1995-01-01' and date '1996-06-30'
+        """
+        for c, n in (("l_partkey", True), ("l_quantity", True), ("l_extendedprice", True), ("l_returnflag", False))
+    ),
+)
+def profile_range(spark, sf_dir):
+    """A year and a half of lines profiled from stored sketches, a row a column and day, and held against the lines themselves."""
+    lake = new_lake(spark, "profiles")
+    lines = table(spark, sf_dir, "lineitem")
+    stored = lake.write_model(profiles.daily_profile(lines, "l_shipdate", PROFILED), lake.silver("profiles"))
+    merged = profiles.merged_profile(stored, "1995-01-01", "1996-06-30")
+    inside = lines.where(F.to_date("l_shipdate").between("1995-01-01", "1996-06-30"))
+    return profiles.within_bounds(merged, inside)
 
 
 @query(

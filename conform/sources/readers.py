@@ -39,6 +39,11 @@ def read_csv(
     return reader.csv(path)
 
 
+def csv_header(spark: SparkSession, path: str | list[str]) -> T.StructType:
+    """The columns that the files' header names, as text; the contract of a feed is held against it before a row is read."""
+    return spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).csv(path).schema
+
+
 def read_json_array(
     spark: SparkSession, path: str | list[str], schema: T.StructType | str
 ) -> DataFrame:

@@ -133,3 +133,30 @@ def test_auto_lookup_salts_what_is_too_large_to_broadcast(spark, skewed, monkeyp
         assert salted.exceptAll(plain).count() == 0 and salted.count() == plain.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("size", ["auto", "salted"])
+def test_a_doubled_dimension_key_fails_instead_of_multiplying(spark, size):
+    fact = spark.createDataFrame([(1,), (2,), (None,)], "k long")
+    dim = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "x"), (None, "y")], "id long, v string")
+    with pytest.raises(Exception, match="repeated key of a dimension"):
+        joins.lookup(fact, dim, {"k": "id"}, {"v": "v"}, size=size).collect()
+    once = dim.where("v <> 'c' or v is null")
+    got = sorted(((r["k"], r["v"]) for r in joins.lookup(fact, once, {"k": "id"}, {"v": "v"}, size=size).collect()), key=repr)
+    assert got == sorted([(1, "a"), (2, "b"), (None, None)], key=repr)
+
+
+def test_a_reduced_fact_keeps_all_hits_and_few_others(spark):
+    fact = spark.range(50_000).select((F.col("id") % 10_000).alias("k"), "id")
+    dim = spark.range(10_000).where("id % 50 = 0").select(F.col("id").alias("key"))
+    few = joins.reduced(fact, dim, {"k": "key"})
+    assert few.where("k % 50 = 0").count() == 1_000
+    assert few.count() < 1_000 + 49_000 / 8
+    assert "Exchange" not in few._jdf.queryExecution().executedPlan().toString()
+    assert joins.reduced(fact, dim.limit(0), {"k": "key"}).count() == 0
+
+
+def test_a_large_dimension_reduces_nothing(spark, monkeypatch):
+    monkeypatch.setattr(joins, "MOST_BITS", 1 << 10)
+    fact, dim = spark.range(2_000).withColumnRenamed("id", "k"), spark.range(1_000).withColumnRenamed("id", "key")
+    assert joins.reduced(fact, dim, {"k": "key"}).count() == 2_000
