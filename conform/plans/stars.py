@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conform.functions import text
 from conform.functions.keys import surrogate_key
-from conform.operators import history, joins, match, reconcile, star
+from conform.operators import history, joins, match, reconcile, star, trace_index
 from conform.operators.match import Seed
 from conform.operators.reshape import dedupe_latest
 from conform.operators.star import Lookup, Members
@@ -394,6 +394,35 @@ def trace_back(spark, sf_dir):
     )
 
 
+@query(
+    "trace_indexed",
+    f"""
+    with fact as ({LINE_FACT_SQL}),
+    top as (select line_sk, l_quantity from fact where l_quantity = 50 and l_extendedprice > 100000)
+    select t.line_sk, t.l_quantity, l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
+           o.o_custkey, o.o_orderstatus
+    from top t
+    left join lineitem l
+        on {key_sql('l.l_orderkey', 'l.l_linenumber', 'l.l_partkey', 'l.l_suppkey')} = t.line_sk
+    left join orders o on o.o_orderkey = l.l_orderkey
+    """,
+)
+def trace_indexed(spark, sf_dir):
+    """The same trace over stored layers laid out by order: an index names the files that hold the keys of a hop."""
+    from conform.plans.storage import new_lake
+
+    lake = new_lake(spark, "traced")
+    start = line_fact(spark, sf_dir).where("l_quantity = 50 and l_extendedprice > 100000").select("line_sk", "l_quantity")
+    layers = [
+        trace_index.IndexedLayer("lineitem", lake.silver("lineitem"), surrogate_key(*GRAIN), "line_sk", GRAIN),
+        trace_index.IndexedLayer("orders", lake.silver("orders"), F.col("o_orderkey"), "l_orderkey", ["o_custkey", "o_orderstatus"]),
+    ]
+    for layer, cluster in zip(layers, ("l_orderkey", "o_orderkey"), strict=True):
+        lake.write_clustered(table(spark, sf_dir, layer.name), layer.path, [cluster], files=16)
+        trace_index.write_index(spark, layer)
+    return trace_index.trace_indexed(start, layers)
+
+
 @query(
     "trace_back_fanout",
     """
