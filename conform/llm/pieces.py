@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conform.llm.common import by_bucket, pack_words, partitions, read, squeeze, stored, tidied, unpack_words, unsqueeze
+from conform.llm.common import by_bucket, give_back, pack_words, partitions, read, squeeze, stored, texts_of, tidied, unpack_words, unsqueeze
 
 BLOCK_BYTES = 4 << 20
 #: Words of more characters are merged one by one, as their lattice does not fit a 64-bit mask.
@@ -156,17 +156,16 @@ class Block:
         self.hashes.append(zlib.crc32(text.encode("utf-8", "surrogatepass")))
         self.size += len(text)
 
-    def vocabulary(self) -> tuple[list[list[int]], np.ndarray, list[tuple[int, bytes]], int]:
-        """Words of each chunk, their places in bucket order, the packed buckets, and a check sum."""
+    def vocabulary(self) -> tuple[list[list[int]], np.ndarray, list[tuple[int, list[str]]], int]:
+        """Words of each chunk, their places in bucket order, the buckets' words, and a check sum."""
         known: dict[str, int] = {}
         chunks = [*(" " + c for c in self.spaced), *self.other]
         words = [[known.setdefault(w, len(known)) for w in self.cut(c)] for c in chunks]
         place, parts = by_bucket(list(known), self.buckets)
-        packed = [(b, pack_words(w)) for b, w in parts]
         check = 0
-        for _, p in packed:
-            check = zlib.crc32(p, check)
-        return words, place, packed, check
+        for _, w in parts:
+            check = zlib.crc32("\0".join(w).encode("utf-8", "surrogatepass"), check)
+        return words, place, parts, check
 
     def numbers(self, words: list[list[int]], place: np.ndarray) -> tuple[bytes, bytes]:
         """Words per document, and the place of each word."""
@@ -203,10 +202,10 @@ def _blocks(docs: DataFrame, pieces: Pieces, buckets: int, block_bytes: int, wha
             import xxhash
 
             # The key says what the vocabulary is: a block that is cut differently finds no words.
-            words, place, packed, check = block.vocabulary()
+            words, place, parts, check = block.vocabulary()
             key = xxhash.xxh3_64_intdigest(f"{base + n}:{check}") >> 1
             if what == "vocabulary":
-                return pa.RecordBatch.from_pylist([{"block": key, "bucket": b, "words": w} for b, w in packed], schema)
+                return pa.RecordBatch.from_pylist([{"block": key, "bucket": b, "words": pack_words(w)} for b, w in parts], schema)
             lengths, numbers = block.numbers(words, place)
             return pa.RecordBatch.from_pylist(
                 [{"block": key, "ids": block.ids, "lengths": lengths, "hashes": block.hashes, "numbers": numbers}], schema
@@ -214,11 +213,11 @@ def _blocks(docs: DataFrame, pieces: Pieces, buckets: int, block_bytes: int, wha
 
         block = Block(pattern, prefix, buckets)
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if block.ids and block.size + len(text or "") > block_bytes:
+            for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
+                if block.ids and block.size + len(text) > block_bytes:
                     yield rows(block)
                     n, block = n + 1, Block(pattern, prefix, buckets)
-                block.add(doc_id, text or "")
+                block.add(doc_id, text)
         if block.ids:
             yield rows(block)
 
@@ -276,10 +275,10 @@ def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
             s, e, score, owner = s[order], e[order], score[order], owner[order]
             offsets = np.searchsorted(owner, np.arange(len(heads) + 1)).astype(np.int32)
             one = np.int64(1)
-            ends, inner = (one << s) | (one << e), (one << e) - (one << (s + 1))
-            parts = pa.StructArray.from_arrays(
-                [pa.array(ends), pa.array(inner if bpe else e), pa.array(s.astype(np.int32)), pa.array(score)], ["ends", "inner", "start", "score"]
-            )
+            if bpe:
+                parts = pa.array((one << s) | (one << e))
+            else:
+                parts = pa.StructArray.from_arrays([pa.array(e), pa.array(s.astype(np.int32)), pa.array(score)], ["end", "start", "score"])
             words = [table.column(c).take(pa.array(heads)).combine_chunks() for c in ("word", "refs")]
             return pa.RecordBatch.from_arrays([*words, pa.ListArray.from_arrays(pa.array(offsets), parts)], ["word", "refs", "edges"])
 
@@ -295,19 +294,29 @@ def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
         if kept:
             yield out(pa.Table.from_batches(kept))
 
-    grouped = edges.mapInArrow(tidied(group), "word string, refs binary, edges array<struct<ends:long,inner:long,start:int,score:double>>")
+    edge = "long" if bpe else "struct<end:long,start:int,score:double>"
+    grouped = edges.mapInArrow(tidied(group), f"word string, refs binary, edges array<{edge}>")
     full = F.lit(1).cast("long")
     all_bits = F.call_function("shiftleft", full, F.length("word")) - 1 + F.call_function("shiftleft", full, F.length("word"))
 
     if bpe:
+        # An edge is the two bits of its ends. It fits if both are there and one boundary lies between them. A boundary that
+        # has gone does not come back, so edges that end at it leave the list.
+        low = lambda x: x.bitwiseAND(-x)
+        inner = lambda x: x - low(x) * 3  # noqa: E731  of the bits s and e: those from s + 1 to e - 1
+
         def step(state: Column, _: Column) -> Column:
-            fits = lambda x: (state["mask"].bitwiseAND(x["ends"]) == x["ends"]) & (F.bit_count(state["mask"].bitwiseAND(x["inner"])) == 1)
-            gone = F.coalesce(F.get(F.filter("edges", fits), F.lit(0))["inner"], F.lit(0).cast("long"))
-            return F.when(state["mask"] == state["before"], state).otherwise(
-                F.struct(state["mask"].bitwiseAND(F.bitwise_not(gone)).alias("mask"), state["mask"].alias("before"))
-            )
+            def merged(left: Column) -> Column:
+                first = F.get(F.filter(left, lambda x: F.bit_count(state["mask"].bitwiseAND(inner(x))) == 1), F.lit(0))
+                gone = F.coalesce(inner(first), F.lit(0).cast("long"))
+                return F.struct(
+                    state["mask"].bitwiseAND(F.bitwise_not(gone)).alias("mask"), state["mask"].alias("before"), left.alias("left")
+                )
+
+            alive = F.filter(state["left"], lambda x: state["mask"].bitwiseAND(x) == x)
+            return F.when(state["mask"] == state["before"], state).otherwise(F.get(F.transform(F.array(alive), merged), F.lit(0)))
 
-        start = F.struct(all_bits.alias("mask"), F.lit(0).cast("long").alias("before"))
+        start = F.struct(all_bits.alias("mask"), F.lit(0).cast("long").alias("before"), F.col("edges").alias("left"))
         folded = F.aggregate(F.sequence(F.lit(1), F.greatest(F.length("word"), F.lit(1))), start, step, lambda s: s["mask"])
     else:
         # State: best score of each end so far and the boundaries on its best path; ends come in order.
@@ -317,7 +326,7 @@ def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
                 F.element_at(state["best"], e)["mask"].bitwiseOR(F.call_function("shiftleft", full, e)).alias("mask"),
             )
             coming = F.transform(
-                F.filter("edges", lambda x: x["inner"] == e),
+                F.filter("edges", lambda x: x["end"] == e),
                 lambda x: F.struct(
                     (F.element_at(state["best"], x["start"] + 1)["score"] + x["score"]).alias("score"),
                     F.element_at(state["best"], x["start"] + 1)["mask"].bitwiseOR(F.call_function("shiftleft", full, e)).alias("mask"),
@@ -331,7 +340,7 @@ def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
 
 
 def encode(
-    docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES
+    docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, decoded: bool = False
 ) -> DataFrame:
     """The piece ids of every whole text, as the SentencePiece library gives them without begin or end pieces.
 
@@ -342,7 +351,7 @@ def encode(
     2. The encoded words go back to their blocks, where each document's words are replaced by their ids.
 
     Characters that no piece holds become their byte pieces (the unknown piece, if the model has none). Returns id, ``ids`` (array) and ``text_hash``
-    (CRC-32 of the text as it can be decoded) for every row; a null text is an empty one and has no ids; null and repeated ids stay as they are. ``docs``
+    (CRC-32 of the text as it can be decoded) for every row, with ``decoded`` also ``decoded_hash``, that of the text that the ids decode to; a null text is an empty one and has no ids; null and repeated ids stay as they are. ``docs``
     is read twice and must give the same rows in the same order both times, as a stored table does; otherwise
     the blocks do not find their words and the job fails. Other columns are ignored; no rows give no rows.
     """
@@ -423,8 +432,11 @@ def encode(
 
     spelt = lattice(words, pieces).mapInArrow(tidied(spell), "block long, bucket int, places binary, widths binary, pieces binary")
 
+    fields = [("id", pa.int64()), ("ids", pa.list_(pa.int32())), ("text_hash", pa.int64()), *([("decoded_hash", pa.int64())] if decoded else [])]
+    spelling = _spelling(pieces) if decoded else None
+
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        schema = pa.schema([("id", pa.int64()), ("ids", pa.list_(pa.int32())), ("text_hash", pa.int64())])
+        schema = pa.schema(fields)
         buckets_, n = right.column("bucket").to_numpy(), right.num_rows
         places, widths, found = (
             [unsqueeze(x).astype(np.int64) for x in right.column(c).to_pylist()] for c in ("places", "widths", "pieces")
@@ -443,13 +455,32 @@ def encode(
             ends = np.cumsum(w)
             take = np.repeat(starts[numbers] - (ends - w), w) + np.arange(ends[-1] if len(ends) else 0)
             upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(lengths)])]
-            ids = pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(flat[take].astype(np.int32)))
-            tables.append(pa.table([pa.array(row["ids"], pa.int64()), ids, pa.array(row["hashes"], pa.int64())], schema=schema))
+            found = flat[take].astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(found))
+            columns = [pa.array(row["ids"], pa.int64()), ids, pa.array(row["hashes"], pa.int64())]
+            if decoded:
+                texts = (_decoded(found[a:b].tolist(), *spelling) for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True))
+                columns.append(pa.array([zlib.crc32(t.encode("utf-8")) for t in texts], pa.int64()))
+            tables.append(pa.table(columns, schema=schema))
+        give_back()
         return pa.concat_tables(tables) if tables else schema.empty_table()
 
     numbers = _blocks(given, pieces, buckets, block_bytes, "numbers")
-    encoded = numbers.groupBy("block").cogroup(spelt.groupBy("block")).applyInArrow(assemble, "id long, ids array<int>, text_hash long")
-    return encoded.select(F.col("id").alias(id_col), "ids", "text_hash")
+    types = "id long, ids array<int>, text_hash long" + (", decoded_hash long" if decoded else "")
+    encoded = numbers.groupBy("block").cogroup(spelt.groupBy("block")).applyInArrow(assemble, types)
+    return encoded.select(F.col("id").alias(id_col), *encoded.columns[1:])
+
+
+def _spelling(pieces: Pieces) -> tuple[list[bytes], bool]:
+    """Bytes of every id, and whether a leading blank is the model's own."""
+    spelt = {i: p.encode("utf-8") for p, i in pieces.ids.items()} | {i: bytes([b]) for b, i in enumerate(pieces.byte_ids)}
+    return [spelt.get(i, b"") for i in range(max(spelt, default=-1) + 1)], pieces.prefix
+
+
+def _decoded(ids: list[int], names: list[bytes], prefix: bool) -> str:
+    most = len(names)
+    text = b"".join([names[i] for i in ids if 0 <= i < most]).decode("utf-8", "replace")
+    return text[1:] if prefix and text.startswith(" ") else text
 
 
 def decode(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids", out_col: str = "text") -> DataFrame:
@@ -457,20 +488,14 @@ def decode(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids", out_col: st
 
     Null ids give a null text. An id outside the table gives nothing; bytes that are no UTF-8 give replacement characters.
     """
-    spelt = {i: p.encode("utf-8") for p, i in pieces.ids.items()} | {i: bytes([b]) for b, i in enumerate(pieces.byte_ids)}
-    most = max(spelt, default=-1) + 1
-    names, prefix = [spelt.get(i, b"") for i in range(most)], pieces.prefix
+    names, prefix = _spelling(pieces)
     columns = [c for c in encoded.columns if c != out_col]
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
             for ids in batch.column(ids_col):
-                if not ids.is_valid:
-                    texts.append(None)
-                    continue
-                text = b"".join([names[i] for i in ids.values.to_pylist() if 0 <= i < most]).decode("utf-8", "replace")
-                texts.append(text[1:] if prefix and text.startswith(" ") else text)
+                texts.append(_decoded(ids.values.to_pylist(), names, prefix) if ids.is_valid else None)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*columns, out_col])
 
     kept = encoded.select(columns)
@@ -480,9 +505,8 @@ def decode(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids", out_col: st
 
 def encoded_documents(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, n_pieces, ids, and whether the ids decode to the text."""
-    pieces = load(model)
-    whole = decode(encode(docs, pieces), pieces)
-    return whole.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", (F.crc32(F.col("text").cast("binary")) == F.col("text_hash")).alias("round_trip"))
+    whole = encode(docs, load(model), decoded=True)
+    return whole.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", (F.col("decoded_hash") == F.col("text_hash")).alias("round_trip"))
 
 
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
