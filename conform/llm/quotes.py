@@ -56,6 +56,9 @@ def link_quotes(
     words are not linked. Rows with a null id are kept and link to nothing, and nothing links to them. Each row that
     repeats an id is answered by its own text. Empty input gives no rows. Columns that clash in name are not used.
     """
+    clash = {c.lower() for c in keep} & {c.lower() for c in (*scope, id_col, "clean", "n_quotes", "n_linked", "reply_to")}
+    if clash:
+        raise ValueError(f"columns to keep that the result has itself: {sorted(clash)}")
     order = F.col(order_col or id_col)
     keyed = messages.select(
         *[F.col(c).alias(f"s{i}") for i, c in enumerate(scope)],
@@ -147,37 +150,79 @@ def link_quotes(
     )
 
 
+def _same(scopes: list[str], left: str, right: str) -> list:
+    """Join condition: ``a``'s column ``left`` names ``b``'s column ``right``, in one scope."""
+    return [F.col(f"a.{left}") == F.col(f"b.{right}"), *[F.col(f"a.{s}").eqNullSafe(F.col(f"b.{s}")) for s in scopes]]
+
+
+def _followed(nodes: DataFrame, scopes: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``nodes`` (scope, id, up) with the end of their pointers as ``up`` and the ``steps`` to it, and those whose pointers have no end.
+
+    Pointers are doubled; after as many steps as there are nodes, what still moves goes round a cycle.
+    """
+    state = nodes.withColumn("steps", F.when(F.col("up").isNull(), 0).otherwise(1).cast("long"))
+    ended, moving = state.where("up is null"), state.where("up is not null")
+    reach, most = 1, nodes.count()
+    while reach <= 2 * most and not moving.isEmpty():
+        hopped = stored(
+            moving.alias("a").join(moving.unionByName(ended).alias("b"), _same(scopes, "up", "id"), "left").select(
+                *[f"a.{s}" for s in scopes], "a.id",
+                F.coalesce("b.up", "a.up").alias("up"),
+                (F.col("a.steps") + F.when(F.col("b.up").isNotNull(), F.col("b.steps")).otherwise(0)).alias("steps"),
+                F.col("b.up").isNotNull().alias("moved"),
+            ),
+            "quotes-pointers",
+        )
+        ended = ended.unionByName(hopped.where("not moved").drop("moved"))
+        moving = hopped.where("moved").drop("moved")
+        reach *= 2
+    return ended, moving
+
+
+def _broken(nodes: DataFrame, circling: DataFrame, scopes: list[str]) -> DataFrame:
+    """The nodes on or behind a cycle, the smallest id of each cycle without its pointer."""
+    ids = circling.select(*scopes, "id")
+    own = stored(nodes.alias("a").join(ids.alias("b"), _same(scopes, "id", "id"), "left_semi"), "quotes-circling")
+    state, reach, most = own.withColumn("low", F.least("id", "up")), 1, own.count()
+    while reach <= 2 * most:  # ``low``: the smallest id on the way
+        state = stored(
+            state.alias("a").join(state.alias("b"), _same(scopes, "up", "id")).select(
+                *[f"a.{s}" for s in scopes], "a.id", F.col("b.up").alias("up"), F.least("a.low", "b.low").alias("low")
+            ),
+            "quotes-circling",
+        )
+        reach *= 2
+    # ``up`` has long been on the cycle, and its own way is the whole cycle.
+    first = state.alias("a").join(state.alias("b"), _same(scopes, "up", "id")).where(F.col("a.id") == F.col("b.low")).select(*[f"a.{s}" for s in scopes], "a.id")
+    first = first.withColumn("first", F.lit(True))
+    return stored(
+        own.alias("a").join(first.alias("b"), _same(scopes, "id", "id"), "left")
+        .select(*[f"a.{s}" for s in scopes], "a.id", F.when(F.col("b.first").isNull(), F.col("a.up")).alias("up")),
+        "quotes-broken",
+    )
+
+
 def reply_order(linked: DataFrame, id_col: str, scope: tuple[str, ...] = ()) -> DataFrame:
     """``linked`` with ``root`` (first message of the conversation), ``depth`` (replies below it) and ``position``.
 
     Pointers to the answered message are doubled until each ends at a root, so the number of rounds is the logarithm of the
     deepest conversation; a message that has reached its root takes no part in later rounds. ``position`` counts from 0 by depth, then id, then text, within a root. A message that answers
     nothing is its own root. Rows that repeat an id are one message, which answers the latest that any of them does; each row
-    has a position of its own. All rows stay; root and depth are null where the id is.
+    has a position of its own. Messages that answer each other in a circle, as they can by times of their own, are cut before the one with the smallest id, which
+    becomes the root. All rows stay; root and depth are null where the id is. Columns that are named like the new ones are replaced.
     """
+    linked = linked.drop("root", "depth", "position")
     names = {c: f"s{i}" for i, c in enumerate(scope)}
     nodes = (
         linked.where(F.col(id_col).isNotNull())
         .select(*[F.col(c).alias(s) for c, s in names.items()], F.col(id_col).alias("id"), F.col("reply_to").alias("up"))
         .groupBy(*names.values(), "id").agg(F.max("up").alias("up"))
-        .withColumn("steps", F.when(F.col("up").isNull(), 0).otherwise(1))
     )
-    moving = stored(nodes, "quotes-pointers")
-    ended = moving.where("up is null")
-    moving = moving.where("up is not null")
-    while not moving.isEmpty():
-        on = [F.col("a.up") == F.col("b.id"), *[F.col(f"a.{s}").eqNullSafe(F.col(f"b.{s}")) for s in names.values()]]
-        hopped = stored(
-            moving.alias("a").join(moving.unionByName(ended).alias("b"), on, "left").select(
-                *[f"a.{s}" for s in names.values()], "a.id",
-                F.coalesce("b.up", "a.up").alias("up"),
-                (F.col("a.steps") + F.when(F.col("b.up").isNotNull(), F.col("b.steps")).otherwise(0)).alias("steps"),
-                F.col("b.up").isNotNull().alias("moved"),
-            ),
-            "quotes-pointers",
-        )
-        ended = ended.unionByName(hopped.where("not moved").drop("moved"))
-        moving = hopped.where("moved").drop("moved")
+    nodes = stored(nodes, "quotes-pointers")
+    ended, circling = _followed(nodes, [*names.values()])
+    if not circling.isEmpty():
+        more, _ = _followed(_broken(nodes, circling, [*names.values()]), [*names.values()])
+        ended = ended.unionByName(more)
     nodes = ended
     ends = nodes.select(
         *[F.col(s).alias(f"_{s}") for s in names.values()], F.col("id").alias("_id"), F.coalesce("up", "id").alias("root"), F.col("steps").alias("depth")

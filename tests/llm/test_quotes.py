@@ -96,3 +96,75 @@ def test_lines_link_to_the_latest_before(spark):
 def test_no_rows(mail):
     none = quotes.link_quotes(mail.limit(0), "msg", scope=("thread",))
     assert quotes.reply_order(none, "msg", ("thread",)).collect() == []
+
+
+def brute_links(rows):
+    """Every quoted passage against every earlier message."""
+    out = {}
+    for thread, msg, at, text in rows:
+        earlier = sorted((a, m, t) for h, m, a, t in rows if h == thread and a < at)
+        own = [(a, m, [p for level, p in quotes.passages(t) if level == 0]) for a, m, t in earlier]
+
+        def latest(key, lines, own=own):
+            hits = [(a, m) for a, m, said in own
+                    if key in ({quotes.normalised(x) for x in "\n".join(said).split("\n")} if lines else {quotes.normalised(x) for x in ("\n".join(said), *said)})]
+            return max(hits, default=None)
+
+        found, n = [], 0
+        for level, p in quotes.passages(text):
+            if level and quotes.normalised(p):
+                n += 1
+                o = latest(quotes.normalised(p), False)
+                if o is None:
+                    o = max((x for x in (latest(quotes.normalised(line), True) for line in p.split("\n") if quotes.normalised(line)) if x), default=None)
+                found.append((level, o))
+        linked = [(-level, *o) for level, o in found if o]
+        out[thread, msg] = (n, len(linked), max(linked)[2] if linked else None)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_links_and_order_equal_a_quadratic_version(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+    rows = []
+    for thread in "abc":
+        n = 60 if thread == "a" else 15
+        for i in range(n):
+            said = [rng.choice(["one", "two", "three four", f"own {rng.randrange(8)}"]) for _ in range(rng.randint(1, 3))]
+            lines = []
+            for _ in range(rng.randint(0, 3)):
+                source = [t for h, _, _, t in rows if h == thread] or ["nothing"]
+                level = rng.randint(1, 3)
+                lines += [">" * level + " " + x for x in rng.choice(rng.choice(source).split("\n")).split("\n")]
+                lines += [rng.choice(said)] if rng.random() < 0.5 else []
+            rows.append((thread, i, i if rng.random() < 0.8 else max(0, i - 1), "\n".join([*lines, *said])))
+    df = spark.createDataFrame(rows, "thread string, msg long, at long, text string").repartition(4)
+    linked = quotes.link_quotes(df, "msg", scope=("thread",), order_col="at")
+    want = brute_links(rows)
+    assert {(r["thread"], r["msg"]): (r["n_quotes"], r["n_linked"], r["reply_to"]) for r in linked.collect()} == want
+    got = {(r["thread"], r["msg"]): (r["root"], r["depth"]) for r in quotes.reply_order(linked, "msg", ("thread",)).collect()}
+    for (thread, msg), (*_, up) in want.items():
+        root, depth = msg, 0
+        while want[thread, root][2] is not None:
+            root, depth = want[thread, root][2], depth + 1
+        assert got[thread, msg] == (root, depth)
+
+
+def test_cycles_end(spark):
+    pointers = {1: 2, 2: 3, 3: 1, 4: 2, 5: 4, 6: None, 7: 6, 9: 9, 20: 21, 21: 20}
+    rows = [("t", i, up, f"m{i}", "old", 0) for i, up in pointers.items()]
+    df = spark.createDataFrame(rows, "thread string, msg long, reply_to long, clean string, root string, depth int")
+    out = quotes.reply_order(df, "msg", ("thread",))
+    got = {r["msg"]: (r["root"], r["depth"]) for r in out.collect()}
+    assert got == {1: (1, 0), 3: (1, 1), 2: (1, 2), 4: (1, 3), 5: (1, 4), 6: (6, 0), 7: (6, 1), 9: (9, 0), 20: (20, 0), 21: (20, 1)}
+
+
+def test_messages_that_quote_each_other(spark):
+    rows = [(1, 0, "alpha"), (2, 3, "> alpha\nbeta"), (1, 5, "> beta\ngamma")]
+    df = spark.createDataFrame(rows, "msg long, at long, text string")
+    linked = quotes.link_quotes(df, "msg", order_col="at")
+    assert {(r["msg"], r["root"]) for r in quotes.reply_order(linked, "msg").collect()} == {(1, 1), (2, 1)}
+    with pytest.raises(ValueError, match="clean"):
+        quotes.link_quotes(df, "msg", keep=("clean",))
