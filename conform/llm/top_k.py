@@ -9,35 +9,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from conform.llm.common import read
+from conform.llm.common import read, stored, tidied
+from conform.llm.hard_negatives import HIGH, LARGEST, LOW, integers, products
+from conform.session import scratch_dir
 
 #: Elements of one block of scores (queries x vectors) in a task.
 BLOCK = 1 << 21
 
 
-def _integers(column: pa.Array, dim: int, scale: float) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return np.floor(scale * flat.reshape(-1, dim)).astype(np.int64)
-
-
-def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a @ b.T in exact integers: as doubles where every partial sum fits 53 bits."""
-    most = lambda x: int(np.abs(x).max(initial=0))
-    if most(a) * most(b) * max(1, a.shape[1]) < 1 << 53:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
-
-
 def _blocks(batches: Iterator[pa.RecordBatch], dim: int, scale: float, n_queries: int):
     rows = max(1, BLOCK // max(1, n_queries))
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             part = batch.slice(start, rows)
-            yield part.column(0).to_numpy(zero_copy_only=False), _integers(part.column(1), dim, scale)
+            yield part.column(0).to_numpy(zero_copy_only=False), integers(part.column(1), dim, scale)
+
+
+# LOW is the score of an empty place of a list, and of a query's own row: below every score.
 
 
-#: Score of an empty place of a list, and of a query's own row: below every score.
-LOW = np.iinfo(np.int64).min
+def _total(scores: list[np.ndarray]) -> np.ndarray:
+    """The sum of the slices' scores, as the nearest long where it does not fit one; each slice's own already is."""
+    total = scores[0]
+    for s in scores[1:]:
+        over = (s > 0) & (total > HIGH - np.maximum(s, 0))
+        under = (s < 0) & (total < LOW - np.minimum(s, 0))
+        with np.errstate(over="ignore"):
+            total = np.where(over, HIGH, np.where(under, LOW, total + s))
+    return total
 
 
 def _highest(scores: np.ndarray, k: int) -> np.ndarray:
@@ -49,7 +48,7 @@ def _reaching(scores: list[np.ndarray], cutoff: np.ndarray) -> np.ndarray:
     """Which rows (queries x vectors) a slice sends and whose bound reaches the cutoff, given each slice's local scores."""
     share = cutoff // len(scores)  # never above cutoff / slices
     seen = [s >= share for s in scores]
-    bound = sum(np.where(there, s, share) for there, s in zip(seen, scores, strict=True))
+    bound = _total([np.where(there, s, share) for there, s in zip(seen, scores, strict=True)])
     return np.any(seen, axis=0) & (bound >= cutoff)
 
 
@@ -75,8 +74,9 @@ def top_k(
     3. those are bounded by what is known of them, and the survivors' scores are computed in
        full. Each task passes on its best ``k`` per query.
 
-    Vectors are never shuffled: a chunk of queries (``chunk`` rows) meets all vectors in a scan, and
-    the scans repeat for the next chunk. Returns query_id, rank from 1, vec_id and score; ties
+    Vectors are never shuffled: a chunk of queries (``chunk`` rows) meets all vectors in a scan, its answers are stored, and
+    the scans repeat for the next chunk; the plan does not grow with the chunks. A component beyond 2^62 counts as that, a
+    score beyond a long as the nearest long (of its slices' sums). Returns query_id, rank from 1, vec_id and score; ties
     go to the smaller id. Rows with a null id, a null or empty vector, or a null or non-finite
     component take no part; a vector meets those of its own length. A query never finds rows
     with its own id; repeated rows each take a rank; a query id that is repeated counts once, with
@@ -92,8 +92,8 @@ def top_k(
 
     spark = vectors.sparkSession
     base = usable(vectors).withColumn("dim", F.size("v"))
-    asked = usable(queries).groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
-    out = None
+    asked = stored(usable(queries).groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v")), "top-k-asked")
+    paths = []
     for dim in [r["dim"] for r in asked.select("dim").distinct().collect()]:
         own = base.where(F.col("dim") == dim).select("id", "v")
         ask = asked.where(F.col("dim") == dim).select("id", "v").orderBy("id")
@@ -104,21 +104,18 @@ def top_k(
                 break
             after = rows[-1]["id"]
             found = _chunk(own, [r["id"] for r in rows], np.array([r["v"] for r in rows]), dim, k, scale, nodes)
-            out = found if out is None else out.unionByName(found)
+            best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+            ranked = found.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k)
+            paths.append(scratch_dir(spark, "top-k"))
+            ranked.select("query_id", "rank", "vec_id", "score").write.parquet(paths[-1])
             if len(rows) < chunk:
                 break
-    if out is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (
-        out.withColumn("rank", F.row_number().over(best).cast("int"))
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    schema = "query_id long, rank int, vec_id long, score long"
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def _local(q: np.ndarray, v: np.ndarray, slices: list[slice]) -> list[np.ndarray]:
-    return [_products(q[:, s], v[:, s]) for s in slices]
+    return [products(q[:, s], v[:, s]) for s in slices]
 
 
 def _slices(dim: int, nodes: int) -> list[slice]:
@@ -138,7 +135,7 @@ def _cutoffs(own: DataFrame, query_ids: np.ndarray, q: np.ndarray, k: int, scale
         ]
         for vec_ids, v in _blocks(batches, dim, scale, len(q)):
             scores = _local(q, v, slices)
-            total, mine = sum(scores), query_ids[:, None] == vec_ids[None, :]
+            total, mine = _total(scores), query_ids[:, None] == vec_ids[None, :]
             for j, own_scores in enumerate(scores):
                 s = np.where(mine, LOW, own_scores)
                 top = _highest(s, k)
@@ -154,7 +151,7 @@ def _cutoffs(own: DataFrame, query_ids: np.ndarray, q: np.ndarray, k: int, scale
                 [pa.array(query_ids[row]), pa.array(i[row, col]), pa.array(t[row, col])], ["q", "id", "total"]
             )
 
-    lists = own.mapInArrow(gather, "q long, id long, total long").groupBy("q", "id").agg(F.max("total").alias("total"))
+    lists = own.mapInArrow(tidied(gather), "q long, id long, total long").groupBy("q", "id").agg(F.max("total").alias("total"))
     kth = Window.partitionBy("q").orderBy(F.desc("total"), "id")
     cutoffs = {
         r["q"]: r["total"]
@@ -166,7 +163,7 @@ def _cutoffs(own: DataFrame, query_ids: np.ndarray, q: np.ndarray, k: int, scale
 def _chunk(
     own: DataFrame, ids: list[int], asked: np.ndarray, dim: int, k: int, scale: float, nodes: int
 ) -> DataFrame:
-    query_ids, q = np.array(ids, dtype=np.int64), np.floor(scale * asked).astype(np.int64)
+    query_ids, q = np.array(ids, dtype=np.int64), np.clip(np.floor(scale * asked), -LARGEST, LARGEST)
     slices = _slices(dim, nodes)
     cutoff = _cutoffs(own, query_ids, q, k, scale, slices)
 
@@ -186,7 +183,7 @@ def _chunk(
         for vec_ids, v in _blocks(batches, dim, scale, len(q)):
             scores = _local(q, v, slices)
             row, col = np.nonzero(_reaching(scores, cutoff) & (query_ids[:, None] != vec_ids[None, :]))
-            full = sum(s[row, col] for s in scores)
+            full = _total([s[row, col] for s in scores])
             keep = full >= cutoff[row, 0]
             best.append((row[keep], vec_ids[col[keep]], full[keep]))
             held += int(keep.sum())
@@ -202,7 +199,7 @@ def _chunk(
                     ["query_id", "vec_id", "score"],
                 )
 
-    return own.mapInArrow(resolve, "query_id long, vec_id long, score long")
+    return own.mapInArrow(tidied(resolve), "query_id long, vec_id long, score long")
 
 
 SQL = """

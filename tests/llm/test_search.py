@@ -69,3 +69,28 @@ def test_cutoff_exists_and_thins_the_rows(spark, nodes):
 def test_empty_places_rank_last():
     s = np.array([[search.LOW, 5, search.LOW, 9, -7, 1]])
     assert sorted(s[0, search._highest(s, 3)[0]]) == [1, 5, 9]
+
+
+def test_large_components_do_not_overflow(spark):
+    rows = [(0, [1e9, 1.0]), (50, [1e9, -1e9]), (7, [2e8, 0.0]), (8, [-1e9, 5.0]), (9, [1e300, 1e300]), (100, [1e300, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    high, low = (1 << 63) - 1, -(1 << 63)
+    cut = lambda x: max(-(1 << 62), min(1 << 62, math.floor(256 * x)))
+    clip = lambda x: max(low, min(high, x))
+
+    def score(a, b):  # slice by slice, each a long
+        total = 0
+        for x, y in zip(a, b, strict=True):
+            total = clip(total + clip(cut(x) * cut(y)))
+        return total
+
+    got = {(r["query_id"], r["vec_id"]): r["score"] for r in top_k(df, df, k=5).collect()}
+    assert got == {(i, j): score(v, w) for i, v in rows for j, w in rows if i != j}
+
+
+def test_many_chunks_give_a_plan_of_one_scan(spark):
+    rng = np.random.default_rng(0)
+    df = spark.createDataFrame([(i, rng.normal(size=3).tolist()) for i in range(120)], "vec_id long, embedding array<double>")
+    got = top_k(df, df.where("vec_id < 30"), k=2, chunk=5)
+    assert got.count() == 60
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
