@@ -89,6 +89,44 @@ def test_nnpu_learns_from_positives_and_unlabelled():
     assert say(toxic(500)).mean() > 0.9 and say(clean(500)).mean() < 0.05
 
 
+@pytest.mark.parametrize("prior", [0.05, 1.5])  # the second term of the risk is above zero at the start, and below it
+def test_a_step_of_the_non_negative_risk_follows_its_gradient(prior):
+    rng = np.random.default_rng(4)
+    p, u = (rng.random((40, 6)) < 0.7).astype(float), (rng.random((90, 6)) < 0.3).astype(float)
+    rate = 1e-3
+    w = toxicity.fit_nnpu(p, u, prior, seed=3, epochs=1, batch=len(u), rate=rate, decay=0.0)
+    again = np.random.default_rng(3)
+    again.permutation(len(u))
+    xp, xu = (np.hstack([x, np.ones((len(x), 1))]) for x in (p, u))
+    xp = xp[again.integers(0, len(p), len(p))]
+    start = np.zeros(7)
+    start[-1] = -1.0
+    loss = lambda z: 1 / (1 + np.exp(z))
+    below = lambda v: loss(-(xu @ v)).mean() - prior * loss(-(xp @ v)).mean()
+    assert (below(start) < 0) == (prior > 1)
+    risk = (lambda v: -below(v)) if below(start) < 0 else (lambda v: prior * loss(xp @ v).mean() + below(v))
+    slope = np.array([(risk(start + h) - risk(start - h)) / 2e-5 for h in 1e-5 * np.eye(7)])
+    steep = np.abs(slope) > 1e-4
+    assert steep.sum() >= 4
+    assert np.array_equal(np.sign(start - w)[steep], np.sign(slope)[steep])
+    assert np.allclose(np.abs(start - w)[steep], rate, rtol=1e-3)  # the first step of the optimiser has this length
+
+
+def test_labels_of_odd_rows(spark):
+    """Null ids and labels, an id with both labels, repeated ids, null texts."""
+    docs = spark.createDataFrame(
+        [(i + 1000 * (i > 19), "fine words in a good text. " * 3) for i in range(220)] + [(100 + i, "BAD ### $$$ !!! " * 5) for i in range(20)]
+        + [(0, None), (0, "again fine words."), (None, "nobody"), (200, None)], "doc_id long, text string"
+    )
+    rows = [(i, 1, 0) for i in range(20)] + [(100 + i, 0, 1) for i in range(20)] + [(None, 1, 1), (200, None, None), (5, 0, 0), (7, 1, 1)]
+    labels = spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+    chain = quality.train(docs, labels)
+    assert chain.score("fine words in a good text.") > 0.7 > 0.3 > chain.score("BAD ### $$$ !!!")
+    assert quality.train(docs, labels, max_lines=3).score("x") >= 0
+    model = toxicity.train(docs, labels)
+    assert model.score("bad bad", {}) > model.score("fine words", {})
+
+
 def test_training_without_labels(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(20)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
