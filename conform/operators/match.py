@@ -29,6 +29,7 @@ from conform.session import stored
 
 TIERS = ("exact", "normalized", "fuzzy", "combination_unverified")
 UNMATCHED = "unmatched"
+MOST_INLINE = 5_000  # seed rows that a plan may hold as literals, and the driver with them
 INLINE_ROWS = 64  # tuning: seed rows up to which "auto" makes the match a plain projection
 GRAM = 3  # length of the text pieces that index the class hints
 REGEX_SIGN = r"[\\^$.|?*+()\[\]{}]"
@@ -56,15 +57,17 @@ def tiered_match(
     """``key.., code, name, klass, is_combination_product, match_confidence``, one row per input row.
 
     ``strategy="inline"`` writes the seed into the plan as literals: the match is a
-    projection, with no join and no shuffle; the plan grows with the seed. ``strategy="index"``
-    finds candidates by equi-join on shared text pieces. Both take any seed and give the same
+    projection, with no join and no shuffle; the plan grows with the seed, of at most ``MOST_INLINE`` rows. ``strategy="index"``
+    finds candidates by equi-join on shared text pieces, for any seed. Both give the same
     rows. ``"auto"`` reads at most ``INLINE_ROWS + 1`` seed rows to choose; reading the seed is the
     only action here.
     """
     if strategy not in ("auto", "inline", "index"):
         raise ValueError(f"strategy must be auto, inline or index, not {strategy!r}")
     flagged = df.withColumn("is_combination_product", text.is_combination(name))
-    rows = None if strategy == "index" else _seed_rows(seed, INLINE_ROWS + 1 if strategy == "auto" else None)
+    rows = None if strategy == "index" else _seed_rows(seed, (INLINE_ROWS if strategy == "auto" else MOST_INLINE) + 1)
+    if strategy == "inline" and len(rows) > MOST_INLINE:
+        raise ValueError(f"a seed of more than {MOST_INLINE} rows is matched by index")
     if rows is not None and (strategy == "inline" or len(rows) <= INLINE_ROWS):
         found = _inline_best(flagged, rows, name, klass, min_len)
     else:
@@ -99,7 +102,7 @@ def _best() -> Column:
 # --- small seed: literals -----------------------------------------------------------------
 
 
-def _seed_rows(seed: Seed, most: int | None) -> list[Row]:
+def _seed_rows(seed: Seed, most: int) -> list[Row]:
     rows = (
         seed.df.where(F.col(seed.code).isNotNull())
         .select(
@@ -110,7 +113,7 @@ def _seed_rows(seed: Seed, most: int | None) -> list[Row]:
             F.length(seed.example).alias("size"),
         )
     )
-    return (rows if most is None else rows.limit(most)).collect()
+    return rows.limit(most).collect()
 
 
 def _inline_best(

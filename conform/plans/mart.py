@@ -21,6 +21,7 @@ from conform.session import sized
 from conform.sources import readers
 from conform.sources.lake import Lake
 
+# fixed values: names, types and order of the feeds' columns
 _SALES_VALUES = (
     ", ".join(f"{code} double" for code in fixed.ATC_CODES)
     + ", Year bigint, Month bigint, Hour bigint, `Weekday Name` string"

@@ -217,3 +217,11 @@ def test_rows_per_text_follow_its_hits_not_its_length(spark):
     assert set(r["piece"] for r in keyed.collect()) & {"a", "b"} and pieces.where("piece not in ('a', 'b', 'q')").count() < 10
     assert pieces.groupBy("_c").count().agg(F.max("count")).first()[0] <= 3
     assert match.owned_pieces(texts, "_c", keyed.limit(0)).count() == 0
+
+
+def test_an_inline_seed_has_a_bound(spark, monkeypatch):
+    monkeypatch.setattr(match, "MOST_INLINE", 3)
+    seed = [(f"c{i}", None, f"name{i}") for i in range(4)]
+    with pytest.raises(ValueError, match="index"):
+        run(spark, [("p", "name1", None)], seed, "inline")
+    assert run(spark, [("p", "name1", None)], seed, "index") == run(spark, [("p", "name1", None)], seed, "auto")
