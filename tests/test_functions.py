@@ -102,3 +102,14 @@ def test_whole_word(spark):
     word = text.whole_word(F.col("a"), F.col("b"))
     assert one(spark, word, a="loratadine 10 mg", b="loratadine") is True
     assert one(spark, word, a="loratadinex", b="loratadine") is False
+
+
+def test_a_recursion_goes_as_deep_as_the_dates(spark):
+    from conform.plans.functions import months_with_orders
+
+    orders = spark.createDataFrame([(1, "1990-01-15"), (2, "2010-12-31"), (3, "2010-12-01")], "o_orderkey long, o_orderdate string")
+    orders = orders.selectExpr("o_orderkey", "cast(o_orderdate as timestamp) as o_orderdate")
+    got = {str(r["month_start"]): r["orders"] for r in months_with_orders(spark, orders).collect()}
+    assert len(got) == 252 and got["1990-01-01"] == 1 and got["2010-12-01"] == 2 and sum(got.values()) == 3
+    same = months_with_orders(spark, orders.where("o_orderkey = 1")).collect()
+    assert [r["orders"] for r in same] == [1]

@@ -141,3 +141,26 @@ def test_contract(spark, df, rows):
 def test_unknown_kind(df):
     with pytest.raises(ValueError, match="unknown"):
         q.run_checks(df, [q.Check("sounds_right", "id")])
+
+
+def test_stale_and_empty_sources_block(spark):
+    from conform.operators import quality
+
+    days = spark.createDataFrame([("2024-01-10 00:00:00",)], "ts string").selectExpr("cast(ts as timestamp) as ts")
+    report = quality.freshness({"new": (days, "ts"), "empty": (days.limit(0), "ts")})
+    severity = lambda moment: {
+        r["check"]: (r["severity"], r["passed"]) for r in quality.fresh_enough(report, moment, 1.5, 2.0).collect()
+    }
+    assert severity("2024-01-11 00:00:00") == {"freshness_new": ("error", True), "freshness_empty": ("error", False)}
+    assert severity("2024-01-11 18:00:00")["freshness_new"] == ("warn", False)
+    assert severity("2024-01-13 00:00:00")["freshness_new"] == ("error", False)
+    with pytest.raises(quality.QualityGateError, match="freshness_empty"):
+        quality.gate(quality.fresh_enough(report, "2024-01-11 00:00:00", 1.5, 2.0))
+
+
+def test_a_contract_on_names_alone(spark):
+    from conform.operators import quality
+
+    header = spark.createDataFrame([], "a string, c string")
+    got = {(r["column"], r["problem"]) for r in quality.contract_check(header, "a int, b int", types=False).collect()}
+    assert got == {("b", "missing"), ("c", "extra")}
