@@ -503,9 +503,9 @@ def decode(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids", out_col: st
     return kept.mapInArrow(join, f"{types}, `{out_col}` string")
 
 
-def encoded_documents(docs: DataFrame, model: str) -> DataFrame:
-    """doc_id, n_pieces, ids, and whether the ids decode to the text."""
-    whole = encode(docs, load(model), decoded=True)
+def encoded_documents(docs: DataFrame, model: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, n_pieces, ids, and whether the ids decode to the text. Smaller blocks take less memory and more shuffle, and give the same rows."""
+    whole = encode(docs, load(model), block_bytes=block_bytes, decoded=True)
     return whole.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", (F.col("decoded_hash") == F.col("text_hash")).alias("round_trip"))
 
 
