@@ -17,6 +17,9 @@ from conform.llm.common import bitmap, flagged, fresh, read, stored, without
 #: A document goes if its quality score is below this.
 KEEP_FROM = 0.5
 
+#: Text of one block of the encoder: half of its own default, as executors still hold memory of the stages before.
+BLOCK_BYTES = 2 << 20
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -70,7 +73,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_pieces, ids and whether the ids decode to the text, for every row; a null text is an empty one."""
     import public_tokenizers
 
-    return pieces.encoded_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.encoded_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), BLOCK_BYTES)
 
 
 STAGES: list[tuple[str, Stage]] = [
