@@ -1,8 +1,8 @@
 """Clustering on several columns at once: places on a curve that keeps rows near in every column.
 
 A value's rank among quantiles of its column, found by a sketch, replaces the value, so skewed and differently
-scaled columns weigh alike. The ranks' bits are interleaved; rows close on the curve are close in all
-columns, so row groups cut along it span a narrow range of each.
+scaled columns weigh alike. The ranks give a place on a Hilbert curve, which goes from cell to neighbouring cell; rows
+close on the curve are close in all columns, so row groups span a narrow range of each wherever they are cut.
 """
 
 from __future__ import annotations
@@ -58,14 +58,45 @@ def curve(ranks: Sequence[Column], bits: int = BITS) -> Column:
     return place
 
 
+def hilbert(ranks: Sequence[Column], bits: int = BITS) -> Column:
+    """An array of as many numbers as ``ranks``, whose interleaved bits, the last number's first, are the place on a Hilbert curve.
+
+    The curve jumps nowhere: a range of it that starts or ends beside a cell's edge goes on into a neighbouring cell. (Skilling's way:
+    from the highest bit, axes are swapped and mirrored to undo each cell's turn; then the Gray code is taken.)
+    """
+    n = len(ranks)
+    if n == 1:
+        return F.array(*ranks)
+    steps = F.array(*[F.struct(F.lit(1 << b).alias("bit"), F.lit(i).alias("axis")) for b in range(bits - 1, 0, -1) for i in range(n)])
+
+    def turn(x: Column, step: Column) -> Column:
+        lower, own, first = step["bit"] - 1, F.get(x, step["axis"]), F.get(x, F.lit(0))
+        mirrored = own.bitwiseAND(step["bit"]) != 0
+        swap = F.when(mirrored, F.lit(0)).otherwise(first.bitwiseXOR(own).bitwiseAND(lower))
+        at_first = F.when(mirrored, lower).otherwise(swap)
+        return F.transform(x, lambda v, i: v.bitwiseXOR(F.when(i == 0, at_first).when(i == step["axis"], swap).otherwise(F.lit(0))))
+
+    def gray(x: Column) -> Column:
+        coded = [F.get(x, F.lit(0))]
+        for i in range(1, n):
+            coded.append(coded[-1].bitwiseXOR(F.get(x, F.lit(i))))
+        last, flip = coded[-1], F.lit(0)
+        for b in range(1, bits):
+            flip = flip.bitwiseXOR(F.when(last.bitwiseAND(F.lit(1 << b)) != 0, F.lit((1 << b) - 1)).otherwise(F.lit(0)))
+        return F.transform(F.array(*reversed(coded)), lambda v: v.bitwiseXOR(flip))
+
+    return F.aggregate(steps, F.array(*ranks), turn, gray)
+
+
 def with_place(df: DataFrame, columns: Sequence[str], name: str, bits: int = BITS, cuts: Mapping[str, Sequence[float]] | None = None) -> DataFrame:
     """``df`` with the row's place on the curve through ``columns`` (as many as fit 63 bits)."""
     if not columns or len(columns) * bits > 63:
         raise ValueError(f"{len(columns)} columns of {bits} bits do not fit a place")
     cuts = cuts or cut_points(df, columns, bits)
     ranked = df.withColumns({f"{name}_{i}": rank(df, c, cuts[c]) for i, c in enumerate(columns)})
-    ranks = [F.col(f"{name}_{i}") for i in range(len(columns))]
-    return ranked.withColumn(name, curve(ranks, bits)).drop(*[f"{name}_{i}" for i in range(len(columns))])
+    turned = ranked.withColumn(f"{name}_", hilbert([F.col(f"{name}_{i}") for i in range(len(columns))], bits))
+    ranks = [F.get(F.col(f"{name}_"), F.lit(i)) for i in range(len(columns))]
+    return turned.withColumn(name, curve(ranks, bits)).drop(f"{name}_", *[f"{name}_{i}" for i in range(len(columns))])
 
 
 def spans(df: DataFrame, columns: Sequence[str]) -> DataFrame:

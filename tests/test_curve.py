@@ -61,6 +61,28 @@ def test_bits_are_interleaved(spark):
     assert row["c"] == 0b011011  # from the top: b2 a2, b1 a1, b0 a0
 
 
+def test_neighbours_on_the_curve_are_neighbouring_cells(spark):
+    for n, bits in ((1, 3), (2, 3), (3, 2)):
+        ranks = [F.floor(F.col("id") / (1 << i * bits)).cast("int") % (1 << bits) for i in range(n)]
+        cells = spark.range(1 << n * bits).select(*[r.alias(f"r{i}") for i, r in enumerate(ranks)])
+        turned = cells.withColumn("h", curve.hilbert([F.col(f"r{i}") for i in range(n)], bits))
+        walk = [tuple(r)[:n] for r in turned.withColumn("place", curve.curve([F.get("h", F.lit(i)) for i in range(n)], bits)).drop("h").sort("place").collect()]
+        assert len(set(walk)) == 1 << n * bits
+        assert all(sum(abs(x - y) for x, y in zip(a, b, strict=True)) == 1 for a, b in zip(walk, walk[1:]))
+
+
+@pytest.mark.parametrize("most", [48_000, 43_000, 45_000])
+def test_the_middle_opens_under_half_wherever_files_are_cut(spark, lake, most):
+    ids = spark.range(most).select((F.col("id") % 6_011).alias("id"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2_000)).alias("a"), F.pmod(F.xxhash64("id", F.lit(2)), F.lit(100)).alias("b"))
+    placed = curve.with_place(ids, ["a", "b"], "place").sort("place", "id").collect()
+    middle = {c: sorted(r[c] for r in placed)[len(placed) // 2] for c in ("a", "b")}
+    for shift in (0.2, 0.4, 0.6, 0.8):  # files that do not meet the cells of the curve
+        edges = [0, *[int(len(placed) * (i + shift) / 16) for i in range(15)], len(placed)]
+        files = [placed[a:b] for a, b in zip(edges, edges[1:])]
+        for c in ("a", "b"):
+            assert sum(min(r[c] for r in f) <= middle[c] <= max(r[c] for r in f) for f in files) * 2 < len(files)
+
+
 DAYS = ["2024-01-01", "2024-01-02", "2024-01-03", None]
 
 
