@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from conform.operators.joins import needs_salt, salted_join, same_types
 from conform.session import stored
 
+TASK_ROWS = 250_000  # that a task of the index's build groups and sorts
 FOLDERS = 256  # of an index, by the first bits of the hash; a lookup of few keys opens few of them
 
 
@@ -45,13 +46,16 @@ class IndexedLayer:
 def write_index(spark: SparkSession, layer: IndexedLayer) -> None:
     """Index a stored layer: one pass over the key's columns, one row per key and file.
 
-    Build it after the layer is written. The rows of a key in a file are one before the shuffle, and an index row is ranged by its
-    hash, so a key with a third of the rows costs a row a file.
+    Build it after the layer is written. The tasks grow in number with the layer's rows and not in size. Rows are dealt by key *and* file, so
+    a key with a third of the rows sends no task more than a file's rows of it; an index row is ranged by its hash, so such a key then costs a row a file.
     """
-    known = spark.read.parquet(layer.path).where(layer.key.isNotNull())
-    rows = known.select(_hash(layer.key).alias("h"), F.col("_metadata.file_path").alias("file"))
+    whole = spark.read.parquet(layer.path)
+    tasks = max(1, -(-whole.count() // TASK_ROWS))  # from the files' footers
+    known = whole.where(layer.key.isNotNull())
+    # Grouped behind the shuffle: before it, a task would hold all keys of its share of the files, which grows with them.
+    rows = known.select(_hash(layer.key).alias("h"), F.col("_metadata.file_path").alias("file")).repartition(tasks, "h", "file")
     once = rows.groupBy("h", "file").agg(F.count(F.lit(1)).alias("rows"))
-    ranged = once.withColumn("folder", _folder(F.col("h"))).repartitionByRange("folder", "h")
+    ranged = once.withColumn("folder", _folder(F.col("h"))).repartitionByRange(tasks, "folder", "h")
     ranged.sortWithinPartitions("folder", "h").write.mode("overwrite").partitionBy("folder").parquet(layer.index)
 
 

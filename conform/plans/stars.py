@@ -410,6 +410,7 @@ def trace_back(spark, sf_dir):
 def trace_indexed(spark, sf_dir):
     """The same trace over stored layers laid out by order: an index names the files that hold the keys of a hop."""
     from conform.plans.storage import new_lake
+    from conform.sources.lake import file_count
 
     lake = new_lake(spark, "traced")
     start = line_fact(spark, sf_dir).where("l_quantity = 50 and l_extendedprice > 100000").select("line_sk", "l_quantity")
@@ -418,7 +419,8 @@ def trace_indexed(spark, sf_dir):
         trace_index.IndexedLayer("orders", lake.silver("orders"), F.col("o_orderkey"), "l_orderkey", ["o_custkey", "o_orderstatus"]),
     ]
     for layer, cluster in zip(layers, ("l_orderkey", "o_orderkey"), strict=True):
-        lake.write_clustered(table(spark, sf_dir, layer.name), layer.path, [cluster], files=16)
+        rows = table(spark, sf_dir, layer.name)
+        lake.write_clustered(rows, layer.path, [cluster], files=file_count(rows, 16))
         trace_index.write_index(spark, layer)
     return trace_index.trace_indexed(start, layers)
 

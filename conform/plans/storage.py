@@ -13,7 +13,7 @@ from conform.plans import histories
 from conform.plans.registry import key_sql, query, table
 from conform.session import scratch_dir
 from conform.sources import readers
-from conform.sources.lake import Lake, PublishError
+from conform.sources.lake import Lake, PublishError, file_count
 
 
 def new_lake(spark, purpose):
@@ -370,7 +370,7 @@ def clustered_curve(spark, sf_dir):
     """Lines clustered by part and supplier alike: a filter on either alone opens under half of the files."""
     lake = new_lake(spark, "curve")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    stored = lake.write_on_curve(lines, lake.gold("r1", "lines"), ["l_partkey", "l_suppkey"], files=16)
+    stored = lake.write_on_curve(lines, lake.gold("r1", "lines"), ["l_partkey", "l_suppkey"], files=file_count(lines, 16))
     middle = lines.agg(F.expr("percentile_disc(0.5) within group (order by l_partkey) as part"), F.expr("percentile_disc(0.5) within group (order by l_suppkey) as supp")).first()
     files = curve.spans(stored, ["l_partkey", "l_suppkey"])
     out = None

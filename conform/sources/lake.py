@@ -36,6 +36,18 @@ COMMIT = T.StructType(
 )
 
 
+#: Rows of a file, where the number of files follows the table: a task sorts that many, however large the table.
+FILE_ROWS = 500_000
+
+
+def file_count(df: DataFrame, least: int = 1, rows: int = FILE_ROWS) -> int:
+    """Into how many files to write a stored table so that none has much more than ``rows`` rows: ``least`` or more.
+
+    An action that counts the rows; Parquet files answer it from their footers.
+    """
+    return max(least, -(-df.count() // rows))
+
+
 class PublishError(RuntimeError):
     """A model of the run is missing or empty; nothing was published."""
 
@@ -154,7 +166,8 @@ class Lake:
 
         Ranges are cut on the cluster columns *and* a tiebreak (by default a hash of the
         row): a value holding a third of the rows is shared by many tasks and still lies
-        together. ``partitions`` become folders.
+        together. ``partitions`` become folders. ``files`` fixes the number of tasks, each of which sorts its
+        share: take :func:`file_count` for a table that grows.
         """
         self._refuse_published(path)
         spread = [F.col(c) for c in tiebreak] if tiebreak else [F.xxhash64(*df.columns)]
@@ -171,7 +184,7 @@ class Lake:
         """Write clustered on several columns alike, so that a filter on any of them skips most files.
 
         Files are ranges of the curve through the columns' quantile ranks and of a row hash: a combination of values that
-        holds much of the table is shared by many tasks.
+        holds much of the table is shared by many tasks. ``files`` as for :meth:`write_clustered`.
         """
         self._refuse_published(path)
         place = next(n for n in (f"place{'_' * i}" for i in range(len(df.columns) + 1)) if n not in df.columns)

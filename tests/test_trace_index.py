@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conform.operators import reconcile, trace_index
 from conform.operators.trace_index import IndexedLayer
-from conform.sources.lake import Lake
+from conform.sources.lake import Lake, file_count
 
 
 @pytest.fixture(scope="module")
@@ -54,3 +54,20 @@ def test_a_hop_opens_the_files_that_hold_its_keys(spark, layers):
 def test_keys_of_other_types_are_refused(spark, layers):
     with pytest.raises(ValueError, match="bigint"):
         trace_index.trace_indexed(start(spark, [1]), [IndexedLayer("orders", layers[1].path, F.col("o"), "key", ["status"])])
+
+
+def test_no_task_of_the_build_grows_with_the_layer(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(trace_index, "TASK_ROWS", 400, raising=False)
+    lake = Lake(spark, str(tmp_path))
+    lines = spark.range(8_000).select("id", F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(F.lit(7)).alias("k"))
+    stored = lake.write_clustered(lines, lake.silver("lines"), ["id"], files=file_count(lines, 2, rows=500))
+    sizes = [r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 1_000 and file_count(lines, 20, rows=500) == 20 and file_count(lines.limit(0)) == 1
+    layer = IndexedLayer("lines", lake.silver("lines"), F.col("k"), "key", ["id"])
+    trace_index.write_index(spark, layer)
+    index = spark.read.parquet(layer.index)
+    tasks = index.groupBy(F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1)).count().collect()
+    assert max(r["count"] for r in tasks) < 1_000  # one of 8 shuffle partitions, coalesced, held more
+    assert index.agg(F.sum("rows")).first()[0] == 8_000 and index.count() == 5_332 + 16
+    start = spark.createDataFrame([(7,), (8,), (9,)], "key long")
+    assert trace_index.trace_indexed(start, [layer]).count() == 2_667 + 1 + 1 + 1
