@@ -129,11 +129,12 @@ def best_path(word: str, pieces: Pieces) -> list[str]:
 class Block:
     """Words of a run of documents as numbers of a vocabulary of their own.
 
-    Texts are split at blanks first, which is fast, and only different chunks are cut into words.
+    Texts are split at blanks first, which is fast, and only different chunks are cut into words. A block that is not
+    ``numbered`` has the same vocabulary and keeps nothing of its documents.
     """
 
-    def __init__(self, cut: re.Pattern, prefix: bool, buckets: int) -> None:
-        self.cut, self.prefix, self.buckets = cut.findall, prefix, buckets
+    def __init__(self, cut: re.Pattern, prefix: bool, buckets: int, numbered: bool = True) -> None:
+        self.cut, self.prefix, self.buckets, self.numbered = cut.findall, prefix, buckets, numbered
         self.spaced: dict[str, int] = {}  # chunks behind one blank, without it
         self.other: dict[str, int] = {}
         self.ids: list[int | None] = []
@@ -143,24 +144,33 @@ class Block:
 
     def add(self, doc_id: int | None, text: str) -> None:
         text = text.replace(_SPACE, " ")
+        self.ids.append(doc_id)
+        self.size += len(text)
+        plain = self.prefix and "  " not in text and text[:1] != " " and text[-1:] != " "
+        if not self.numbered:
+            if text:
+                known = self.spaced if plain else self.other
+                known.update(dict.fromkeys(text.split(" ") if plain else _CHUNK((" " if self.prefix else "") + text), 0))
+            return
         if not text:
             found: list[int] = []
-        elif self.prefix and "  " not in text and text[0] != " " and text[-1] != " ":
+        elif plain:
             known = self.spaced
             found = [known.setdefault(c, len(known)) for c in text.split(" ")]
         else:
             known = self.other
             found = [-1 - known.setdefault(c, len(known)) for c in _CHUNK((" " if self.prefix else "") + text)]
         self.chunks.append(np.array(found, dtype=np.int64))
-        self.ids.append(doc_id)
         self.hashes.append(zlib.crc32(text.encode("utf-8", "surrogatepass")))
-        self.size += len(text)
 
     def vocabulary(self) -> tuple[list[list[int]], np.ndarray, list[tuple[int, list[str]]], int]:
         """Words of each chunk, their places in bucket order, the buckets' words, and a check sum."""
         known: dict[str, int] = {}
-        chunks = [*(" " + c for c in self.spaced), *self.other]
-        words = [[known.setdefault(w, len(known)) for w in self.cut(c)] for c in chunks]
+        # Letters and digits alone, of any script, are one word whatever the pattern: it cuts at blanks, line breaks and ASCII marks.
+        words = [
+            [known.setdefault(" " + c, len(known))] if c.isalnum() else [known.setdefault(w, len(known)) for w in self.cut(" " + c)] for c in self.spaced
+        ]
+        words += [[known.setdefault(w, len(known)) for w in self.cut(c)] for c in self.other]
         place, parts = by_bucket(list(known), self.buckets)
         check = 0
         for _, w in parts:
@@ -211,12 +221,13 @@ def _blocks(docs: DataFrame, pieces: Pieces, buckets: int, block_bytes: int, wha
                 [{"block": key, "ids": block.ids, "lengths": lengths, "hashes": block.hashes, "numbers": numbers}], schema
             )
 
-        block = Block(pattern, prefix, buckets)
+        numbered = what != "vocabulary"
+        block = Block(pattern, prefix, buckets, numbered)
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
                 if block.ids and block.size + len(text) > block_bytes:
                     yield rows(block)
-                    n, block = n + 1, Block(pattern, prefix, buckets)
+                    n, block = n + 1, Block(pattern, prefix, buckets, numbered)
                 block.add(doc_id, text)
         if block.ids:
             yield rows(block)

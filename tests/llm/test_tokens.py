@@ -89,3 +89,20 @@ def test_decode_of_odd_ids(spark):
     pieces = pc.load(MODEL)
     df = spark.createDataFrame([(1, [5, 999999, -1]), (2, None), (3, [])], "k long, ids array<int>")
     assert {r["k"]: r["text"] for r in pc.decode(df, pieces).collect()} == {1: "\x02", 2: None, 3: ""}
+
+
+def test_a_block_without_numbers_has_the_same_vocabulary():
+    import re
+
+    pattern = re.compile(pc.table({"a": 0, "ab": 1, ".": 2}, {"a": 0.0, "ab": -1.0, ".": -2.0}).cut)
+    texts = ["", "ab a, ab.c", " lead  two ", "x1 日本 é٣ a\nb a\tb ß²", "don't " * 3, "tail "]
+    for prefix in (True, False):
+        numbered, plain = pc.Block(pattern, prefix, 7), pc.Block(pattern, prefix, 7, False)
+        for i, text in enumerate(texts):
+            numbered.add(i, text)
+            plain.add(i, text)
+        (words, place, parts, check), (_, _, parts2, check2) = numbered.vocabulary(), plain.vocabulary()
+        assert (parts, check) == (parts2, check2) and not plain.chunks and not plain.hashes
+        chunks = [*(" " + c for c in numbered.spaced), *numbered.other]
+        known = list(dict.fromkeys(w for c in chunks for w in pattern.findall(c)))
+        assert [[known[i] for i in w] for w in words] == [pattern.findall(c) for c in chunks]
