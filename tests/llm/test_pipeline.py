@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from test_near_dup import brute
 
 import corpus_pipeline as cp
@@ -110,3 +111,20 @@ def test_clashing_columns_and_empty_tables_pass_every_stage(spark):
             assert out.count() <= given.count()
     masked = cp.mask_secrets(spark, odd(spark, rows), SF).where("doc_id = 1").first()
     assert masked["__sha"] == "c" and masked["__live"] == 3
+
+
+def test_texts_reach_workers_in_bounded_batches(spark, monkeypatch):
+    seen = []
+    before = spark.conf.get(cp.BATCH, None)
+
+    def watch(spark, docs, sf_dir):
+        sizes = docs.mapInArrow(lambda batches: (type(b).from_pydict({"n": [b.nbytes]}) for b in batches), "n long")
+        seen.append(max(r["n"] for r in sizes.collect()))
+        return docs
+
+    texts = spark.range(0, 3_000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("long text "), 500).alias("text"))
+    monkeypatch.setattr(cp, "read", lambda spark, sf_dir, name: texts)
+    monkeypatch.setattr(cp, "STAGES", [("watched", cp.in_small_batches(watch))])
+    assert cp.run(spark, "").count() == 3_000
+    assert seen[0] < 2 * cp.BATCH_BYTES  # 15 MB of text were one batch
+    assert spark.conf.get(cp.BATCH, None) == before
