@@ -13,11 +13,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conform.llm.common import by_bucket, give_back, pack_words, partitions, read, squeeze, stored, texts_of, tidied, unpack_words, unsqueeze
+from conform.llm.common import by_bucket, give_back, pack_words, partitions, read, squeeze, texts_of, tidied, unpack_words, unsqueeze
 
 BLOCK_BYTES = 4 << 20
 #: Words of more characters are merged one by one, as their lattice does not fit a 64-bit mask.
 LONG_WORD = 62
+#: Where a word stands in a block's vocabulary.
+_REF = np.dtype([("block", "<i8"), ("bucket", "<i4"), ("place", "<i4")])
 _SPACE = "▁"
 _CHUNK = re.compile(r" *[^ ]+| +").findall
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -191,162 +193,177 @@ class Block:
         return squeeze(np.diff(upto)), squeeze(flat[take])
 
 
-def _blocks(docs: DataFrame, pieces: Pieces, buckets: int, block_bytes: int, what: str) -> DataFrame:
-    """Blocks of documents, cut alike at every call: their vocabularies, or their documents as word numbers."""
+def _blocks(docs: DataFrame, pieces: Pieces, buckets: int, block_bytes: int) -> DataFrame:
+    """Blocks of documents, cut once: a row with the documents of a block as word numbers, ``key`` being the block, and a row with
+    each bucket of its vocabulary, ``key`` being the bucket."""
     cut, prefix = pieces.cut, pieces.prefix
-    schema = (
-        pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary())])
-        if what == "vocabulary"
-        else pa.schema([
-            ("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("lengths", pa.binary()), ("hashes", pa.list_(pa.int64())),
-            ("numbers", pa.binary()),
-        ])
-    )
+    schema = pa.schema([
+        ("key", pa.int64()), ("block", pa.int64()), ("words", pa.binary()),
+        ("ids", pa.list_(pa.int64())), ("lengths", pa.binary()), ("hashes", pa.list_(pa.int64())), ("numbers", pa.binary()),
+    ])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         base, n, pattern = TaskContext.get().partitionId() << 32, 0, re.compile(cut)
 
-        def rows(block: Block) -> pa.RecordBatch:
+        def rows(block: Block) -> Iterator[pa.RecordBatch]:
             import xxhash
 
-            # The key says what the vocabulary is: a block that is cut differently finds no words.
+            # The key says what the vocabulary is: if one of two runs of a task cuts a block differently, its rows do not meet the other's.
             words, place, parts, check = block.vocabulary()
             key = xxhash.xxh3_64_intdigest(f"{base + n}:{check}") >> 1
-            if what == "vocabulary":
-                return pa.RecordBatch.from_pylist([{"block": key, "bucket": b, "words": pack_words(w)} for b, w in parts], schema)
+            yield pa.RecordBatch.from_pylist([{"key": b, "block": key, "words": pack_words(w)} for b, w in parts], schema)
             lengths, numbers = block.numbers(words, place)
-            return pa.RecordBatch.from_pylist(
-                [{"block": key, "ids": block.ids, "lengths": lengths, "hashes": block.hashes, "numbers": numbers}], schema
+            yield pa.RecordBatch.from_pylist(
+                [{"key": key, "block": key, "ids": block.ids, "lengths": lengths, "hashes": block.hashes, "numbers": numbers}], schema
             )
 
-        numbered = what != "vocabulary"
-        block = Block(pattern, prefix, buckets, numbered)
+        block = Block(pattern, prefix, buckets)
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
                 if block.ids and block.size + len(text) > block_bytes:
-                    yield rows(block)
-                    n, block = n + 1, Block(pattern, prefix, buckets, numbered)
+                    yield from rows(block)
+                    n, block = n + 1, Block(pattern, prefix, buckets)
                 block.add(doc_id, text)
         if block.ids:
-            yield rows(block)
+            yield from rows(block)
 
-    types = (
-        "block long, bucket int, words binary"
-        if what == "vocabulary"
-        else "block long, ids array<long>, lengths binary, hashes array<long>, numbers binary"
+    return docs.mapInArrow(
+        tidied(pack), "key long, block long, words binary, ids array<long>, lengths binary, hashes array<long>, numbers binary"
     )
-    return docs.mapInArrow(tidied(pack), types)
+
+
+def merged(ends: np.ndarray, owner: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """The masks of words after all merges of BPE.
+
+    ``mask`` has a bit for every boundary of a word, an edge of ``ends`` the two bits of its ends. An edge fits if both are there and one
+    boundary lies between them. The edges of a word (``owner``) follow each other by rank and start; each round applies the first one that
+    fits in every word, and drops words without one and edges that do not fit any more.
+    """
+    mask = mask.copy()
+    inner = ends - (ends & -ends) * 3  # of the bits s and e: those from s + 1 to e - 1
+    while len(ends):
+        now = mask[owner]
+        within = now & inner
+        left = ((now & ends) == ends) & (within != 0)
+        fits = np.nonzero(left & ((within & (within - 1)) == 0))[0]
+        if not len(fits):
+            break
+        first = fits[np.concatenate([[True], owner[fits[1:]] != owner[fits[:-1]]])]
+        mask[owner[first]] &= ~inner[first]
+        changed = np.zeros(len(mask), dtype=bool)
+        changed[owner[first]] = True
+        left &= changed[owner]
+        left[first] = False
+        ends, inner, owner = ends[left], inner[left], owner[left]
+    return mask
 
 
 def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """``words`` (word, refs) with ``mask``: bit i set where a piece of the encoding begins or ends at character i.
+    """The edges (s, e, rank or score) of the pieces in ``words`` (word, refs), those of a word in a row behind a head row with s = -1 that carries the word itself.
 
-    All substrings of two characters up to the longest piece are exploded and meet the piece table in an equi-join on
-    their hash, checked on the text (a model's table has a fixed size and is broadcast). The edges of a word follow each
-    other, behind a head row that carries the word itself, and are grouped by it without a shuffle. A fold over the
-    edges then finds the encoding: for BPE, each step applies the first edge by rank and start that joins exactly two
-    current symbols; for unigram models, each step takes an end's best incoming edge.
+    All substrings from two characters (one, for unigram models) up to the longest piece that begins as they do are exploded and meet the
+    piece table in an equi-join on their hash, checked on the text (a model's table has a fixed size and is broadcast).
     """
     spark = words.sparkSession
     bpe = pieces.kind == "bpe"
-    longest = max(2, pieces.longest)
+    value, least = ("rank", 2) if bpe else ("score", 1)
+    entries = [(p, pieces.rank[p] if bpe else pieces.scores[p]) for p in (pieces.rank if bpe else pieces.ids)]
+    longest = {"": 0}
+    for p, _ in entries:
+        longest[p[:least]] = max(longest.get(p[:least], 0), len(p))
+
+    def known(rows: list[tuple], column: str, kind: str) -> DataFrame:
+        return F.broadcast(spark.createDataFrame(rows, f"known string, {column} {kind}").withColumn("key", F.xxhash64("known")))
+
+    # A join on the hash alone is one on longs. Equality as two prefixes keeps the text out of the join's key.
+    same = (F.xxhash64("part") == F.col("key")) & F.col("part").startswith(F.col("known")) & F.col("known").startswith(F.col("part"))
+    n, s, head = F.length("word"), F.col("s"), F.col("s") < 0
+    text = lambda size: F.when(head, F.lit("")).otherwise(F.coalesce(F.col("word").substr(s + 1, size), F.lit("")))
+    last = F.when(n <= LONG_WORD, F.greatest(n - least, F.lit(-1))).otherwise(F.lit(-1))
+    rows = words.select("word", "refs", F.explode(F.sequence(F.lit(-1), last)).alias("s")).withColumn("part", text(F.lit(least)))
+    rows = rows.join(known([*longest.items()], "most", "int"), same)
+    ends = F.when(head, F.array(F.lit(-1))).otherwise(F.sequence(s + least, F.least(n, s + F.col("most"))))
+    rows = rows.select("word", "refs", "s", F.explode(ends).alias("e"))
+    rows = rows.select(F.when(head, F.col("word")).alias("word"), F.when(head, F.col("refs")).alias("refs"), "s", "e", text(F.col("e") - s).alias("part"))
+    rows = rows.join(known([*entries, ("", -1 if bpe else 0.0)], value, "int" if bpe else "double"), same)
+    return rows.select("word", "refs", "s", "e", value)
+
+
+def _by_word(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows of :func:`lattice` in runs of whole words, and the places of their heads."""
+    kept: list[pa.RecordBatch] = []
+    heads = lambda rows: np.nonzero(rows.column("s").to_numpy() < 0)[0]
+    for batch in batches:
+        kept.append(batch)
+        if sum(b.num_rows for b in kept) < 100_000:
+            continue
+        whole = pa.Table.from_batches(kept)
+        at = heads(whole)
+        if len(at) > 1:
+            yield whole.slice(0, int(at[-1])), at[:-1]
+            kept = whole.slice(int(at[-1])).to_batches()
+    if kept:
+        whole = pa.Table.from_batches(kept)
+        yield whole, heads(whole)
+
+
+def _fold_merges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words with ``mask``: bit i set where a piece of the BPE encoding begins or ends at character i; null for words beyond the mask."""
+    for rows, heads in _by_word(batches):
+        s, e, rank = (rows.column(c).to_numpy().astype(np.int64) for c in ("s", "e", "rank"))
+        owner = np.cumsum(s < 0) - 1
+        own = s >= 0
+        s, e, rank, owner = s[own], e[own], rank[own], owner[own]
+        order = np.argsort(owner << 38 | rank << 6 | s, kind="stable")
+        s, e, owner = s[order], e[order], owner[order]
+        word, refs = (rows.column(c).take(pa.array(heads)).combine_chunks() for c in ("word", "refs"))
+        sizes = np.array([len(w) for w in word.to_pylist()], dtype=np.int64)
+        one, short = np.int64(1), sizes <= LONG_WORD
+        every = (one << np.where(short, sizes, 0) + 1) - 1
+        mask = merged(one << s | one << e, owner, every)
+        yield pa.RecordBatch.from_arrays([word, refs, pa.array(mask, mask=~short)], ["word", "refs", "mask"])
+
+
+def _best_paths(edges: DataFrame, pieces: Pieces) -> DataFrame:
+    """Words with ``mask``, as :func:`_fold_merges` gives it, for unigram models: a fold over the edges of a word, grouped without a shuffle,
+    takes each end's best incoming edge."""
     low = min(pieces.scores.values(), default=0.0) - 10
-    entries = [(p, pieces.rank[p] if bpe else 0, pieces.scores[p]) for p in (pieces.rank if bpe else pieces.ids)]
-    known = spark.createDataFrame([*entries, ("", -1, 0.0)], "piece string, rank int, score double")
-    known = F.broadcast(known.select(F.xxhash64("piece").alias("key"), "piece", "rank", "score"))
-    least = 2 if bpe else 1
-    span = longest - least + 1
-    n = F.length("word")
-    places = F.sequence(F.lit(-1), F.when(n <= LONG_WORD, (n - least + 1) * span - 1).otherwise(F.lit(-1)))
-    i = F.col("i")
-    rows = words.select("word", "refs", F.explode(F.when(n >= least, places).otherwise(F.array(F.lit(-1)))).alias("i"))
-    head = i < 0
-    rows = rows.select(
-        "word", "refs", "i", F.when(head, F.lit(-1)).otherwise((i / span).cast("int")).alias("s"),
-        F.when(head, F.lit(-1)).otherwise((i / span).cast("int") + least + i % span).alias("e"),
-    ).where(F.col("e") <= F.length("word"))
-    part = F.when(F.col("s") < 0, F.lit("")).otherwise(F.col("word").substr(F.col("s") + 1, F.col("e") - F.col("s")))
-    rows = rows.select(
-        F.when(F.col("s") < 0, F.col("word")).alias("word"), F.when(F.col("s") < 0, F.col("refs")).alias("refs"), "s", "e", part.alias("part")
-    ).withColumn("key", F.xxhash64("part"))
-    edges = rows.join(known, (rows["key"] == known["key"]) & (rows["part"] == known["piece"])).select("word", "refs", "s", "e", "rank", "score")
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[pa.RecordBatch] = []
-
-        def out(table: pa.Table) -> pa.RecordBatch:
-            s, e, rank, score = (table.column(c).to_numpy() for c in ("s", "e", "rank", "score"))
-            heads = np.nonzero(s < 0)[0]
+        for rows, heads in _by_word(batches):
+            s, e, score = (rows.column(c).to_numpy() for c in ("s", "e", "score"))
             owner = np.cumsum(s < 0) - 1
             own = s >= 0
-            s, e, rank, score, owner = s[own].astype(np.int64), e[own].astype(np.int64), rank[own], score[own], owner[own]
-            order = np.lexsort((s, rank, owner)) if bpe else np.lexsort((s, e, owner))
+            s, e, score, owner = s[own], e[own].astype(np.int64), score[own], owner[own]
+            order = np.lexsort((s, e, owner))
             s, e, score, owner = s[order], e[order], score[order], owner[order]
             offsets = np.searchsorted(owner, np.arange(len(heads) + 1)).astype(np.int32)
-            one = np.int64(1)
-            if bpe:
-                parts = pa.array((one << s) | (one << e))
-            else:
-                parts = pa.StructArray.from_arrays([pa.array(e), pa.array(s.astype(np.int32)), pa.array(score)], ["end", "start", "score"])
-            words = [table.column(c).take(pa.array(heads)).combine_chunks() for c in ("word", "refs")]
-            return pa.RecordBatch.from_arrays([*words, pa.ListArray.from_arrays(pa.array(offsets), parts)], ["word", "refs", "edges"])
+            parts = pa.StructArray.from_arrays([pa.array(e), pa.array(s), pa.array(score)], ["end", "start", "score"])
+            words = [rows.column(c).take(pa.array(heads)).combine_chunks() for c in ("word", "refs")]
+            yield pa.RecordBatch.from_arrays([*words, pa.ListArray.from_arrays(pa.array(offsets), parts)], ["word", "refs", "edges"])
 
-        for batch in batches:
-            kept.append(batch)
-            if sum(b.num_rows for b in kept) < 100_000:
-                continue
-            whole = pa.Table.from_batches(kept)
-            last = np.nonzero(whole.column("s").to_numpy() < 0)[0]
-            if len(last) > 1:
-                yield out(whole.slice(0, int(last[-1])))
-                kept = whole.slice(int(last[-1])).to_batches()
-        if kept:
-            yield out(pa.Table.from_batches(kept))
-
-    edge = "long" if bpe else "struct<end:long,start:int,score:double>"
-    grouped = edges.mapInArrow(tidied(group), f"word string, refs binary, edges array<{edge}>")
+    grouped = edges.mapInArrow(tidied(group), "word string, refs binary, edges array<struct<end:long,start:int,score:double>>")
     full = F.lit(1).cast("long")
-    all_bits = F.call_function("shiftleft", full, F.length("word")) - 1 + F.call_function("shiftleft", full, F.length("word"))
-
-    if bpe:
-        # An edge is the two bits of its ends. It fits if both are there and one boundary lies between them. A boundary that
-        # has gone does not come back, so edges that end at it leave the list.
-        low = lambda x: x.bitwiseAND(-x)
-        inner = lambda x: x - low(x) * 3  # noqa: E731  of the bits s and e: those from s + 1 to e - 1
-
-        def step(state: Column, _: Column) -> Column:
-            def merged(left: Column) -> Column:
-                first = F.get(F.filter(left, lambda x: F.bit_count(state["mask"].bitwiseAND(inner(x))) == 1), F.lit(0))
-                gone = F.coalesce(inner(first), F.lit(0).cast("long"))
-                return F.struct(
-                    state["mask"].bitwiseAND(F.bitwise_not(gone)).alias("mask"), state["mask"].alias("before"), left.alias("left")
-                )
-
-            alive = F.filter(state["left"], lambda x: state["mask"].bitwiseAND(x) == x)
-            return F.when(state["mask"] == state["before"], state).otherwise(F.get(F.transform(F.array(alive), merged), F.lit(0)))
 
-        start = F.struct(all_bits.alias("mask"), F.lit(0).cast("long").alias("before"), F.col("edges").alias("left"))
-        folded = F.aggregate(F.sequence(F.lit(1), F.greatest(F.length("word"), F.lit(1))), start, step, lambda s: s["mask"])
-    else:
-        # State: best score of each end so far and the boundaries on its best path; ends come in order.
-        def step(state: Column, e: Column) -> Column:
-            unknown = F.struct(
-                (F.element_at(state["best"], e)["score"] + low).alias("score"),
-                F.element_at(state["best"], e)["mask"].bitwiseOR(F.call_function("shiftleft", full, e)).alias("mask"),
-            )
-            coming = F.transform(
-                F.filter("edges", lambda x: x["end"] == e),
-                lambda x: F.struct(
-                    (F.element_at(state["best"], x["start"] + 1)["score"] + x["score"]).alias("score"),
-                    F.element_at(state["best"], x["start"] + 1)["mask"].bitwiseOR(F.call_function("shiftleft", full, e)).alias("mask"),
-                ),
-            )
-            return F.struct(F.array_append(state["best"], F.greatest(F.array_max(coming), unknown)).alias("best"))
+    # State: best score of each end so far and the boundaries on its best path; ends come in order.
+    def step(state: Column, e: Column) -> Column:
+        unknown = F.struct(
+            (F.element_at(state["best"], e)["score"] + low).alias("score"),
+            F.element_at(state["best"], e)["mask"].bitwiseOR(F.call_function("shiftleft", full, e)).alias("mask"),
+        )
+        coming = F.transform(
+            F.filter("edges", lambda x: x["end"] == e),
+            lambda x: F.struct(
+                (F.element_at(state["best"], x["start"] + 1)["score"] + x["score"]).alias("score"),
+                F.element_at(state["best"], x["start"] + 1)["mask"].bitwiseOR(F.call_function("shiftleft", full, e)).alias("mask"),
+            ),
+        )
+        return F.struct(F.array_append(state["best"], F.greatest(F.array_max(coming), unknown)).alias("best"))
 
-        start = F.struct(F.array(F.struct(F.lit(0.0).alias("score"), full.alias("mask"))).alias("best"))
-        folded = F.aggregate(F.sequence(F.lit(1), F.length("word")), start, step, lambda s: F.element_at(s["best"], -1)["mask"])
+    start = F.struct(F.array(F.struct(F.lit(0.0).alias("score"), full.alias("mask"))).alias("best"))
+    folded = F.aggregate(F.sequence(F.lit(1), F.length("word")), start, step, lambda s: F.element_at(s["best"], -1)["mask"])
     return grouped.select("word", "refs", F.when(F.length("word") <= LONG_WORD, folded).alias("mask"))
 
 
@@ -355,32 +372,44 @@ def encode(
 ) -> DataFrame:
     """The piece ids of every whole text, as the SentencePiece library gives them without begin or end pieces.
 
-    Words (runs that no piece crosses) are encoded once each over the corpus by :func:`lattice`:
+    Words (runs that no piece crosses) are encoded once each over the corpus, over the edges of :func:`lattice`:
 
-    1. Documents are taken in blocks; each block's distinct words travel in packed lists by hash bucket, where equal
-       words of different blocks meet. A very frequent word is one entry per block.
-    2. The encoded words go back to their blocks, where each document's words are replaced by their ids.
+    1. Documents are taken in blocks and cut once. A block's documents become numbers of its distinct words; these travel in packed
+       lists by hash bucket, where equal words of different blocks meet. A very frequent word is one entry per block. Both kinds of rows go
+       through one shuffle, which Spark reads twice.
+    2. Fold over the edges: for BPE, each round applies the first edge by rank and start that joins exactly two current symbols; for unigram models,
+       each step takes an end's best incoming edge.
+    3. The encoded words go back to their blocks, where each document's words are replaced by their ids.
 
     Characters that no piece holds become their byte pieces (the unknown piece, if the model has none). Returns id, ``ids`` (array) and ``text_hash``
-    (CRC-32 of the text as it can be decoded) for every row, with ``decoded`` also ``decoded_hash``, that of the text that the ids decode to; a null text is an empty one and has no ids; null and repeated ids stay as they are. ``docs``
-    is read twice and must give the same rows in the same order both times, as a stored table does; otherwise
-    the blocks do not find their words and the job fails. Other columns are ignored; no rows give no rows.
+    (CRC-32 of the text as it can be decoded) for every row, with ``decoded`` also ``decoded_hash``, that of the text that the ids decode to; a null text is an empty one and has no ids; null and repeated ids stay as they are. If a
+    lost executor makes Spark read ``docs`` again in part, it must give the same rows in the same order, as a stored table does; otherwise
+    blocks do not find their words and the job fails. Other columns are ignored; no rows give no rows.
     """
     spark = docs.sparkSession
     buckets = max(256, 4 * partitions(spark))
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    # Both readers take every column, so that Spark plans this shuffle once.
+    dealt = _blocks(given, pieces, buckets, block_bytes).repartition("key")
 
     def meet(rows: pa.Table) -> pa.Table:
-        of: dict[str, list[tuple[int, int]]] = {}
-        for block, packed in zip(rows.column("block").to_pylist(), rows.column("words").to_pylist(), strict=True):
-            for place, word in enumerate(unpack_words(packed)):
-                of.setdefault(word, []).append((block, place))
-        bucket = rows.column("bucket")[0].as_py()
-        refs = [np.array([(b, bucket, p) for b, p in x], dtype=np.int64).tobytes() for x in of.values()]
-        return pa.table({"word": pa.array(list(of), pa.string()), "refs": pa.array(refs, pa.binary())})
-
-    words = _blocks(given, pieces, buckets, block_bytes, "vocabulary").groupBy("bucket").applyInArrow(meet, "word string, refs binary")
-    words = stored(words, "pieces-words")  # so that no task runs three Python workers in a row
+        rows = rows.filter(rows.column("words").is_valid())
+        of: dict[str, int] = {}
+        found, sizes = [], []
+        for packed in rows.column("words").to_pylist():
+            known = unpack_words(packed)
+            found += [of.setdefault(w, len(of)) for w in known]
+            sizes.append(len(known))
+        number, sizes = np.array(found, dtype=np.int64), np.array(sizes, dtype=np.int64)
+        ref = np.empty(len(number), dtype=_REF)
+        ref["block"], ref["bucket"] = np.repeat(rows.column("block").to_numpy(), sizes), np.repeat(rows.column("key").to_numpy(), sizes)
+        ref["place"] = np.arange(len(number)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        ref = ref[np.argsort(number, kind="stable")]
+        ends = np.concatenate([[0], np.cumsum(np.bincount(number, minlength=len(of)))]) * _REF.itemsize
+        refs = pa.Array.from_buffers(pa.binary(), len(of), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ref.tobytes())])
+        return pa.table({"word": pa.array(list(of), pa.string()), "refs": refs})
+
+    words = dealt.groupBy("key").applyInArrow(meet, "word string, refs binary")
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Ids of the words, gathered per block and bucket."""
@@ -396,11 +425,11 @@ def encode(
             return found
 
         def out() -> pa.RecordBatch:
-            ref = np.frombuffer(b"".join(refs), dtype=np.int64).reshape(-1, 3)
-            which = np.repeat(np.arange(len(refs)), [len(r) // 24 for r in refs])
-            order = np.lexsort((ref[:, 2], ref[:, 1], ref[:, 0]))
+            ref = np.frombuffer(b"".join(refs), dtype=_REF)
+            which = np.repeat(np.arange(len(refs)), [len(r) // _REF.itemsize for r in refs])
+            order = np.lexsort((ref["place"], ref["bucket"], ref["block"]))
             ref, which = ref[order], which[order]
-            cuts = np.nonzero(np.any(np.diff(ref[:, :2], axis=0) != 0, axis=1))[0] + 1
+            cuts = np.nonzero((np.diff(ref["block"]) != 0) | (np.diff(ref["bucket"]) != 0))[0] + 1
             sizes = np.array([len(x) for x in ids], dtype=np.int64)
             firsts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
             flat = np.array([i for x in ids for i in x], dtype=np.uint32)
@@ -409,8 +438,8 @@ def encode(
                 w = which[at]
                 width = sizes[w]
                 take = np.repeat(firsts[w] - np.concatenate([[0], np.cumsum(width)[:-1]]), width) + np.arange(width.sum())
-                blocks.append((int(ref[at[0], 0]), int(ref[at[0], 1])))
-                kept.append((squeeze(ref[at, 2]), squeeze(width), squeeze(flat[take])))
+                blocks.append((int(ref["block"][at[0]]), int(ref["bucket"][at[0]])))
+                kept.append((squeeze(ref["place"][at]), squeeze(width), squeeze(flat[take])))
             return pa.RecordBatch.from_arrays(
                 [pa.array([b for b, _ in blocks], pa.int64()), pa.array([b for _, b in blocks], pa.int32()), *[pa.array([k[j] for k in kept], pa.binary()) for j in range(3)]],
                 ["block", "bucket", "places", "widths", "pieces"],
@@ -441,7 +470,11 @@ def encode(
         if refs:
             yield out()
 
-    spelt = lattice(words, pieces).mapInArrow(tidied(spell), "block long, bucket int, places binary, widths binary, pieces binary")
+    edges, types = lattice(words, pieces), "block long, bucket int, places binary, widths binary, pieces binary"
+    if pieces.kind == "bpe":
+        spelt = edges.mapInArrow(tidied(lambda batches: spell(_fold_merges(batches))), types)
+    else:
+        spelt = _best_paths(edges, pieces).mapInArrow(tidied(spell), types)
 
     fields = [("id", pa.int64()), ("ids", pa.list_(pa.int32())), ("text_hash", pa.int64()), *([("decoded_hash", pa.int64())] if decoded else [])]
     spelling = _spelling(pieces) if decoded else None
@@ -458,7 +491,7 @@ def encode(
         starts = (np.concatenate([[0], np.cumsum(width)[:-1]]) if len(width) else width)[order]
         width = width[order]
         tables = []
-        for row in left.to_pylist():
+        for row in left.filter(left.column("numbers").is_valid()).to_pylist():
             numbers, lengths = unsqueeze(row["numbers"]).astype(np.int64), unsqueeze(row["lengths"]).astype(np.int64)
             if len(numbers) and not len(width):
                 raise ValueError(f"block {row['block']} was cut differently when read again")
@@ -470,15 +503,13 @@ def encode(
             ids = pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(found))
             columns = [pa.array(row["ids"], pa.int64()), ids, pa.array(row["hashes"], pa.int64())]
             if decoded:
-                texts = (_decoded(found[a:b].tolist(), *spelling) for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True))
-                columns.append(pa.array([zlib.crc32(t.encode("utf-8")) for t in texts], pa.int64()))
+                columns.append(pa.array(_decoded_hashes(found, upto, *spelling), pa.int64()))
             tables.append(pa.table(columns, schema=schema))
         give_back()
         return pa.concat_tables(tables) if tables else schema.empty_table()
 
-    numbers = _blocks(given, pieces, buckets, block_bytes, "numbers")
     types = "id long, ids array<int>, text_hash long" + (", decoded_hash long" if decoded else "")
-    encoded = numbers.groupBy("block").cogroup(spelt.groupBy("block")).applyInArrow(assemble, types)
+    encoded = dealt.groupBy("key").cogroup(spelt.groupBy("block")).applyInArrow(assemble, types)
     return encoded.select(F.col("id").alias(id_col), *encoded.columns[1:])
 
 
@@ -494,6 +525,19 @@ def _decoded(ids: list[int], names: list[bytes], prefix: bool) -> str:
     return text[1:] if prefix and text.startswith(" ") else text
 
 
+def _decoded_hashes(ids: np.ndarray, upto: np.ndarray, names: list[bytes], prefix: bool) -> list[int]:
+    """CRC-32 of :func:`_decoded` for each run of ids between two numbers of ``upto``."""
+    sizes = np.array([*map(len, names), 0], dtype=np.int64)
+    safe = np.where((ids >= 0) & (ids < len(names)), ids, len(names))
+    data = b"".join(map([*names, b""].__getitem__, safe.tolist()))
+    ends = np.concatenate([[0], np.cumsum(sizes[safe])])[upto].tolist()
+    out = []
+    for a, b in zip(ends[:-1], ends[1:], strict=True):
+        text = data[a:b].decode("utf-8", "replace")
+        out.append(zlib.crc32((text[1:] if prefix and text.startswith(" ") else text).encode("utf-8")))
+    return out
+
+
 def decode(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids", out_col: str = "text") -> DataFrame:
     """``encoded`` with the text of its ids in ``out_col``: pieces in a row, byte pieces as bytes, the model's leading blank off.
 

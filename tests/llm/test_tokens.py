@@ -106,3 +106,49 @@ def test_a_block_without_numbers_has_the_same_vocabulary():
         chunks = [*(" " + c for c in numbered.spaced), *numbered.other]
         known = list(dict.fromkeys(w for c in chunks for w in pattern.findall(c)))
         assert [[known[i] for i in w] for w in words] == [pattern.findall(c) for c in chunks]
+
+
+def test_texts_are_cut_once(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").repartition(3).write.parquet(path)
+    encoded = pc.encode(spark.read.parquet(path), pc.load(MODEL), block_bytes=50).groupBy().count()
+    assert encoded.collect()[0][0] == len(TEXTS)
+    plan = encoded._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 1  # the vocabulary was stored, and the texts read again
+
+
+def test_the_fold_of_masks_merges_as_the_heap_does():
+    import random
+
+    import pyarrow as pa
+
+    draw = random.Random(5)
+    names = {"".join(draw.choice("ab ") for _ in range(draw.randint(2, 6))) for _ in range(60)}
+    rank = {p: draw.randint(0, 25) for p in sorted(names)}  # ranks tie, and pieces rank before their parts
+    rank = {p: r * 100 + i for i, (p, r) in enumerate(rank.items())}
+    words = ["".join(draw.choice("abc ") for _ in range(draw.randint(0, 62))) for _ in range(400)] + ["ab" * 31, "a" * 62, "x" * 63]
+    rows = []
+    for i, w in enumerate(words):
+        rows.append((w, str(i).encode(), -1, -1, -1))
+        if len(w) <= pc.LONG_WORD:
+            rows += [(None, None, s, e, rank[w[s:e]]) for s in range(len(w)) for e in range(s + 2, min(len(w), s + 6) + 1) if w[s:e] in rank]
+    schema = pa.schema([("word", pa.string()), ("refs", pa.binary()), ("s", pa.int32()), ("e", pa.int32()), ("rank", pa.int32())])
+    batches = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema).to_batches(max_chunksize=37)
+    got = [r for b in pc._fold_merges(iter(batches)) for r in b.to_pylist()]
+    assert [(r["word"], int(r["refs"])) for r in got] == [(w, i) for i, w in enumerate(words)]
+    for r in got[:-1]:
+        bounds = [i for i in range(len(r["word"]) + 1) if r["mask"] >> i & 1]
+        assert [r["word"][a:b] for a, b in zip(bounds, bounds[1:])] == pc.merge(r["word"], rank)
+    assert got[-1]["mask"] is None
+
+
+def test_hashes_of_decoded_runs_equal_those_of_the_texts():
+    import zlib
+
+    import numpy as np
+
+    names, ids = [b"", b" a", "é".encode(), b"\xc3", b"b", b" "], np.array([1, 2, 99, -1, 5, 1, 3, 4, 3, 0], dtype=np.int32)
+    upto = np.array([0, 0, 4, 6, 6, 10])
+    for prefix in (True, False):
+        want = [zlib.crc32(pc._decoded(ids[a:b].tolist(), names, prefix).encode()) for a, b in zip(upto, upto[1:])]
+        assert pc._decoded_hashes(ids, upto, names, prefix) == want
