@@ -407,7 +407,10 @@ def encode(
         ref = ref[np.argsort(number, kind="stable")]
         ends = np.concatenate([[0], np.cumsum(np.bincount(number, minlength=len(of)))]) * _REF.itemsize
         refs = pa.Array.from_buffers(pa.binary(), len(of), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ref.tobytes())])
-        return pa.table({"word": pa.array(list(of), pa.string()), "refs": refs})
+        met = pa.table({"word": pa.array(list(of), pa.string()), "refs": refs})
+        del of, found, number, ref, rows
+        give_back()
+        return met
 
     words = dealt.groupBy("key").applyInArrow(meet, "word string, refs binary")
 
@@ -464,7 +467,7 @@ def encode(
                             found += single(c)
                 refs.append(ref)
                 ids.append(found)
-            if len(refs) >= 50_000:
+            if len(refs) >= 20_000:
                 yield out()
                 refs, ids = [], []
         if refs:
@@ -481,6 +484,9 @@ def encode(
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
         schema = pa.schema(fields)
+        left = left.filter(left.column("numbers").is_valid())
+        if not left.num_rows:  # a bucket of the vocabulary
+            return schema.empty_table()
         buckets_, n = right.column("bucket").to_numpy(), right.num_rows
         places, widths, found = (
             [unsqueeze(x).astype(np.int64) for x in right.column(c).to_pylist()] for c in ("places", "widths", "pieces")
@@ -491,15 +497,17 @@ def encode(
         starts = (np.concatenate([[0], np.cumsum(width)[:-1]]) if len(width) else width)[order]
         width = width[order]
         tables = []
-        for row in left.filter(left.column("numbers").is_valid()).to_pylist():
+        for row in left.to_pylist():
             numbers, lengths = unsqueeze(row["numbers"]).astype(np.int64), unsqueeze(row["lengths"]).astype(np.int64)
             if len(numbers) and not len(width):
                 raise ValueError(f"block {row['block']} was cut differently when read again")
             w = width[numbers]
             ends = np.cumsum(w)
-            take = np.repeat(starts[numbers] - (ends - w), w) + np.arange(ends[-1] if len(ends) else 0)
+            take = np.repeat((starts[numbers] - (ends - w)).astype(np.int32), w)
+            take += np.arange(len(take), dtype=np.int32)
             upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(lengths)])]
             found = flat[take].astype(np.int32)
+            del take, numbers, w, ends
             ids = pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(found))
             columns = [pa.array(row["ids"], pa.int64()), ids, pa.array(row["hashes"], pa.int64())]
             if decoded:
@@ -527,13 +535,11 @@ def _decoded(ids: list[int], names: list[bytes], prefix: bool) -> str:
 
 def _decoded_hashes(ids: np.ndarray, upto: np.ndarray, names: list[bytes], prefix: bool) -> list[int]:
     """CRC-32 of :func:`_decoded` for each run of ids between two numbers of ``upto``."""
-    sizes = np.array([*map(len, names), 0], dtype=np.int64)
-    safe = np.where((ids >= 0) & (ids < len(names)), ids, len(names))
-    data = b"".join(map([*names, b""].__getitem__, safe.tolist()))
-    ends = np.concatenate([[0], np.cumsum(sizes[safe])])[upto].tolist()
-    out = []
-    for a, b in zip(ends[:-1], ends[1:], strict=True):
-        text = data[a:b].decode("utf-8", "replace")
+    of, out, upto = [*names, b""].__getitem__, [], upto.tolist()
+    for a, b in zip(upto[:-1], upto[1:], strict=True):  # run by run, so that no list of all ids is held
+        run = ids[a:b]
+        data = b"".join(map(of, np.where((run >= 0) & (run < len(names)), run, len(names)).tolist()))
+        text = data.decode("utf-8", "replace")
         out.append(zlib.crc32((text[1:] if prefix and text.startswith(" ") else text).encode("utf-8")))
     return out
 

@@ -101,3 +101,11 @@ def test_no_rows(docs):
 def test_plan_has_no_python(docs):
     plan = secrets.scan_secrets(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_redact_plans_are_short_whatever_the_hits(docs):
+    assert len(secrets.redact(docs)._jdf.queryExecution().toString()) < 100_000  # the bitmap stood in it as a literal of 512 KB
+    odd = docs.selectExpr("*", "1 as word", "2 as word_", "3 as bits", "4 as place", "5 as maybe")
+    assert secrets.redact(odd).columns == odd.columns
+    texts = {r["doc_id"]: (r["text"], r["word"], r["word_"], r["bits"], r["place"], r["maybe"]) for r in secrets.redact(odd).collect()}
+    assert texts[8] == ("\U0001F600 x [secret]", 1, 2, 3, 4, 5) and texts[5] == ("", 1, 2, 3, 4, 5)
